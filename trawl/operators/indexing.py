@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from typing import Optional
+from typing import NamedTuple, Optional
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.text import STOPWORDS, token_counts, tokenize
@@ -19,6 +19,14 @@ POSTINGS_PER_BLOCK = 1_999_998 // 6
 TERM_BUCKETS = 124
 
 
+class Derivation(NamedTuple):
+    """What postings are computed from."""
+
+    frequencies: DataFrame
+    ranges: IdRanges
+    min_df: int
+
+
 @dataclass(frozen=True)
 class FieldIndex:
     """Index of one field.
@@ -26,11 +34,13 @@ class FieldIndex:
     ``postings``: ``term, doc_id, tf, posting_no, df, term_total, doc_range``. The two statistics
     are repeated on every posting of a term: sorted by term they take next to no room in Parquet,
     and ranking then needs no second join to reach them. ``doc_range`` numbers the ranges of
-    document ids used to cut large groups. ``buckets`` is set when the index is read from storage.
+    document ids used to cut large groups. An index not yet stored knows how it is ``derived``; a
+    stored one the number of its ``buckets``.
     """
 
     postings: DataFrame
     ranges: int = 1
+    derived: Optional[Derivation] = None
     buckets: Optional[int] = None
 
     @property
@@ -38,6 +48,14 @@ class FieldIndex:
         """``term, df, term_total``: one row per term, read off its first posting."""
         return self.postings.where(F.col("posting_no") == 1).select("term", "df", "term_total")
 
+    def only(self, terms: DataFrame) -> DataFrame:
+        """Postings of the terms in ``terms`` (one column ``term``), worked out for them alone."""
+        if self.derived is None:
+            return self.postings.join(terms, "term", "left_semi")
+        frequencies, ranges, min_df = self.derived
+        wanted = frequencies.join(terms, "term", "left_semi")
+        return number_postings(wanted, ranges, min_df).postings
+
 
 @dataclass(frozen=True)
 class SearchIndex:
@@ -114,7 +132,8 @@ def number_postings(frequencies: DataFrame, ranges: IdRanges, min_df: int = 0) -
         keep=F.col("df") > min_df,
     )
     columns = ["term", "doc_id", "tf", "posting_no", "df", "term_total", "doc_range"]
-    return FieldIndex(numbered.select(*columns), ranges=len(ranges))
+    derived = Derivation(frequencies, ranges, min_df)
+    return FieldIndex(numbered.select(*columns), ranges=len(ranges), derived=derived)
 
 
 def build_index(

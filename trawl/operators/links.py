@@ -102,6 +102,7 @@ def pagerank(
     when this is called, since the ranks are checkpointed on the way.
     """
     use_checkpoint_dir(edges.sparkSession)
+    edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
     vertices = link_vertices(edges).persist(StorageLevel.MEMORY_AND_DISK)
     heavy = _heavy_pages(vertices, links_per_block)
     out_links = _out_links(edges, heavy).persist(StorageLevel.MEMORY_AND_DISK)
@@ -112,8 +113,8 @@ def pagerank(
         if step == iterations or step % checkpoint_every == 0:
             ranks = ranks.checkpoint()
     n, total = ranks.agg(F.count(F.lit(1)), F.sum("rank")).first()
-    out_links.unpersist()
-    vertices.unpersist()
+    for table in (out_links, vertices, edges):
+        table.unpersist()
     scale = n / total if n else 1.0
     return ranks.select("id", (F.col("rank") * F.lit(scale)).alias("pagerank"))
 

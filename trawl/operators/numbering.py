@@ -8,7 +8,6 @@ the result is the same.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Optional
@@ -19,8 +18,7 @@ from pyspark.sql import functions as F
 # Rows in a sorted group that one task handles at ease.
 ROWS_PER_RANGE = 2_000_000
 
-# Quantiles taken of the document ids; also the largest number of ranges.
-_GRID = 1024
+MAX_RANGES = 1024
 
 
 @dataclass(frozen=True)
@@ -51,7 +49,8 @@ class IdRanges:
         within = F.get(F.lit(shelves).cast("array<array<bigint>>"), shelf)
         place = F.size(F.filter(within, lambda end: end < doc_id))
         # Past the last bound there is no shelf, hence the final range.
-        return F.when(within.isNull(), len(self.bounds)).otherwise(shelf * step + place)
+        number = F.when(within.isNull(), len(self.bounds)).otherwise(shelf * step + place)
+        return F.coalesce(number, F.lit(0))  # never null, so joins on it need no null check
 
 
 def measure_id_ranges(
@@ -59,20 +58,17 @@ def measure_id_ranges(
 ) -> IdRanges:
     """Cut the ids in column ``doc_id`` into ranges of about ``rows_per_range`` rows.
 
-    One pass over a single column. The driver receives a count and at most 1,024 quantiles.
+    Reads a single column, and only its row count if one range will do. The driver receives at
+    most 1,023 numbers.
     """
-    per_range = rows_per_range or ROWS_PER_RANGE
-    grid = [i / _GRID for i in range(1, _GRID)]
-    n, quantiles = rows.agg(
-        F.count(doc_id), F.percentile_approx(doc_id, grid, F.lit(10 * _GRID))
-    ).first()
-    wanted = min(_GRID, -(-n // per_range)) if n else 1
+    ids = rows.select(doc_id)
+    wanted = min(MAX_RANGES, -(-ids.count() // (rows_per_range or ROWS_PER_RANGE)))
     if wanted <= 1:
         return IdRanges()
-    picked = {quantiles[i * _GRID // wanted - 1] for i in range(1, wanted)}
-    most_repeated = max(Counter(quantiles).values()) - 1
-    crowded = most_repeated * n / _GRID > per_range
-    return IdRanges(tuple(sorted(picked)), crowded)
+    cuts = [i / wanted for i in range(1, wanted)]
+    (bounds,) = ids.agg(F.percentile_approx(doc_id, cuts, F.lit(10 * MAX_RANGES))).first()
+    different = tuple(sorted(set(bounds)))
+    return IdRanges(different, crowded=len(different) < len(bounds))
 
 
 def number_rows(

@@ -81,8 +81,10 @@ def matching_postings(
     Only the first ``max_postings`` of a term are read; ``df`` still counts all of them.
     """
     postings = index.postings
-    if terms.vocabulary is not None:
+    if index.buckets is not None and terms.vocabulary is not None:
         postings = postings_of(index, terms.vocabulary)
+    elif index.derived is not None and terms.small:
+        postings = index.only(F.broadcast(terms.table.select("term").distinct()))
     if max_postings is not None:
         postings = postings.where(F.col("posting_no") <= max_postings)
     postings = postings.select("term", "doc_id", "tf", "posting_no", "df", "doc_range")
@@ -162,7 +164,9 @@ def attach_titles(ranked: DataFrame, titles: DataFrame, small: bool) -> DataFram
     """
     known = titles.select(F.col("id").alias("doc_id"), "title", F.lit(True).alias("known"))
     if small:
-        known = known.join(F.broadcast(ranked.select("doc_id").distinct()), "doc_id", "left_semi")
+        # Asking for the score makes this branch need what the other one does: one shuffle for both.
+        ids = ranked.where(F.col("score").isNotNull()).select("doc_id").distinct()
+        known = known.join(F.broadcast(ids), "doc_id", "left_semi")
     title = F.when(F.col("known"), F.col("title")).otherwise("N/A").alias("title")
     return ranked.join(known, "doc_id", "left").select(
         "query_id", F.col("rank").cast("bigint").alias("rank"), "doc_id", title, "score"
