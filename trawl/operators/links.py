@@ -105,7 +105,9 @@ def pagerank(
     edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
     vertices = link_vertices(edges).persist(StorageLevel.MEMORY_AND_DISK)
     heavy = _heavy_pages(vertices, links_per_block)
-    out_links = _out_links(edges, heavy).persist(StorageLevel.MEMORY_AND_DISK)
+    # Kept as placed and sorted, out-links are neither shuffled nor sorted again by an iteration.
+    out_links = _out_links(edges, heavy).sortWithinPartitions("id")
+    out_links = out_links.persist(StorageLevel.MEMORY_AND_DISK)
 
     ranks = vertices.select("id", F.lit(1.0).alias("rank"))
     for step in range(1, iterations + 1):

@@ -24,7 +24,7 @@ from trawl.functions.text import STOPWORDS, tokenize
 from trawl.operators.indexing import FieldIndex, SearchIndex
 from trawl.operators.numbering import number_rows
 from trawl.session import BROADCAST_ROWS
-from trawl.sources.index_store import postings_of
+from trawl.sources.index_store import Vocabulary
 
 # Up to this many different terms are written into the plan, where the scan can use them.
 TERMS_IN_PLAN = 1_000
@@ -36,23 +36,27 @@ TERM_PARTS = 32
 _TRIMMED_BY_SPARK = 1_000
 _TRIM_PARTS = 256
 
+# Larger than any token position, so that fields come before positions in ``first``.
+_STAGE = 2**32
+
 # Scores are compared after rounding, so that the order of adding floats cannot decide a rank.
 _SCORE_DIGITS = 9
 
 
 @dataclass(frozen=True)
 class QueryTerms:
-    """Terms of a batch of queries: ``query_id, term, uses, qpos``, and what is known of them.
+    """Terms of a batch of queries, and what is known of them.
 
-    ``uses`` counts the term in the query and ``qpos`` is its first position there. ``small``
-    says that the table was counted and fits a broadcast, ``n_queries`` counts the queries with
-    terms; ``vocabulary`` holds the different terms if they are few.
+    ``table``: ``query_id, term, uses, qpos``, where ``uses`` counts the term in the query and
+    ``qpos`` is its first position there. ``small`` says that the table was counted and fits a
+    broadcast; ``n_queries`` counts the queries with terms. ``vocabulary`` selects the terms in
+    stored postings if they are few.
     """
 
     table: DataFrame
     small: bool
     n_queries: int
-    vocabulary: Optional[list[str]]
+    vocabulary: Optional[Vocabulary] = None
 
 
 def query_terms(queries: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> QueryTerms:
@@ -63,14 +67,13 @@ def query_terms(queries: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> Que
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("uses"), F.min("pos").alias("qpos"))
     )
+    some = table.select("query_id", "term", F.xxhash64("term").alias("hash"))
+    some = some.limit(TERMS_IN_PLAN + 1).collect()
+    if len(some) <= TERMS_IN_PLAN:
+        vocabulary = Vocabulary({row["term"]: row["hash"] for row in some})
+        return QueryTerms(table, True, len({row["query_id"] for row in some}), vocabulary)
     rows, n_queries = table.agg(F.count(F.lit(1)), F.count_distinct("query_id")).first()
-    small = rows <= BROADCAST_ROWS
-    vocabulary = None
-    if small:
-        some = table.select("term").distinct().limit(TERMS_IN_PLAN + 1).collect()
-        if len(some) <= TERMS_IN_PLAN:
-            vocabulary = [row["term"] for row in some]
-    return QueryTerms(table, small, n_queries, vocabulary)
+    return QueryTerms(table, rows <= BROADCAST_ROWS, n_queries)
 
 
 def matching_postings(
@@ -81,30 +84,29 @@ def matching_postings(
     Only the first ``max_postings`` of a term are read; ``df`` still counts all of them.
     """
     postings = index.postings
-    if index.buckets is not None and terms.vocabulary is not None:
-        postings = postings_of(index, terms.vocabulary)
-    elif index.derived is not None and terms.small:
+    if index.derived is not None and terms.small:
         postings = index.only(F.broadcast(terms.table.select("term").distinct()))
+    elif index.buckets is not None and terms.vocabulary is not None:
+        postings = terms.vocabulary.postings_in(index)
     if max_postings is not None:
         postings = postings.where(F.col("posting_no") <= max_postings)
     postings = postings.select("term", "doc_id", "tf", "posting_no", "df", "doc_range")
     if terms.small:
         return postings.join(F.broadcast(terms.table), "term")
-    part = F.pmod(F.col("posting_no"), F.lit(TERM_PARTS)).alias("part")
+    # Frequent terms, in queries or in documents, are joined in parts.
+    part = F.pmod(F.col("posting_no"), F.lit(TERM_PARTS)).cast("int").alias("part")
     parts = F.explode(F.sequence(F.lit(0), F.lit(TERM_PARTS - 1))).alias("part")
-    return postings.select("*", part.cast("int").alias("part")).join(
-        terms.table.select("*", parts), ["term", "part"]
-    )
+    return postings.select("*", part).join(terms.table.select("*", parts), ["term", "part"])
 
 
 def _points(matches: DataFrame, stage: int, points: Column) -> DataFrame:
-    """Contributions of one field; ``first`` tells when a search term by term would meet them."""
+    """Contributions of one field.
+
+    ``first`` tells when a search going field by field and token by token would meet a document.
+    """
+    first = F.lit(stage * _STAGE).cast("bigint") + F.col("qpos")
     return matches.select(
-        "query_id",
-        "doc_id",
-        points.alias("points"),
-        F.struct(F.lit(stage).alias("stage"), "qpos").alias("first"),
-        "doc_range",
+        "query_id", "doc_id", points.alias("points"), first.alias("first"), "doc_range"
     )
 
 
@@ -145,13 +147,12 @@ def rank_all(scores: DataFrame, ranges: int) -> DataFrame:
     Equal scores are common, so a query's documents are cut by score, first term and range of
     document ids, unless the index is small.
     """
-    flat = scores.withColumn("qpos", F.col("first.qpos"))
-    pieces = {"score": False, "qpos": True, "doc_range": True} if ranges > 1 else {}
+    pieces = {"score": False, "first": True, "doc_range": True} if ranges > 1 else {}
     return number_rows(
-        flat,
+        scores,
         group=["query_id"],
         pieces=pieces,
-        order=[F.desc("score"), F.asc("qpos"), F.asc("doc_id")],
+        order=[F.desc("score"), F.asc("first"), F.asc("doc_id")],
         number="rank",
     )
 
@@ -175,8 +176,9 @@ def attach_titles(ranked: DataFrame, titles: DataFrame, small: bool) -> DataFram
 
 def corpus_size(pagerank: DataFrame) -> Column:
     """Number of rows of the rank table as a scalar, or the fixed fallback when it is empty."""
-    rows = pagerank.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return F.when(rows > 0, rows).otherwise(FALLBACK_CORPUS_SIZE)
+    rows = F.count(F.lit(1))
+    size = F.when(rows > 0, rows).otherwise(FALLBACK_CORPUS_SIZE)
+    return pagerank.agg(size.alias("n")).scalar()
 
 
 def search(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Mapping
 from functools import reduce
 from operator import or_
 
@@ -91,21 +91,31 @@ def read_search_index(spark: SparkSession, path: str) -> SearchIndex:
     )
 
 
-def postings_of(index: FieldIndex, terms: Iterable[str]) -> DataFrame:
-    """Postings of the given terms, unknown ones giving none; the list is part of the plan."""
-    wanted = sorted(set(terms))
-    term = F.col("term")
-    found = index.postings.where(term.isin(wanted))
-    if index.buckets is None or not wanted:
-        return found
-    # Storage can use this: the buckets choose folders, short IN lists choose pages.
-    bucket_values = [term_bucket(F.lit(t), index.buckets) for t in wanted]
-    chunks: Sequence[Column] = [
-        term.isin(wanted[i : i + _IN_LIST]) for i in range(0, len(wanted), _IN_LIST)
-    ]
-    return found.where(F.col("term_bucket").isin(*bucket_values)).where(reduce(or_, chunks))
+class Vocabulary:
+    """A short list of terms, in forms that storage can use to skip what holds none of them."""
+
+    def __init__(self, hash_of_term: Mapping[str, int]) -> None:
+        """``hash_of_term`` gives the ``xxhash64`` of each term."""
+        self._hashes = set(hash_of_term.values())
+        listed = [F.lit(term) for term in sorted(hash_of_term)]
+        term = F.col("term")
+        self._condition = term.isin(*listed)
+        if len(listed) > _IN_LIST:
+            # A long IN list reaches Parquet as one wide range, short ones as exact values.
+            chunks = [
+                term.isin(*listed[i : i + _IN_LIST]) for i in range(0, len(listed), _IN_LIST)
+            ]
+            self._condition &= reduce(or_, chunks)
+
+    def postings_in(self, index: FieldIndex) -> DataFrame:
+        """The postings of a stored index that belong to one of the terms."""
+        buckets = sorted({value % index.buckets for value in self._hashes})
+        return index.postings.where(F.col("term_bucket").isin(buckets)).where(self._condition)
 
 
 def posting_list(index: FieldIndex, term: str) -> DataFrame:
     """``doc_id, tf`` of one term, in document order; no rows for an unknown term."""
-    return postings_of(index, [term]).select("doc_id", "tf").orderBy("doc_id")
+    found = index.postings.where(F.col("term") == term)
+    if index.buckets is not None:
+        found = found.where(F.col("term_bucket") == term_bucket(F.lit(term), index.buckets))
+    return found.select("doc_id", "tf").orderBy("doc_id")
