@@ -65,15 +65,20 @@ def look_up(
     feature gets the default. ``small`` requests (known to fit a broadcast) pick their rows out of
     the feature table first, which then need not be shuffled.
     """
-    asked = requests.select("request_id", F.posexplode("ids").alias("pos", "doc_id")).withColumn(
-        "id", F.col("doc_id").cast("string").try_cast("bigint")
+    asked = requests.select("request_id", F.posexplode("ids").alias("pos", "doc_id")).withColumns(
+        {
+            "id": F.col("doc_id").cast("string").try_cast("bigint"),
+            "doc_id": F.col("doc_id").cast("string"),
+        }
     )
     found = features.select("id", F.col(value))
     if small:
         found = found.join(F.broadcast(asked.select("id").distinct()), "id", "left_semi")
-    return asked.join(found, "id", "left").select(
-        "request_id", "pos", F.col("doc_id").cast("string"), F.coalesce(value, default).alias(value)
-    )
+    columns = ["request_id", "pos", "doc_id"]
+    numbers = asked.where(F.col("id").isNotNull()).join(found, "id", "left")
+    # What is no number takes no part in the join, where it would all go to one task.
+    others = asked.where(F.col("id").isNull()).select(*columns, default.alias(value))
+    return numbers.select(*columns, F.coalesce(value, default).alias(value)).unionByName(others)
 
 
 def lookup_pagerank(requests: DataFrame, pagerank: DataFrame, small: bool = False) -> DataFrame:

@@ -49,12 +49,13 @@ class QueryTerms:
 
     ``table``: ``query_id, term, uses, qpos``, where ``uses`` counts the term in the query and
     ``qpos`` is its first position there. ``small`` says that the table was counted and fits a
-    broadcast; ``n_queries`` counts the queries with terms. ``vocabulary`` selects the terms in
-    stored postings if they are few.
+    broadcast; ``n_rows`` counts it and ``n_queries`` the queries with terms. ``vocabulary``
+    selects the terms in stored postings if they are few.
     """
 
     table: DataFrame
     small: bool
+    n_rows: int
     n_queries: int
     vocabulary: Optional[Vocabulary] = None
 
@@ -71,9 +72,10 @@ def query_terms(queries: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> Que
     some = some.limit(TERMS_IN_PLAN + 1).collect()
     if len(some) <= TERMS_IN_PLAN:
         vocabulary = Vocabulary({row["term"]: row["hash"] for row in some})
-        return QueryTerms(table, True, len({row["query_id"] for row in some}), vocabulary)
-    rows, n_queries = table.agg(F.count(F.lit(1)), F.count_distinct("query_id")).first()
-    return QueryTerms(table, rows <= BROADCAST_ROWS, n_queries)
+        n_queries = len({row["query_id"] for row in some})
+        return QueryTerms(table, True, len(some), n_queries, vocabulary)
+    n_rows, n_queries = table.agg(F.count(F.lit(1)), F.count_distinct("query_id")).first()
+    return QueryTerms(table, n_rows <= BROADCAST_ROWS, n_rows, n_queries)
 
 
 def matching_postings(
@@ -110,20 +112,18 @@ def _points(matches: DataFrame, stage: int, points: Column) -> DataFrame:
     )
 
 
-def accumulate(points: DataFrame) -> DataFrame:
+def accumulate(points: DataFrame, terms: QueryTerms) -> DataFrame:
     """Add up contributions: ``query_id, doc_id, score, first, doc_range``.
 
-    Rows are placed by document alone, which serves the sum as well as joins on the document that
-    follow. Postings of one document lie far apart, so there is nothing to combine beforehand.
+    For a small batch, rows are placed by document alone, which serves the sum as well as joins
+    on the document that follow; a document then has at most three rows per query term. Postings
+    of one document lie far apart, so there is next to nothing to combine beforehand.
     """
-    return (
-        points.repartition("doc_id")
-        .groupBy("query_id", "doc_id")
-        .agg(
-            F.sum("points").alias("score"),
-            F.min("first").alias("first"),
-            F.max("doc_range").alias("doc_range"),
-        )
+    placed = points.repartition("doc_id") if terms.small else points
+    return placed.groupBy("query_id", "doc_id").agg(
+        F.sum("points").alias("score"),
+        F.min("first").alias("first"),
+        F.max("doc_range").alias("doc_range"),
     )
 
 
@@ -157,14 +157,15 @@ def rank_all(scores: DataFrame, ranges: int) -> DataFrame:
     )
 
 
-def attach_titles(ranked: DataFrame, titles: DataFrame, small: bool) -> DataFrame:
+def attach_titles(ranked: DataFrame, titles: DataFrame, at_most: Optional[int]) -> DataFrame:
     """``query_id, rank, doc_id, title, score``; unknown documents are titled ``N/A``.
 
-    A ``small`` result (known to fit a broadcast) first picks its titles out of the title table,
-    which then need not be shuffled. A null title of a known document stays null.
+    A null title of a known document stays null. A result of ``at_most`` so many rows that it is
+    sure to fit a broadcast first picks its titles out of the title table, which then need not be
+    shuffled.
     """
     known = titles.select(F.col("id").alias("doc_id"), "title", F.lit(True).alias("known"))
-    if small:
+    if at_most is not None and at_most <= BROADCAST_ROWS:
         # Asking for the score makes this branch need what the other one does: one shuffle for both.
         ids = ranked.where(F.col("score").isNotNull()).select("doc_id").distinct()
         known = known.join(F.broadcast(ids), "doc_id", "left_semi")
@@ -204,13 +205,13 @@ def search(
         ),
         _points(matching_postings(terms, index.body, max_postings), 2, uses * bm25 * weights.body),
     ]
-    scores = accumulate(reduce(DataFrame.unionByName, fields))
+    scores = accumulate(reduce(DataFrame.unionByName, fields), terms)
     ranks = pagerank.select(F.col("id").alias("doc_id"), "pagerank")
     boosted = scores.join(ranks, "doc_id", "left").withColumn(
         "score", F.col("score") + rank_boost(F.col("pagerank")) * weights.pagerank
     )
     top = rank_top(boosted.drop("pagerank"), limit)
-    return attach_titles(top, titles, _is_small(terms, limit))
+    return attach_titles(top, titles, terms.n_queries * limit)
 
 
 def search_body(
@@ -226,8 +227,8 @@ def search_body(
     terms = query_terms(queries, stopwords)
     weight = F.col("tf") * classic_idf(F.col("df"), F.lit(n_docs))
     matches = matching_postings(terms, index, max_postings)
-    scores = accumulate(_points(matches, 0, F.col("uses") * weight))
-    return attach_titles(rank_top(scores, limit), titles, _is_small(terms, limit))
+    scores = accumulate(_points(matches, 0, F.col("uses") * weight), terms)
+    return attach_titles(rank_top(scores, limit), titles, terms.n_queries * limit)
 
 
 def search_matches(
@@ -239,8 +240,10 @@ def search_matches(
 ) -> DataFrame:
     """Every document ranked by how many query tokens the field holds, each use counted."""
     terms = query_terms(queries, stopwords)
-    scores = accumulate(_points(matching_postings(terms, index, max_postings), 0, F.col("uses")))
-    return attach_titles(rank_all(scores, index.ranges), titles, small=False)
+    matches = matching_postings(terms, index, max_postings)
+    scores = accumulate(_points(matches, 0, F.col("uses")), terms)
+    at_most = None if max_postings is None else terms.n_rows * max_postings
+    return attach_titles(rank_all(scores, index.ranges), titles, at_most)
 
 
 def search_title(
@@ -258,8 +261,3 @@ def search_anchor(
 def response_pairs(results: DataFrame) -> DataFrame:
     """Results as the pairs a client sees: ``query_id, rank``, the id as a string, the title."""
     return results.select("query_id", "rank", F.col("doc_id").cast("string").alias("id"), "title")
-
-
-def _is_small(terms: QueryTerms, limit: int) -> bool:
-    """Whether ``limit`` results per query are sure to fit a broadcast."""
-    return terms.small and terms.n_queries * limit <= BROADCAST_ROWS

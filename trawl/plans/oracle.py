@@ -15,13 +15,13 @@ _PATTERN = _quoted(WORD_PATTERN)
 _WEIGHTS = SearchWeights()
 
 _COMMON = """
-n AS (SELECT count(*) AS n FROM documents),
 titles AS (
   SELECT doc_id AS id, split_part(split_part(text, chr(10), 1), '.', 1) AS title, text, lang
   FROM documents),
 pairs AS (
-  SELECT l_orderkey % n AS src, l_partkey % CAST(floor(n * 1.1) AS BIGINT) AS dst
-  FROM lineitem, n),
+  SELECT l_orderkey % (SELECT count(*) FROM documents) AS src,
+         l_partkey % (SELECT CAST(floor(count(*) * 1.1) AS BIGINT) FROM documents) AS dst
+  FROM lineitem),
 links AS (
   SELECT src, dst, coalesce(title, 'missing page') AS text
   FROM pairs LEFT JOIN titles ON id = dst),
@@ -29,8 +29,9 @@ edges AS (SELECT DISTINCT src, dst FROM links),
 vertices AS (SELECT src AS id FROM edges UNION SELECT dst FROM edges),
 queries AS (SELECT item_id AS query_id, text AS query FROM benchmark),
 qrels AS (
-  SELECT DISTINCT user_id % (SELECT count(*) FROM benchmark) AS query_id, event_id % n AS doc_id
-  FROM events, n WHERE event_type = 'click'),
+  SELECT DISTINCT user_id % (SELECT count(*) FROM benchmark) AS query_id,
+         event_id % (SELECT count(*) FROM documents) AS doc_id
+  FROM events WHERE event_type = 'click'),
 query_words AS (
   SELECT query_id, unnest(words) AS term, generate_subscripts(words, 1) AS qpos
   FROM (SELECT query_id, regexp_extract_all(lower(query), PATTERN) AS words FROM queries)),

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trawl.sources.corpus import spread
+
 
 class SampleViews:
     """Views over the Parquet tables in ``folder``."""
@@ -26,17 +28,19 @@ class SampleViews:
 
     def documents(self) -> DataFrame:
         """``id, title, text, lang``."""
-        return self.table("documents").select(
+        return spread(self.table("documents")).select(
             F.col("doc_id").alias("id"), first_sentence(F.col("text")).alias("title"), "text", "lang"
         )
 
     def titles(self) -> DataFrame:
-        return self.documents().select("id", "title")
+        return self.table("documents").select(
+            F.col("doc_id").alias("id"), first_sentence(F.col("text")).alias("title")
+        )
 
     def links(self) -> DataFrame:
         """``src, dst, text``: a tenth of the possible targets are no documents."""
         n = self._size_of("documents")
-        pairs = self.table("lineitem").select(
+        pairs = spread(self.table("lineitem")).select(
             (F.col("l_orderkey") % n).alias("src"),
             (F.col("l_partkey") % F.floor(n * 1.1)).alias("dst"),
         )

@@ -13,6 +13,16 @@ def read_corpus(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.schema(CORPUS).parquet(*paths)
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Give every core a part of a table that has fewer files than there are cores.
+
+    A file may hold a single row group, which one task then has to read; costly work on its rows
+    should not be left to that task. Tables of many files are returned as they are.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if len(table.inputFiles()) < cores else table
+
+
 def file_order() -> Column:
     """Sort key that puts rows in the order of file name and place in the file.
 

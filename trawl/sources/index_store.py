@@ -28,12 +28,12 @@ def write_index(
 ) -> None:
     """Write an index: ``postings`` and ``term_stats``, in one folder per bucket of terms.
 
-    Files are sorted by term and document, and range partitioning lets a frequent term run on over
-    several files. A reader of few terms opens their folders only, and there their pages only.
+    A task writes one bucket of one range of document ids at a time, sorted by term and document:
+    a frequent term runs on over several files, none of which depends on how frequent it is. A
+    reader of few terms opens their folders only, and there their pages only.
     """
     bad_id = F.raise_error(F.format_string("document id %s needs more than 32 bits", "doc_id"))
     fits = F.col("doc_id").between(0, MAX_DOC_ID)
-    order = ["term_bucket", "term", "doc_id"]
     (
         index.postings.withColumns(
             {
@@ -42,8 +42,8 @@ def write_index(
                 "term_bucket": term_bucket(F.col("term"), buckets),
             }
         )
-        .repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        .repartition("term_bucket", "doc_range")
+        .sortWithinPartitions("term_bucket", "doc_range", "term", "doc_id")
         .write.mode(mode)
         .partitionBy("term_bucket")
         .parquet(f"{path}/postings")
@@ -52,7 +52,7 @@ def write_index(
     first = spark.read.parquet(f"{path}/postings").where(F.col("posting_no") == 1)
     (
         first.select("term", "df", "term_total", "term_bucket")
-        .repartitionByRange("term_bucket", "term")
+        .repartition("term_bucket")
         .sortWithinPartitions("term_bucket", "term")
         .write.mode(mode)
         .partitionBy("term_bucket")
