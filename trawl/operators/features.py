@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from typing import Optional
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,14 +15,14 @@ LOG_DOMAIN = "en.wikipedia"
 _SPACES = r"\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
-def build_titles(corpus: DataFrame, order: str = "") -> DataFrame:
-    """``id, title``, one row per id; the row with the highest ``order`` wins if ids repeat."""
-    ids = F.col("id").cast("long").alias("id")
-    if not order:
-        return corpus.select(ids, "title")
-    return corpus.select(ids, "title", order).groupBy("id").agg(
-        F.max_by("title", order).alias("title")
-    )
+def build_titles(corpus: DataFrame, order: Optional[str] = None) -> DataFrame:
+    """``id, title``, one row per id; if an id repeats, its row with the highest ``order`` wins.
+
+    Without an ``order`` column the last row wins, in the order the table is read.
+    """
+    place = F.col(order) if order else F.monotonically_increasing_id()
+    rows = corpus.select(F.col("id").cast("long").alias("id"), "title", place.alias("place"))
+    return rows.groupBy("id").agg(F.max_by("title", "place").alias("title"))
 
 
 def parse_pageviews(lines: DataFrame, domain: str = LOG_DOMAIN) -> DataFrame:

@@ -171,9 +171,20 @@ def merge_index(
 
     Positions and statistics are worked out anew, so both parts should be built with ``min_df=0``.
     """
-    columns = ["term", "doc_id", "tf"]
-    both = first.postings.select(*columns).unionByName(second.postings.select(*columns))
-    return number_postings(both, measure_id_ranges(both, "doc_id", rows_per_range), min_df)
+    both = _counts(first).unionByName(_counts(second))
+    if first.derived and second.derived and rows_per_range is None:
+        bounds = {*first.derived.ranges.bounds, *second.derived.ranges.bounds}
+        ranges = IdRanges(tuple(sorted(bounds)))
+    else:
+        ranges = measure_id_ranges(both, "doc_id", rows_per_range)
+    return number_postings(both, ranges, min_df)
+
+
+def _counts(index: FieldIndex) -> DataFrame:
+    """``term, doc_id, tf`` of an index, from before it was numbered if nothing was dropped."""
+    if index.derived is not None and index.derived.min_df == 0:
+        return index.derived.frequencies
+    return index.postings.select("term", "doc_id", "tf")
 
 
 def add_documents(

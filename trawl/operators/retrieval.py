@@ -92,6 +92,8 @@ def matching_postings(
         postings = terms.vocabulary.postings_in(index)
     if max_postings is not None:
         postings = postings.where(F.col("posting_no") <= max_postings)
+    # No document id is null; said here, later joins on it need no check that sets plans apart.
+    postings = postings.where(F.col("doc_id").isNotNull())
     postings = postings.select("term", "doc_id", "tf", "posting_no", "df", "doc_range")
     if terms.small:
         return postings.join(F.broadcast(terms.table), "term")
