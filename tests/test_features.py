@@ -58,14 +58,16 @@ def test_later_files_win(spark, titles, folder):
     assert pairs(features.build_pageviews(read_pageview_log(spark, folder), titles)) == [(12, 3)]
 
 
-def test_look_ups_keep_order_and_repeats(spark, titles):
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_look_ups_keep_order_and_repeats(spark, titles, monkeypatch, limit):
+    monkeypatch.setattr(features, "BROADCAST_ROWS", limit)
     views = spark.createDataFrame([(12, 3), (25, 5)], "id long, views long")
     asked = spark.createDataFrame(
         [(1, ["12", "25", "1000", "999999999"]), (2, ["25", "x", "25", None]), (3, [])],
         "request_id int, ids array<string>",
     )
-    for small in (False, True):
-        found = features.lookup_pageviews(asked, views, small).orderBy("request_id", "pos").collect()
+    for check in (False, True):
+        found = features.lookup_pageviews(asked, views, check).orderBy("request_id", "pos").collect()
         assert [(r["request_id"], r["doc_id"], r["views"]) for r in found] == [
             (1, "12", 3),
             (1, "25", 5),
@@ -86,7 +88,9 @@ def test_enrich(spark):
     results = spark.createDataFrame([(0, 1, 12), (0, 2, 13)], "query_id int, rank int, doc_id long")
     ranks = spark.createDataFrame([(12, 1.5)], "id long, pagerank double")
     views = spark.createDataFrame([(13, 9)], "id long, views long")
-    assert pairs(features.enrich(results, ranks, views)) == [(0, 1, 12, 1.5, 0), (0, 2, 13, 0.0, 9)]
+    for check in (False, True):
+        rows = pairs(features.enrich(results, ranks, views, check))
+        assert rows == [(0, 1, 12, 1.5, 0), (0, 2, 13, 0.0, 9)]
 
 
 def test_titles_of_files_of_which_one_is_broken(spark, folder):
@@ -101,6 +105,11 @@ def test_titles_of_files_of_which_one_is_broken(spark, folder):
     assert pairs(titles) == [(1, "new"), (2, None)]
 
 
+def test_one_title_per_id(spark):
+    pages = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id long, title string").coalesce(1)
+    assert pairs(features.build_titles(pages)) == [(1, "b"), (2, "c")]
+
+
 def test_reading_a_missing_corpus_fails(spark, folder):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         read_corpus(spark, f"{folder}/nothing")

@@ -8,6 +8,8 @@ from typing import Optional
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trawl.session import BROADCAST_ROWS
+
 # Fixed value of the page-view log: the wanted domain.
 LOG_DOMAIN = "en.wikipedia"
 
@@ -58,13 +60,17 @@ def build_pageviews(lines: DataFrame, titles: DataFrame, mode: str = "last") ->
 
 
 def look_up(
-    requests: DataFrame, features: DataFrame, value: str, default: Column, small: bool = False
+    requests: DataFrame,
+    features: DataFrame,
+    value: str,
+    default: Column,
+    check_size: bool = True,
 ) -> DataFrame:
     """``request_id, pos, doc_id, <value>`` for requests of ``request_id, ids``.
 
     Order and repeats of the asked ids are kept in ``pos``. An id that is no number or has no
-    feature gets the default. ``small`` requests (known to fit a broadcast) pick their rows out of
-    the feature table first, which then need not be shuffled.
+    feature gets the default. ``check_size`` counts the asked ids first, up to what fits a
+    broadcast: few ids pick their rows out of the feature table, which then need not be shuffled.
     """
     asked = requests.select("request_id", F.posexplode("ids").alias("pos", "doc_id")).withColumns(
         {
@@ -72,9 +78,7 @@ def look_up(
             "doc_id": F.col("doc_id").cast("string"),
         }
     )
-    found = features.select("id", F.col(value))
-    if small:
-        found = found.join(F.broadcast(asked.select("id").distinct()), "id", "left_semi")
+    found = _of_ids(features.select("id", value), asked if check_size else None)
     columns = ["request_id", "pos", "doc_id"]
     numbers = asked.where(F.col("id").isNotNull()).join(found, "id", "left")
     # What is no number takes no part in the join, where it would all go to one task.
@@ -82,24 +86,41 @@ def look_up(
     return numbers.select(*columns, F.coalesce(value, default).alias(value)).unionByName(others)
 
 
-def lookup_pagerank(requests: DataFrame, pagerank: DataFrame, small: bool = False) -> DataFrame:
-    return look_up(requests, pagerank, "pagerank", F.lit(0.0), small)
+def lookup_pagerank(
+    requests: DataFrame, pagerank: DataFrame, check_size: bool = True
+) -> DataFrame:
+    return look_up(requests, pagerank, "pagerank", F.lit(0.0), check_size)
+
 
+def lookup_pageviews(
+    requests: DataFrame, pageviews: DataFrame, check_size: bool = True
+) -> DataFrame:
+    return look_up(requests, pageviews, "views", F.lit(0).cast("bigint"), check_size)
 
-def lookup_pageviews(requests: DataFrame, pageviews: DataFrame, small: bool = False) -> DataFrame:
-    return look_up(requests, pageviews, "views", F.lit(0).cast("bigint"), small)
 
+def enrich(
+    results: DataFrame, pagerank: DataFrame, pageviews: DataFrame, check_size: bool = False
+) -> DataFrame:
+    """Ranked results with ``pagerank`` and ``views`` added, 0 where missing.
 
-def enrich(results: DataFrame, pagerank: DataFrame, pageviews: DataFrame) -> DataFrame:
-    """Ranked results with ``pagerank`` and ``views`` added, 0 where missing."""
-    ranks = pagerank.select(F.col("id").alias("doc_id"), F.col("pagerank").alias("_rank"))
-    views = pageviews.select(F.col("id").alias("doc_id"), F.col("views").alias("_views"))
+    ``check_size`` is as for look-ups. Counting runs the results, so it pays for stored ones only.
+    """
+    ids = results.select(F.col("doc_id").alias("id")) if check_size else None
+    ranks = _of_ids(pagerank.select("id", F.col("pagerank").alias("_rank")), ids)
+    views = _of_ids(pageviews.select("id", F.col("views").alias("_views")), ids)
     return (
-        results.join(ranks, "doc_id", "left")
-        .join(views, "doc_id", "left")
+        results.join(ranks.withColumnRenamed("id", "doc_id"), "doc_id", "left")
+        .join(views.withColumnRenamed("id", "doc_id"), "doc_id", "left")
         .select(
             *results.columns,
             F.coalesce("_rank", F.lit(0.0)).alias("pagerank"),
             F.coalesce("_views", F.lit(0)).alias("views"),
         )
     )
+
+
+def _of_ids(features: DataFrame, ids: Optional[DataFrame]) -> DataFrame:
+    """The features of ``ids`` picked out by a broadcast if a count shows that these are few."""
+    if ids is None or ids.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        return features
+    return features.join(F.broadcast(ids.select("id").distinct()), "id", "left_semi")

@@ -41,8 +41,8 @@ class Engine:
     def lookup_pageviews(self, requests: DataFrame, **options: object) -> DataFrame:
         return features.lookup_pageviews(requests, self.pageviews, **options)
 
-    def enrich(self, results: DataFrame) -> DataFrame:
-        return features.enrich(results, self.pagerank, self.pageviews)
+    def enrich(self, results: DataFrame, **options: object) -> DataFrame:
+        return features.enrich(results, self.pagerank, self.pageviews, **options)
 
 
 def build_engine(
