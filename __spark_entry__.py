@@ -12,6 +12,13 @@ from trawl.operators import evaluation, features, indexing, links, retrieval
 from trawl.plans import oracle
 from trawl.plans.sample import SampleViews
 
+try:
+    from trawl.llm import registry as corpus_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("trawl.llm", "corpus_pipeline")):
+        raise
+    corpus_queries = None
+
 # The sample tables are small: the default thresholds would leave next to nothing to see.
 MIN_DF = 2
 MAX_POSTINGS = 100
@@ -279,9 +286,11 @@ def _bind(
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Every registered query, called with a session and a folder of sample tables."""
-    return {query.__name__: _bind(query) for query in _QUERIES}
+    registered = {query.__name__: _bind(query) for query in _QUERIES}
+    return registered | (corpus_queries.queries() if corpus_queries else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    """For each registered query, a statement giving the same rows in DuckDB."""
-    return oracle.statements(MIN_DF, MAX_POSTINGS, BLOCK_SIZE)
+    """Where SQL can express a query, a statement giving the same rows in DuckDB."""
+    statements = oracle.statements(MIN_DF, MAX_POSTINGS, BLOCK_SIZE)
+    return statements | (corpus_queries.oracle_sql() if corpus_queries else {})
