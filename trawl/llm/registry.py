@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import line_dedup
+from trawl.llm import byte_bpe, decontamination, line_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_line_dedup": (line_dedup.op1_line_dedup, line_dedup.ORACLE_SQL),
+    "op4_benchmark_decontamination": (
+        decontamination.op4_benchmark_decontamination,
+        decontamination.ORACLE_SQL,
+    ),
+    "op10_byte_bpe": (byte_bpe.op10_byte_bpe, None),
 }
 
 
