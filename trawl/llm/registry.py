@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import byte_bpe, decontamination, line_dedup
+from trawl.llm import byte_bpe, decontamination, line_dedup, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
         decontamination.op4_benchmark_decontamination,
         decontamination.ORACLE_SQL,
     ),
+    "op5_quality_rules": (quality_rules.op5_quality_rules, None),
     "op10_byte_bpe": (byte_bpe.op10_byte_bpe, None),
 }
 
