@@ -20,18 +20,19 @@ from trawl.llm.common import require, table, with_columns
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 # Bounds on what a task holds at once; results don't depend on them.
-BLOCK_WORDS = 400_000
-BLOCK_TOKENS = 1_500_000
-KNOWN_WORDS = 400_000
+BLOCK_WORDS = 200_000
+BLOCK_TOKENS = 500_000
+KNOWN_WORDS = 250_000
+WORDS_PER_RECURSION = 10_000
 SHORT_BYTES = 200
-ROWS_PER_RECURSION = 2_000_000
+ROWS_PER_RECURSION = 1_000_000
 
 # White space spelt out: Python's \s has four more control characters than other libraries.
 _PATTERN = public_tokenizers.PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(
     r"(?!\S)", r"(?!\P{White_Space})"
 ).replace(r"\s+", r"\p{White_Space}+")
 
-_SETTINGS = "SET threads = 1; SET memory_limit = '500MB'; SET temp_directory = ''"
+_SETTINGS = "SET threads = 1; SET memory_limit = '250MB'; SET temp_directory = ''"
 
 # A row is a token of a word with its successor (-1 at the end of the word). Each step finds a
 # word's leftmost pair of least rank, gives the merged token to both neighbours and takes the
@@ -181,8 +182,9 @@ class PairCoder:
         for word in new:
             raw = word.encode("utf-8", "replace")
             (short if len(raw) <= SHORT_BYTES else long).append((word, raw))
-        if short:
-            self._remember(short, self._short(short))
+        for i in range(0, len(short), WORDS_PER_RECURSION):
+            part = short[i : i + WORDS_PER_RECURSION]
+            self._remember(part, self._short(part))
         for word, raw in long:
             self._known[word] = self._long(raw).astype("<u4").tobytes()
 
