@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import byte_bpe, decontamination, line_dedup, quality_rules
+from trawl.llm import byte_bpe, decontamination, line_dedup, quality_rules, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_line_dedup": (line_dedup.op1_line_dedup, line_dedup.ORACLE_SQL),
+    "op3_toxicity": (toxicity.op3_toxicity, None),
     "op4_benchmark_decontamination": (
         decontamination.op4_benchmark_decontamination,
         decontamination.ORACLE_SQL,
