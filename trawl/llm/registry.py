@@ -6,18 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from trawl.llm import byte_bpe, decontamination, line_dedup, quality_rules, toxicity
+from trawl.llm import (
+    byte_bpe,
+    decontamination,
+    line_dedup,
+    ngram_join,
+    quality_rules,
+    substring_dedup,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op1_line_dedup": (line_dedup.op1_line_dedup, line_dedup.ORACLE_SQL),
+    "op2_substring_dedup": (substring_dedup.op2_substring_dedup, substring_dedup.ORACLE_SQL),
     "op3_toxicity": (toxicity.op3_toxicity, None),
     "op4_benchmark_decontamination": (
         decontamination.op4_benchmark_decontamination,
         decontamination.ORACLE_SQL,
     ),
     "op5_quality_rules": (quality_rules.op5_quality_rules, None),
+    "op9_ngram_jaccard_join": (ngram_join.op9_ngram_jaccard_join, ngram_join.ORACLE_SQL),
     "op10_byte_bpe": (byte_bpe.op10_byte_bpe, None),
 }
 
