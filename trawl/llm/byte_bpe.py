@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import cache
 from itertools import islice
 
 import duckdb
@@ -20,19 +21,19 @@ from trawl.llm.common import require, table, with_columns
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 # Bounds on what a task holds at once; results don't depend on them.
-BLOCK_WORDS = 200_000
-BLOCK_TOKENS = 500_000
-KNOWN_WORDS = 250_000
-WORDS_PER_RECURSION = 10_000
+BLOCK_WORDS = 100_000
+BLOCK_TOKENS = 250_000
+KNOWN_WORDS = 150_000
+WORDS_PER_RECURSION = 5_000
 SHORT_BYTES = 200
-ROWS_PER_RECURSION = 1_000_000
+ROWS_PER_RECURSION = 500_000
 
 # White space spelt out: Python's \s has four more control characters than other libraries.
 _PATTERN = public_tokenizers.PATTERN.replace(r"[^\s", r"[^\p{White_Space}").replace(
     r"(?!\S)", r"(?!\P{White_Space})"
 ).replace(r"\s+", r"\p{White_Space}+")
 
-_SETTINGS = "SET threads = 1; SET memory_limit = '250MB'; SET temp_directory = ''"
+_SETTINGS = "SET threads = 1; SET memory_limit = '150MB'; SET temp_directory = ''"
 
 # A row is a token of a word with its successor (-1 at the end of the word). Each step finds a
 # word's leftmost pair of least rank, gives the merged token to both neighbours and takes the
@@ -99,38 +100,38 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
-class PairCoder:
-    """Encodes words and decodes ids over the ranks of a vocabulary file."""
+def _database(table: str, columns: dict[str, pa.Array]) -> duckdb.DuckDBPyConnection:
+    """A database of this process with one table."""
+    database = duckdb.connect()
+    database.execute(_SETTINGS)
+    given = pa.table(columns)  # noqa: F841  DuckDB finds tables by the names of local variables
+    database.execute(f"CREATE TABLE {table} AS SELECT * FROM given")
+    return database
+
+
+class PairEncoder:
+    """Encodes texts by the ranks of a vocabulary file."""
 
     def __init__(self, path: str = VOCABULARY) -> None:
         ranks = read_ranks(path)
-        merges = [
-            (ranks[token[:i]], ranks[token[i:]], rank)
-            for token, rank in ranks.items()
-            for i in range(1, len(token))
-            if token[:i] in ranks and token[i:] in ranks
-        ]
-        unsafe = {part for a, b, rank in merges for part in (a, b) if part > rank}
+        merges = np.array(
+            [
+                (ranks[token[:i]] * 65536 + ranks[token[i:]], rank)
+                for token, rank in ranks.items()
+                for i in range(1, len(token))
+                if token[:i] in ranks and token[i:] in ranks
+            ]
+        )
+        pair, merged = merges[:, 0], merges[:, 1]
+        part_is_later = (pair >> 16 > merged, pair & 65535 > merged)
+        unsafe = np.concatenate(
+            [pair[part_is_later[0]] >> 16, pair[part_is_later[1]] & 65535]
+        )
         self._bytes = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
         self._pattern = regex.compile(_PATTERN)
         self._known: dict[str, bytes] = {}
-        self._db = duckdb.connect()
-        self._db.execute(_SETTINGS)
-        given = pa.table(  # noqa: F841  DuckDB finds tables by the names of local variables
-            {
-                "pair": pa.array([a * 65536 + b for a, b, _ in merges], pa.int64()),
-                "merged": pa.array([m for _, _, m in merges], pa.int64()),
-                "safe": pa.array([m not in unsafe for _, _, m in merges]),
-            }
-        )
-        self._db.execute("CREATE TABLE merges AS SELECT * FROM given")
-        given = pa.table(  # noqa: F841
-            {
-                "tok": pa.array(ranks.values(), pa.int32()),
-                "chars": [token.decode("latin-1") for token in ranks],
-            }
-        )
-        self._db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
+        safe = ~np.isin(merged, unsafe)
+        self._db = _database("merges", {"pair": pair, "merged": merged, "safe": safe})
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
@@ -221,6 +222,16 @@ class PairCoder:
                 return rows["tok"].to_numpy()
             rows = rows.select(["w", "pos", "tok"])
 
+
+class PairDecoder:
+    """Decodes ids by the ranks of a vocabulary file."""
+
+    def __init__(self, path: str = VOCABULARY) -> None:
+        ranks = read_ranks(path)
+        chars = pa.array([token.decode("latin-1") for token in ranks])
+        ids = pa.array(ranks.values(), pa.int32())
+        self._db = _database("vocabulary", {"tok": ids, "chars": chars})
+
     def decode_many(self, ids: pa.ListArray) -> list[bytes]:
         """The bytes of each row of ids; unknown ids have none."""
         sizes = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -248,14 +259,16 @@ class PairCoder:
         return [texts.get(i, "").encode("latin-1") for i in range(len(sizes))]
 
 
-_CODERS: dict[str, PairCoder] = {}
+@cache
+def _encoder(path: str) -> PairEncoder:
+    """The encoder of this Python worker."""
+    return PairEncoder(path)
 
 
-def _coder(path: str) -> PairCoder:
-    """The coder of this Python worker, made once."""
-    if path not in _CODERS:
-        _CODERS[path] = PairCoder(path)
-    return _CODERS[path]
+@cache
+def _decoder(path: str) -> PairDecoder:
+    """The decoder of this Python worker."""
+    return PairDecoder(path)
 
 
 def encode(
@@ -276,7 +289,7 @@ def encode(
 
     @F.arrow_udf("struct<ids: array<int>, n_tokens: bigint, ids_sha256: string>")
     def run(texts: pa.Array) -> pa.Array:
-        coded = list(_coder(vocabulary).encode_many(t.as_py() for t in texts))
+        coded = list(_encoder(vocabulary).encode_many(t.as_py() for t in texts))
         sizes = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
         offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
         flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
@@ -300,7 +313,7 @@ def decode(rows: DataFrame, ids_col: str = "ids", vocabulary: str = VOCABULARY)
 
     @F.arrow_udf("binary")
     def run(ids: pa.Array) -> pa.Array:
-        return pa.array(_coder(vocabulary).decode_many(ids), pa.binary())
+        return pa.array(_decoder(vocabulary).decode_many(ids), pa.binary())
 
     return with_columns(rows, {"decoded": run(F.col(f"`{ids_col}`"))})
 
