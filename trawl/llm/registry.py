@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from trawl.llm import (
     byte_bpe,
     decontamination,
+    lattice_lm,
     line_dedup,
     ngram_join,
     quality_rules,
@@ -27,6 +28,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
         decontamination.ORACLE_SQL,
     ),
     "op5_quality_rules": (quality_rules.op5_quality_rules, None),
+    "op8_lattice_lm": (lattice_lm.op8_lattice_lm, None),
     "op9_ngram_jaccard_join": (ngram_join.op9_ngram_jaccard_join, ngram_join.ORACLE_SQL),
     "op10_byte_bpe": (byte_bpe.op10_byte_bpe, None),
 }
