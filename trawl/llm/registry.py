@@ -12,6 +12,7 @@ from trawl.llm import (
     lattice_lm,
     line_dedup,
     ngram_join,
+    pii,
     quality_rules,
     substring_dedup,
     toxicity,
@@ -28,6 +29,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
         decontamination.ORACLE_SQL,
     ),
     "op5_quality_rules": (quality_rules.op5_quality_rules, None),
+    "op6_pii": (pii.op6_pii, None),
     "op8_lattice_lm": (lattice_lm.op8_lattice_lm, None),
     "op9_ngram_jaccard_join": (ngram_join.op9_ngram_jaccard_join, ngram_join.ORACLE_SQL),
     "op10_byte_bpe": (byte_bpe.op10_byte_bpe, None),
