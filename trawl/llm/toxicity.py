@@ -27,8 +27,9 @@ CONTEXT_WORDS = 5
 QUOTE_CHARS = 60
 
 # Bounds on what a worker remembers; results don't depend on them.
-KNOWN_WORDS = 500_000
-KNOWN_STEPS = 1_000_000
+KNOWN_WORDS = 150_000
+KNOWN_STEPS = 200_000
+DOCS_PER_BATCH = 200
 
 _QUOTES = "\"“”„«»‹›‘’"
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -220,20 +221,21 @@ def _neighbours(train: DataFrame, toxic: int, wanted: frozenset[bytes] | None) -
 
     def pairs(batches):
         for frame in batches:
-            rows = set()
-            for text in frame["text"]:
-                words = _words(text)
-                rows.update(
-                    (word, before)
-                    for before, word in zip([b"", *words], words)
-                    if wanted is None or word in wanted
-                )
-            decoded = [(a.decode("utf-8", "replace"), b.decode("utf-8", "replace")) for a, b in rows]
-            yield pd.DataFrame(decoded, columns=["word", "before"])
+            for i in range(0, len(frame), DOCS_PER_BATCH):
+                rows = set()
+                for text in frame["text"].iloc[i : i + DOCS_PER_BATCH]:
+                    words = _words(text)
+                    rows.update(
+                        (word, before)
+                        for before, word in zip([b"", *words], words)
+                        if wanted is None or word in wanted
+                    )
+                yield pd.DataFrame(list(rows), columns=["word", "before"])
 
     texts = train.where(F.col("toxic") == toxic).select("text")
-    found = texts.mapInPandas(pairs, "word string, before string").distinct()
-    return found.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    found = texts.mapInPandas(pairs, "word binary, before binary").distinct()
+    counted = found.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.decode("word", "UTF-8").alias("word"), "n")
 
 
 def _lexicon(train: DataFrame) -> list[str]:
