@@ -336,9 +336,51 @@ def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of bounded size and only links that join components are kept. Shingles are compared by 64-bit
     hashes, classes by 128 bits.
     """
+    grouped = _grouped(docs, id_col, text_col)
+    once = grouped.dropDuplicates(["place"]).select(
+        F.col("place").alias("_place"),
+        F.col("n").alias("_n"),
+        F.lower(F.concat(F.hex("high"), F.lit("-"), F.hex("low"))).alias("_class"),
+        F.col("least").alias("_least"),
+    )
+    joined = docs.withColumn("_place", _place(id_col, text_col)).join(once, "_place")
+    new = {
+        "n_shingles": F.col("_n"),
+        "class_id": F.col("_class"),
+        "component_id": F.coalesce("_least", F.col(f"`{id_col}`")),
+    }
+    return with_columns(joined, new).drop("_place", "_n", "_class", "_least")
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of every component, that of the least id.
+
+    Documents with empty sets all stay. Rows that share both id and text count once; a row with a
+    null id stands for its component if that has no other.
+    """
+    grouped = _grouped(docs, id_col, text_col)
+    first = F.min(F.struct(F.col("id").isNull(), "id", "place")).getField("place")
+    chosen = (
+        grouped.groupBy(F.coalesce("component", "place").alias("group"), F.col("n") == 0)
+        .agg(first.alias("_place"))
+        .select("_place")
+        .distinct()
+    )
+    marked = docs.withColumn("_place", _place(id_col, text_col))
+    return marked.join(chosen, "_place").dropDuplicates(["_place"]).drop("_place")
+
+
+def _place(id_col: str, text_col: str) -> Column:
+    """A document's place among the sets; rows of equal id and text share one."""
+    own_id = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
+    return F.xxhash64(own_id, F.col(f"`{text_col}`"))
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``place, id, n, high, low, component, least`` of every document, without texts."""
     require(docs, [id_col, text_col])
     text = F.col(f"`{text_col}`")
-    place = F.xxhash64(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")), text)
+    place = _place(id_col, text_col)
     sets = stored(
         docs.select(
             F.col(f"`{id_col}`").alias("id"), place.alias("place"), _sketch_udf()(text).alias("s")
@@ -371,19 +413,14 @@ def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     with_node = sets.select("id", "place", "n", named, "high", "low").join(
         reached, "node", "left"
     )
-    component = F.coalesce("component", "node")
-    least = with_node.where("n > 0").groupBy(component.alias("component")).agg(
-        F.min("id").alias("least")
+    component = F.when(F.col("n") > 0, F.coalesce("component", "node"))
+    named = with_node.withColumn("component", component)
+    least = (
+        named.where("n > 0").groupBy("component").agg(F.min("id").alias("least"))
     )
-    by_class = (
-        with_node.where("n > 0")
-        .select(component.alias("component"), "node")
-        .distinct()
-        .join(least, "component")
-        .select("node", "least")
+    return named.join(least, "component", "left").select(
+        "place", "id", "n", "high", "low", "component", "least"
     )
-    found = with_node.join(by_class, "node", "left").select("place", "n", "high", "low", "least")
-    return _answers(docs, found, id_col, place)
 
 
 def _member_sets(docs: DataFrame, place: Column, text: Column, chosen: DataFrame) -> DataFrame:
@@ -404,23 +441,6 @@ def _member_sets(docs: DataFrame, place: Column, text: Column, chosen: DataFrame
     return rows.select("set", "cluster", elements.asNondeterministic()("text").alias("elements"))
 
 
-def _answers(docs: DataFrame, found: DataFrame, id_col: str, place: Column) -> DataFrame:
-    """The results put to the documents' own columns."""
-    once = found.dropDuplicates(["place"]).select(
-        F.col("place").alias("_place"),
-        F.col("n").alias("_n"),
-        F.lower(F.concat(F.hex("high"), F.lit("-"), F.hex("low"))).alias("_class"),
-        F.col("least").alias("_least"),
-    )
-    joined = docs.withColumn("_place", place).join(once, "_place")
-    new = {
-        "n_shingles": F.col("_n"),
-        "class_id": F.col("_class"),
-        "component_id": F.coalesce("_least", F.col(f"`{id_col}`")),
-    }
-    return with_columns(joined, new).drop("_place", "_n", "_class", "_least")
-
-
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return ngram_groups(docs).select("doc_id", "n_shingles", "component_id")
