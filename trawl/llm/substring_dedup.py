@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
+from itertools import accumulate, repeat
 
 import ahocorasick
 import numpy as np
@@ -89,48 +89,52 @@ def _anchor_rows(window: int):
     return rows
 
 
-def _recurring_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _recurring_rows(hot_documents: int):
     """``id, anchor, hot`` where an anchor has two ids or more; rows come by anchor, then id.
 
-    Only the rows of one anchor are kept at hand, and these up to ``HOT_DOCUMENTS``.
+    Only the rows of one anchor are kept at hand, and these up to ``hot_documents``.
     """
-    anchors = ids = np.zeros(0, np.int64)
-    streaming = None
 
-    def out(anchor: np.ndarray, doc: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch(
-            {"id": pa.array(doc), "anchor": pa.array(anchor), "hot": pa.array(hot)}
-        )
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors = ids = np.zeros(0, np.int64)
+        streaming = None
+
+        def out(anchor: np.ndarray, doc: np.ndarray, hot: np.ndarray) -> pa.RecordBatch:
+            return pa.record_batch(
+                {"id": pa.array(doc), "anchor": pa.array(anchor), "hot": pa.array(hot)}
+            )
+
+        def closed(anchor: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
+            begins = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+            ends = np.append(begins[1:], len(anchor))
+            keep = np.repeat(doc[begins] != doc[ends - 1], ends - begins)
+            hot = np.repeat(ends - begins > hot_documents, ends - begins)
+            return out(anchor[keep], doc[keep], hot[keep])
 
-    def closed(anchor: np.ndarray, doc: np.ndarray) -> pa.RecordBatch:
-        begins = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-        ends = np.append(begins[1:], len(anchor))
-        keep = np.repeat(doc[begins] != doc[ends - 1], ends - begins)
-        hot = np.repeat(ends - begins > HOT_DOCUMENTS, ends - begins)
-        return out(anchor[keep], doc[keep], hot[keep])
-
-    for batch in batches:
-        anchor, doc = batch.column("anchor").to_numpy(), batch.column("id").to_numpy()
-        if streaming is not None and len(anchor):
-            same = int(np.searchsorted(anchor != streaming, True))
-            if same:
-                yield out(anchor[:same], doc[:same], np.ones(same, bool))
-            if same == len(anchor):
+        for batch in batches:
+            anchor, doc = batch.column("anchor").to_numpy(), batch.column("id").to_numpy()
+            if streaming is not None and len(anchor):
+                same = int(np.searchsorted(anchor != streaming, True))
+                if same:
+                    yield out(anchor[:same], doc[:same], np.ones(same, bool))
+                if same == len(anchor):
+                    continue
+                streaming, anchor, doc = None, anchor[same:], doc[same:]
+            anchors, ids = np.append(anchors, anchor), np.append(ids, doc)
+            if not len(anchors):
                 continue
-            streaming, anchor, doc = None, anchor[same:], doc[same:]
-        anchors, ids = np.append(anchors, anchor), np.append(ids, doc)
-        if not len(anchors):
-            continue
-        last = len(anchors) - int(np.searchsorted(anchors[::-1] != anchors[-1], True))
-        if last:
-            yield closed(anchors[:last], ids[:last])
-        anchors, ids = anchors[last:], ids[last:]
-        if len(anchors) > HOT_DOCUMENTS and ids[0] != ids[-1]:
-            streaming = anchors[-1]
-            yield out(anchors, ids, np.ones(len(ids), bool))
-            anchors = ids = np.zeros(0, np.int64)
-    if len(anchors):
-        yield closed(anchors, ids)
+            last = len(anchors) - int(np.searchsorted(anchors[::-1] != anchors[-1], True))
+            if last:
+                yield closed(anchors[:last], ids[:last])
+            anchors, ids = anchors[last:], ids[last:]
+            if len(anchors) > hot_documents and ids[0] != ids[-1]:
+                streaming = anchors[-1]
+                yield out(anchors, ids, np.ones(len(ids), bool))
+                anchors = ids = np.zeros(0, np.int64)
+        if len(anchors):
+            yield closed(anchors, ids)
+
+    return rows
 
 
 def _phrase_rows(window: int):
@@ -145,7 +149,8 @@ def _phrase_rows(window: int):
         for batch in batches:
             documents, parts = [], []
             columns = (batch.column(c) for c in ("id", "place", "text", "anchors", "hot"))
-            for i, (doc, place, text, anchors, hot) in enumerate(zip(*columns)):
+            present = (row for row in zip(*columns) if row[3].is_valid)
+            for i, (doc, place, text, anchors, hot) in enumerate(present):
                 words = split_words(text.as_py())
                 word_hashes = hashes.of(words)
                 anchor, at = window_anchors(word_hashes, window)
@@ -164,12 +169,12 @@ def _phrase_rows(window: int):
                     )
                 )
             if documents:
-                yield _to_phrases(documents, [np.concatenate(p) for p in zip(*parts)], window)
+                yield from _to_phrases(documents, [np.concatenate(p) for p in zip(*parts)], window)
 
     return rows
 
 
-def _to_phrases(documents: list, columns: list[np.ndarray], window: int) -> pa.RecordBatch:
+def _to_phrases(documents: list, columns: list[np.ndarray], window: int) -> list[pa.RecordBatch]:
     of, start, content, anchor, at, hot = columns
     ids = np.array([d[0] for d in documents], np.int64)
     places = np.array([d[1] for d in documents], np.int64)
@@ -179,7 +184,7 @@ def _to_phrases(documents: list, columns: list[np.ndarray], window: int) -> pa.R
     least = ids[of][order][np.flatnonzero(~same)][group - 1] if len(of) else ids[:0]
     settled = np.zeros(len(of), bool)
     settled[order] = ids[of][order] > least
-    out: list[tuple] = []
+    batches = []
     for kind in (False, True):
         chosen = np.flatnonzero(settled == kind)
         if not len(chosen):
@@ -189,19 +194,19 @@ def _to_phrases(documents: list, columns: list[np.ndarray], window: int) -> pa.R
         if not kind:
             new |= np.append(True, (a[1:] != a[:-1])) | h
         begins = np.flatnonzero(new)
-        ends = np.append(begins[1:], len(chosen)) - 1
-        for b, e in zip(begins.tolist(), ends.tolist()):
-            doc, first, stop = int(o[b]), int(s[b]), int(s[e]) + window
-            row = (int(ids[doc]), int(places[doc]), first, stop)
-            if kind:
-                out.append((int(places[doc]), *row, None))
-            else:
-                key = content[chosen[b]] if h[b] else anchor[chosen[b]]
-                phrase = b" ".join(documents[doc][2][first:stop])
-                out.append((int(key.view(np.int64)), *row, phrase))
-    columns = list(zip(*out)) if out else [[]] * 6
-    arrays = [pa.array(c, f.type) for c, f in zip(columns, _ARROW_PHRASES)]
-    return pa.RecordBatch.from_arrays(arrays, schema=_ARROW_PHRASES)
+        doc, first = o[begins], s[begins]
+        stop = s[np.append(begins[1:], len(chosen)) - 1] + window
+        keys = np.where(h, content[chosen], anchor[chosen])[begins].view(np.int64)
+        phrases = [
+            b" ".join(documents[d][2][f:t])
+            for d, f, t in zip(doc.tolist(), first.tolist(), stop.tolist())
+            if not kind
+        ]
+        numbers = (places[doc] if kind else keys, ids[doc], places[doc], first, stop)
+        arrays = [pa.array(c, f.type) for c, f in zip(numbers, _ARROW_PHRASES)]
+        arrays.append(pa.nulls(len(doc), pa.binary()) if kind else pa.array(phrases, pa.binary()))
+        batches.append(pa.RecordBatch.from_arrays(arrays, schema=_ARROW_PHRASES))
+    return batches
 
 
 class PhraseShard:
@@ -215,42 +220,43 @@ class PhraseShard:
     def find(self, rows: list[tuple]) -> list[tuple[int, int, int, int]]:
         """``id, place, start, stop`` of stretches that a phrase of a lesser id has.
 
-        Rows ``(route, id, place, start, phrase)`` come by route and id. The windows of the last
-        route are remembered, as it may go on in the next rows.
+        Rows ``(route, id, place, start, phrase)`` come by route and id, and equal windows have
+        equal routes. The windows of the last route are remembered, as it may go on.
         """
         n = self._window
-        codes: dict[bytes, int] = {}
-        split = [row[4].split(b" ") for row in rows]
-        coded = [tuple(codes.setdefault(w, len(codes)) for w in words) for words in split]
-        first: dict[tuple[int, ...], int] = {}
-        recurring: dict[tuple[int, ...], int] = {}
-        for (route, doc, *_), words, numbers in zip(rows, split, coded):
-            for i in range(len(numbers) - n + 1):
-                window = numbers[i : i + n]
-                known = first.get(window)
-                if known is None and route == self._route and self._seen:
-                    known = self._seen.get(b" ".join(words[i : i + n]))
-                    if known is not None:
-                        first[window] = known
-                if known is None:
-                    first[window] = doc
-                elif known < doc:
+        route, seen = self._route, self._seen
+        recurring: dict[bytes, int] = {}
+        repeating = []
+        for row in rows:
+            if row[0] != route:
+                route, seen = row[0], {}
+            doc, phrase = row[1], row[4]
+            words = phrase.split(b" ")
+            starts = [0, *accumulate(len(word) + 1 for word in words)]
+            repeats = False
+            for start, stop in zip(starts, starts[n:]):
+                window = phrase[start : stop - 1]
+                known = seen.setdefault(window, doc)
+                if known < doc:
                     recurring[window] = known
-        found = self._locate(rows, coded, recurring)
-        self._remember(rows, split)
-        return found
-
-    def _locate(self, rows, coded, recurring) -> list[tuple[int, int, int, int]]:
-        if not recurring:
-            return []
+                    repeats = True
+            if repeats:
+                repeating.append((row, words))
+        self._route, self._seen = route, seen
+        return self._locate(repeating, recurring) if recurring else []
+
+    def _locate(self, rows: list, recurring: dict[bytes, int]) -> list[tuple[int, int, int, int]]:
+        """Compiles the confirmed windows and finds them in the phrases that repeat some."""
+        codes: dict[bytes, int] = {}
         automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for window, doc in recurring.items():
-            automaton.add_word(window, doc)
+            coded = tuple(codes.setdefault(w, len(codes) + 1) for w in window.split(b" "))
+            automaton.add_word(coded, doc)
         automaton.make_automaton()
         found = []
-        for (_, doc, place, start, _), numbers in zip(rows, coded):
+        for (_, doc, place, start, _), words in rows:
             low = high = -1
-            for end, least in automaton.iter(numbers):
+            for end, least in automaton.iter(tuple(map(codes.get, words, repeat(0)))):
                 if least >= doc:
                     continue
                 begin = end - self._window + 1
@@ -263,18 +269,8 @@ class PhraseShard:
                 found.append((doc, place, start + low, start + high))
         return found
 
-    def _remember(self, rows: list[tuple], split: list[list[bytes]]) -> None:
-        last = rows[-1][0]
-        if last != self._route:
-            self._route, self._seen = last, {}
-        n = self._window
-        for (route, doc, *_), words in zip(rows, split):
-            if route == last:
-                for i in range(len(words) - n + 1):
-                    self._seen.setdefault(b" ".join(words[i : i + n]), doc)
-
 
-def _located_rows(window: int):
+def _located_rows(window: int, rows_per_automaton: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
         shard = PhraseShard(window)
         for batch in batches:
@@ -286,8 +282,8 @@ def _located_rows(window: int):
                     found.append((doc, place, start, stop))
                 else:
                     open_rows.append((route, doc, place, start, phrase))
-            for i in range(0, len(open_rows), ROWS_PER_AUTOMATON):
-                found += shard.find(open_rows[i : i + ROWS_PER_AUTOMATON])
+            for i in range(0, len(open_rows), rows_per_automaton):
+                found += shard.find(open_rows[i : i + rows_per_automaton])
             columns = list(zip(*found)) if found else [[]] * 4
             yield pa.record_batch(
                 [
@@ -331,7 +327,12 @@ def _cut(places: pa.Array, texts: pa.Array, spans: pa.Array) -> pa.Array:
 
 
 def drop_repeated_passages(
-    docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    window: int = WINDOW,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    hot_documents: int = HOT_DOCUMENTS,
+    rows_per_automaton: int = ROWS_PER_AUTOMATON,
 ) -> DataFrame:
     """``docs`` without the words of passages that a document with a lesser id has.
 
@@ -349,7 +350,7 @@ def drop_repeated_passages(
     anchor, which confirms what recurs, compiles it into an automaton and locates every occurrence.
     Phrases of very common anchors go to shards run by run, and of equal runs in a batch of
     documents only the least is sent. Texts are shuffled once, by id, and that shuffle serves both
-    joins.
+    joins. ``hot_documents`` and ``rows_per_automaton`` change the plan only, not the result.
     """
     require(docs, [id_col, text_col])
     spark = docs.sparkSession
@@ -363,20 +364,21 @@ def drop_repeated_passages(
         .mapInArrow(_anchor_rows(window), "anchor bigint, id bigint")
         .repartition("anchor")
         .sortWithinPartitions("anchor", "id")
-        .mapInArrow(_recurring_rows, "id bigint, anchor bigint, hot boolean")
+        .mapInArrow(_recurring_rows(hot_documents), "id bigint, anchor bigint, hot boolean")
         .groupBy("id")
         .agg(
             F.collect_set("anchor").alias("anchors"),
             F.collect_set(F.when(F.col("hot"), F.col("anchor"))).alias("hot"),
         )
     )
+    # A left join, like the last one: both then read the same shuffle of the texts.
     spans = (
-        texts.join(anchors.hint("shuffle_hash"), "id")
+        texts.join(anchors.hint("shuffle_hash"), "id", "left")
         .select("id", "place", "text", "anchors", "hot")
         .mapInArrow(_phrase_rows(window), _PHRASES)
         .repartition("route")
         .sortWithinPartitions("route", "id")
-        .mapInArrow(_located_rows(window), "id bigint, place bigint, start int, stop int")
+        .mapInArrow(_located_rows(window, rows_per_automaton), "id bigint, place bigint, start int, stop int")
         .groupBy("id")
         .agg(F.collect_list(F.struct("place", "start", "stop")).alias("spans"))
     )
