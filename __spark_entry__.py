@@ -19,11 +19,15 @@ except ModuleNotFoundError as missing:
         raise
     corpus_queries = None
 
-# The sample tables are small: the default thresholds would leave next to nothing to see.
+# Thresholds of the queries whose feature they are.
 MIN_DF = 2
+BODY_MIN_DF = 50
 MAX_POSTINGS = 100
 BLOCK_SIZE = 100
+# Small enough to cut the sample tables into several ranges.
 ROWS_PER_RANGE = 300
+# Cuts other than the usual ones.
+OTHER_CUTS = {"cuts": (2, 7), "f1_cut": 15}
 
 _POSTING = ["term", "doc_id", "tf", "posting_no", "df", "term_total"]
 
@@ -33,11 +37,11 @@ def _rounded(rows: DataFrame, *columns: str) -> DataFrame:
     return rows.withColumns({c: F.round(c, 6) for c in columns})
 
 
-def _index(views: SampleViews, min_df: int = MIN_DF) -> indexing.SearchIndex:
+def _index(views: SampleViews) -> indexing.SearchIndex:
     docs = views.documents()
     return indexing.SearchIndex(
         title=indexing.build_index(docs, "title"),
-        body=indexing.build_index(docs, "text", min_df=min_df),
+        body=indexing.build_index(docs, "text"),
         anchor=indexing.build_anchor_index(views.links()),
     )
 
@@ -51,20 +55,12 @@ def _pageviews(views: SampleViews, mode: str = "last") -> DataFrame:
 
 
 def _search(views: SampleViews) -> DataFrame:
-    return retrieval.search(
-        views.queries(),
-        _index(views),
-        _pagerank(views),
-        views.titles(),
-        max_postings=MAX_POSTINGS,
-    )
+    return retrieval.search(views.queries(), _index(views), _pagerank(views), views.titles())
 
 
 def _search_body(views: SampleViews) -> DataFrame:
-    index = indexing.build_index(views.documents(), "text", min_df=MIN_DF)
-    return retrieval.search_body(
-        views.queries(), index, views.titles(), max_postings=MAX_POSTINGS
-    )
+    index = indexing.build_index(views.documents(), "text")
+    return retrieval.search_body(views.queries(), index, views.titles())
 
 
 def tokenize_documents(views: SampleViews) -> DataFrame:
@@ -85,7 +81,7 @@ def term_stats_body(views: SampleViews) -> DataFrame:
 
 
 def postings_body(views: SampleViews) -> DataFrame:
-    index = indexing.build_index(views.documents(), "text", min_df=indexing.BODY_MIN_DF)
+    index = indexing.build_index(views.documents(), "text", min_df=BODY_MIN_DF)
     return index.postings.select(*_POSTING)
 
 
@@ -107,13 +103,22 @@ def postings_anchor(views: SampleViews) -> DataFrame:
     return index.postings.select(*_POSTING)
 
 
-def posting_lookup(views: SampleViews) -> DataFrame:
+def _postings_of_terms(views: SampleViews, max_postings: int | None) -> DataFrame:
     index = indexing.build_index(views.documents(), "text")
     terms = retrieval.query_terms(views.queries())
-    found = retrieval.matching_postings(terms, index, MAX_POSTINGS)
+    found = retrieval.matching_postings(terms, index, max_postings)
     return found.select("term", "doc_id", "tf", "posting_no").distinct()
 
 
+def posting_lookup(views: SampleViews) -> DataFrame:
+    """The first postings of each term: the cut is the feature."""
+    return _postings_of_terms(views, MAX_POSTINGS)
+
+
+def posting_lookup_all(views: SampleViews) -> DataFrame:
+    return _postings_of_terms(views, None)
+
+
 def posting_lists(views: SampleViews) -> DataFrame:
     index = indexing.build_index(views.documents(), "text")
     entries = F.transform("postings", lambda p: F.concat_ws(":", p.doc_id, p.tf))
@@ -130,20 +135,37 @@ def _by_language(views: SampleViews) -> tuple[DataFrame, DataFrame]:
     return docs.where(english), docs.where(~english | F.col("lang").isNull())
 
 
-def index_merge(views: SampleViews) -> DataFrame:
+def _merged(views: SampleViews, min_df: int) -> DataFrame:
     english, others = _by_language(views)
     merged = indexing.merge_index(
-        indexing.build_index(english, "text"), indexing.build_index(others, "text")
+        indexing.build_index(english, "text", min_df=min_df),
+        indexing.build_index(others, "text", min_df=min_df),
     )
     return merged.postings.select(*_POSTING)
 
 
-def index_add(views: SampleViews) -> DataFrame:
+def _grown(views: SampleViews, min_df: int) -> DataFrame:
     english, others = _by_language(views)
-    index = indexing.build_index(english, "text")
+    index = indexing.build_index(english, "text", min_df=min_df)
     return indexing.add_documents(index, others, "text").postings.select(*_POSTING)
 
 
+def index_merge(views: SampleViews) -> DataFrame:
+    return _merged(views, 0)
+
+
+def index_merge_min_df(views: SampleViews) -> DataFrame:
+    return _merged(views, MIN_DF)
+
+
+def index_add(views: SampleViews) -> DataFrame:
+    return _grown(views, 0)
+
+
+def index_add_min_df(views: SampleViews) -> DataFrame:
+    return _grown(views, MIN_DF)
+
+
 def search(views: SampleViews) -> DataFrame:
     return _rounded(_search(views), "score")
 
@@ -154,20 +176,22 @@ def search_body(views: SampleViews) -> DataFrame:
 
 def search_title(views: SampleViews) -> DataFrame:
     index = indexing.build_index(views.documents(), "title", rows_per_range=ROWS_PER_RANGE)
-    return retrieval.search_matches(
-        views.queries(), index, views.titles(), max_postings=MAX_POSTINGS
-    )
+    return retrieval.search_matches(views.queries(), index, views.titles())
 
 
 def search_anchor(views: SampleViews) -> DataFrame:
     index = indexing.build_anchor_index(views.links())
     return retrieval.response_pairs(
-        retrieval.search_matches(
-            views.queries(), index, views.titles(), max_postings=MAX_POSTINGS
-        )
+        retrieval.search_matches(views.queries(), index, views.titles())
     )
 
 
+def search_odd_queries(views: SampleViews) -> DataFrame:
+    """Empty queries, stop words only and unknown words beside ordinary ones."""
+    index = indexing.build_index(views.documents(), "text")
+    return _rounded(retrieval.search_body(views.odd_queries(), index, views.titles()), "score")
+
+
 def link_edges(views: SampleViews) -> DataFrame:
     return links.link_edges(indexing.anchor_links(views.linked_pages()))
 
@@ -184,6 +208,11 @@ def pageviews_last(views: SampleViews) -> DataFrame:
     return _pageviews(views)
 
 
+def pageviews_long_numbers(views: SampleViews) -> DataFrame:
+    """Views of 19 digits and ids with zeros in front."""
+    return features.build_pageviews(views.log_lines(long_numbers=True), views.titles())
+
+
 def pageviews_sum(views: SampleViews) -> DataFrame:
     return _pageviews(views, "sum")
 
@@ -203,9 +232,7 @@ def lookup_pageviews(views: SampleViews) -> DataFrame:
 
 def enrich_results(views: SampleViews) -> DataFrame:
     ranks = _pagerank(views)
-    results = retrieval.search(
-        views.queries(), _index(views), ranks, views.titles(), max_postings=MAX_POSTINGS
-    )
+    results = retrieval.search(views.queries(), _index(views), ranks, views.titles())
     enriched = features.enrich(results, ranks, _pageviews(views))
     return _rounded(enriched, "score", "pagerank")
 
@@ -220,6 +247,20 @@ def metrics_list(views: SampleViews) -> DataFrame:
     return _rounded(metrics, *metrics.columns[2:])
 
 
+def metrics_fixed_other_cuts(views: SampleViews) -> DataFrame:
+    metrics = evaluation.metrics_fixed(
+        views.queries(), _search_body(views), views.qrels(), **OTHER_CUTS
+    )
+    return _rounded(metrics, *metrics.columns[2:])
+
+
+def metrics_list_other_cuts(views: SampleViews) -> DataFrame:
+    metrics = evaluation.metrics_list(
+        views.queries(), _search_body(views), views.string_qrels(), ap_cut=9, **OTHER_CUTS
+    )
+    return _rounded(metrics, *metrics.columns[2:])
+
+
 def metrics_summary_fixed(views: SampleViews) -> DataFrame:
     metrics = evaluation.metrics_fixed(views.queries(), _search_body(views), views.qrels())
     means = evaluation.summarize(metrics)
@@ -246,24 +287,31 @@ _QUERIES = [
     postings_title,
     postings_anchor,
     posting_lookup,
+    posting_lookup_all,
     posting_lists,
     index_merge,
+    index_merge_min_df,
     index_add,
+    index_add_min_df,
     search,
     search_body,
     search_title,
     search_anchor,
+    search_odd_queries,
     link_edges,
     link_vertices,
     pagerank6,
     pageviews_last,
     pageviews_sum,
+    pageviews_long_numbers,
     titles_last,
     lookup_pagerank,
     lookup_pageviews,
     enrich_results,
     metrics_fixed,
     metrics_list,
+    metrics_fixed_other_cuts,
+    metrics_list_other_cuts,
     metrics_summary_fixed,
     metrics_summary_list,
     display_query,
@@ -292,5 +340,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Where SQL can express a query, a statement giving the same rows in DuckDB."""
-    statements = oracle.statements(MIN_DF, MAX_POSTINGS, BLOCK_SIZE)
+    statements = oracle.statements(MIN_DF, BODY_MIN_DF, MAX_POSTINGS, BLOCK_SIZE)
     return statements | (corpus_queries.oracle_sql() if corpus_queries else {})

@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+import random
+from bisect import bisect_right
+from fractions import Fraction
+
 import pytest
 from pyspark.sql import functions as F
 
 from trawl.operators.evaluation import display_query, evaluate, summarize
 
 
-def measures(spark, cases, style):
+def measures(spark, cases, style, **cuts):
     """Measures of ``{name: (relevant, returned)}`` as ``{name: row}``."""
     queries = [(i, name) for i, name in enumerate(cases)]
     qrels = [(i, d) for i, (rel, _) in enumerate(cases.values()) for d in rel]
@@ -20,6 +24,7 @@ def measures(spark, cases, style):
         spark.createDataFrame(results, "query_id int, rank int, doc_id int"),
         spark.createDataFrame(qrels, "query_id int, doc_id int"),
         style,
+        **cuts,
     )
     return {r["query"]: r for r in table.collect()}, table
 
@@ -27,6 +32,36 @@ def measures(spark, cases, style):
 r10, r50 = list(range(10)), list(range(50))
 
 
+# The answers, and the cuts they are for, of the public metric examples.
+KNOWN = [
+    ("p2", r10, [1, 2, 3], 1.0),
+    ("p2", r10, [], 0.0),
+    ("p5", [], [1, 2, 3], 0.0),
+    ("r2", r10, [10, 5, 3], 0.1),
+    ("r2", [], [10, 5, 3], 1.0),
+    ("r2", r10, [], 0.0),
+    ("f1_5", [], [1, 2, 3], 0.0),
+    ("f1_2", r10, [], 0.0),
+    ("f1_2", r10, [0, 1, 2], 0.333),
+    ("f1_30", r50, r50[:5], 0.182),
+    ("f1_30", r50, r50[:10], 0.333),
+    ("f1_30", r50, r50[:30], 0.75),
+    ("quality", r50, r50[:5], 0.308),
+    ("quality", r50, r50[:10], 0.5),
+    ("quality", r50, r50[:30], 0.857),
+    ("quality", r50, [-1] * 5 + r50[5:30], 0.0),
+]
+
+
+@pytest.mark.parametrize("deep", [2, 5, 30])
+def test_known_answers_at_their_cuts(spark, deep):
+    mine = [k for k in KNOWN if k[0].endswith(str(deep)) or (deep == 30 and k[0] == "quality")]
+    cases = {str(i): (relevant, returned) for i, (_, relevant, returned, _) in enumerate(mine)}
+    got, _ = measures(spark, cases, "list", cuts=(5, 2), f1_cut=deep)
+    assert [got[str(i)][k[0]] for i, k in enumerate(mine)] == [k[3] for k in mine]
+
+
+# Further answers at the usual cuts.
 def test_list_style_known_answers(spark):
     got, _ = measures(
         spark,
@@ -84,35 +119,47 @@ def test_fixed_style(spark):
     assert means.n_queries == 4 and means.avg_p5 == pytest.approx((0.4 + 0.2) / 4)
 
 
-def test_random_lists_agree_with_python(spark):
-    import random
+def by_definition(relevant, returned, cuts=(5, 10), deep=30, ap=40):
+    """Measures from the places at which relevant documents stand, in exact fractions."""
+    places = [i for i, d in enumerate(returned, 1) if d in set(relevant)]
+
+    def found(k):
+        return bisect_right(places, k)
+
+    def share(part, whole, otherwise):
+        return round(float(Fraction(part, whole)), 3) if whole else otherwise
+
+    def both(a, b):
+        a, b = Fraction(str(a)), Fraction(str(b))
+        return round(float(2 * a * b / (a + b)), 3) if a and b else 0.0
 
+    precision = {k: share(found(k), min(k, len(returned)), 0.0) for k in (*cuts, deep)}
+    recall = share(found(deep), len(set(relevant)), 1.0)
+    steps = [Fraction(n, place) for n, place in enumerate(places, 1) if place <= ap]
+    mean = share(sum(steps), len(steps), 0.0)
+    f1 = both(precision[deep], recall)
+    return (*(precision[k] for k in cuts), recall, f1, mean, both(precision[cuts[0]], f1))
+
+
+@pytest.mark.parametrize("cuts", [{}, {"cuts": (2, 7), "f1_cut": 15, "ap_cut": 9}])
+def test_random_lists_agree_with_the_definitions(spark, cuts):
     rng = random.Random(3)
     cases = {}
     for i in range(60):
         relevant = rng.sample(range(120), rng.randint(0, 90))
         cases[f"q{i}"] = (relevant, rng.sample(range(120), rng.randint(0, 100)))
-    got, _ = measures(spark, cases, "list")
+    got, _ = measures(spark, cases, "list", **cuts)
     for name, (relevant, returned) in cases.items():
-        truth = set(relevant)
-
-        def precision(k):
-            top = returned[:k]
-            return round(sum(d in truth for d in top) / len(top), 3) if top else 0.0
-
-        hits = sum(d in truth for d in returned[:30])
-        recall = round(hits / len(truth), 3) if truth else 1.0
-        p5, p30 = precision(5), precision(30)
-        f1 = round(2.0 / (1.0 / p30 + 1.0 / recall), 3) if p30 and recall else 0.0
-        found = []
-        for i, d in enumerate(returned[:40], 1):
-            if d in truth:
-                found.append((len(found) + 1) / i)
-        ap = round(sum(found) / len(found), 3) if found else 0.0
-        quality = round(2.0 / (1.0 / p5 + 1.0 / f1), 3) if p5 and f1 else 0.0
-        row = got[name]
-        assert (row.p5, row.p10, row.r30, row.f1_30) == (p5, precision(10), recall, f1), name
-        assert (row.ap40, row.quality) == (ap, quality), name
+        wanted = by_definition(relevant, returned, *cuts.values())
+        assert tuple(got[name])[2:] == wanted, name
+
+
+def test_judgements_may_be_strings(spark):
+    queries = spark.createDataFrame([(0, "q")], "query_id int, query string")
+    results = spark.createDataFrame([(0, 1, 7), (0, 2, 8)], "query_id int, rank int, doc_id long")
+    judged = spark.createDataFrame([(0, "7"), (0, "doc-9")], "query_id int, doc_id string")
+    row = evaluate(queries, results, judged, "list").first()
+    assert (row.p5, row.r30) == (0.5, 0.5)
 
 
 def test_unknown_style(spark):

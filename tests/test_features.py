@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from trawl.operators import features
 from trawl.plans.engine import build_engine, open_engine
-from trawl.sources.corpus import preview, read_corpus, read_titles
+from trawl.sources.corpus import preview, read_corpus, read_titles, skipped_files
 from trawl.sources.judged_queries import read_judged_queries, relevant_documents
 from trawl.sources.pageview_log import read_pageview_log
 from trawl.sources.rank_file import read_pagerank, write_pagerank
@@ -28,6 +28,8 @@ LOG = [
     "en.wikipedia Unknown 999 desktop 4 x",
     "en.wikipedia.org Other 25 desktop 6 x",
     "enxwikipedia Other 25 desktop 6 x",
+    "Other en.wikipedia 25 desktop 6 x",
+    "en.wikipedia Beyond 25 desktop 9223372036854775808 x",
     "",
 ]
 
@@ -51,6 +53,12 @@ def test_pageviews_of_a_compressed_log(spark, titles, folder):
         features.build_pageviews(lines, titles, "first")
 
 
+def test_long_numbers_are_read(spark, titles):
+    lines = ["en.wikipedia Tea 000000000000000000012 desktop 9223372036854775807 x"]
+    table = spark.createDataFrame(list(enumerate(lines)), "line_no long, line string")
+    assert pairs(features.build_pageviews(table, titles)) == [(12, 2**63 - 1)]
+
+
 def test_later_files_win(spark, titles, folder):
     for name, views in (("a", 1), ("b", 2), ("c", 3)):
         with open(f"{folder}/{name}.txt", "w") as out:
@@ -101,8 +109,12 @@ def test_titles_of_files_of_which_one_is_broken(spark, folder):
     with open(f"{folder}/c/z/part-0.parquet", "wb") as out:
         out.write(b"no parquet")
     parts = [f"{folder}/c/{name}" for name in "abz"]
-    titles = features.build_titles(read_titles(spark, *parts), "row_order")
+    with pytest.raises(Exception, match="part-0.parquet"):
+        read_titles(spark, *parts).collect()
+    titles = features.build_titles(read_titles(spark, *parts, skip_unreadable=True), "row_order")
     assert pairs(titles) == [(1, "new"), (2, None)]
+    skipped = skipped_files(spark, *parts).collect()
+    assert [(os.path.basename(r["path"]), r["length"]) for r in skipped] == [("part-0.parquet", 10)]
 
 
 def test_one_title_per_id(spark):
@@ -136,8 +148,9 @@ def test_rank_file_round_trip(spark, folder):
 
 def test_bad_rank_rows_are_dropped_and_the_last_wins(spark, folder):
     with gzip.open(f"{folder}/ranks.csv.gz", "wt") as out:
-        out.write("1,0.5\n2\nx,3.0\n3,y\n4,0.25\n1,0.75\n")
-    assert pairs(read_pagerank(spark, f"{folder}/ranks.csv.gz")) == [(1, 0.75), (4, 0.25)]
+        out.write("1,0.5\n2\nx,3.0\n3,y\n4,0.25\n1,0.75\n5,1.5,more,fields\n")
+    got = pairs(read_pagerank(spark, f"{folder}/ranks.csv.gz"))
+    assert got == [(1, 0.75), (4, 0.25), (5, 1.5)]
 
 
 def test_judged_queries(spark, folder):
@@ -149,7 +162,7 @@ def test_judged_queries(spark, folder):
         (1, "nothing"),
         (2, "odd"),
     ]
-    assert pairs(relevant_documents(judged)) == [(0, 12), (0, 25), (2, 7)]
+    assert pairs(relevant_documents(judged)) == [(0, "12"), (0, "25"), (2, "7"), (2, "x")]
 
 
 def test_engine_from_build_to_answers(spark, toy, folder):

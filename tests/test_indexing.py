@@ -153,14 +153,41 @@ def test_a_look_up_reads_one_folder_and_pushes_the_term_down(spark, documents, f
     assert "EqualTo(term,thand)" in plan
 
 
-def test_stored_frequencies_wrap_and_large_ids_fail(spark, folder):
-    docs = spark.createDataFrame([(1, "word " * 65537)], "id long, text string")
-    index_store.write_index(indexing.build_index(docs, "text"), folder + "/wrap", buckets=2)
-    row = index_store.read_index(spark, folder + "/wrap").postings.first()
-    assert (row["tf"], row["term_total"]) == (1, 65537)
-    docs = spark.createDataFrame([(2**32, "word")], "id long, text string")
-    with pytest.raises(Exception, match="more than 32 bits"):
-        index_store.write_index(indexing.build_index(docs, "text"), folder + "/big", buckets=2)
+def test_large_frequencies_and_ids_are_stored_as_they_are(spark, folder):
+    docs = spark.createDataFrame([(2**40, "word " * 65536), (7, "word")], "id long, text string")
+    index = indexing.build_index(docs, "text")
+    index_store.write_index(index, folder + "/large", buckets=2)
+    stored = index_store.read_index(spark, folder + "/large")
+    assert postings(stored) == postings(index)
+    assert postings(stored)[1][:3] == ("word", 2**40, 65536)
+
+
+@pytest.mark.parametrize("store", [False, True])
+def test_adding_to_an_index_that_hides_rare_terms(spark, folder, store):
+    docs = [(i, "common") for i in range(1, 4)] + [(1, "rare"), (2, "seldom seldom"), (4, "seldom")]
+    columns = "id long, text string"
+    index = indexing.build_index(spark.createDataFrame(docs, columns), "text", min_df=1)
+    if store:
+        index_store.write_index(index, folder + "/thin", buckets=2)
+        index = index_store.read_index(spark, folder + "/thin")
+        assert index.min_df == 1
+    assert {r[0] for r in postings(index)} == {"common", "seldom"}
+    assert {r["term"] for r in index.term_stats.collect()} == {"common", "seldom"}
+    new = [(10, "common rare fresh")]
+    grown = indexing.add_documents(index, spark.createDataFrame(new, columns), "text")
+    assert postings(grown) == by_hand(docs + new, 1)
+    assert ("rare", 1, 1, 1, 2, 2) in postings(grown)
+
+
+def test_links_to_nowhere_are_left_out(spark):
+    corpus = spark.createDataFrame(
+        [(1, None, None, [(None, "lost"), (2, "found")])],
+        "id long, title string, text string, anchor_text array<struct<id: long, text: string>>",
+    )
+    links = indexing.anchor_links(corpus)
+    assert [r["dst"] for r in links.collect()] == [2]
+    loose = spark.createDataFrame([(1, None, "lost"), (1, 2, "found")], links.schema)
+    assert [r[0] for r in postings(indexing.build_anchor_index(loose))] == ["found"]
 
 
 def test_sum_of_frequencies_is_the_number_of_tokens(spark, documents):

@@ -8,6 +8,9 @@ import pytest
 
 import __spark_entry__ as registered
 from tests.conftest import SAMPLE
+from trawl.operators import retrieval
+from trawl.plans.engine import build_engine, open_engine
+from trawl.plans.sample import SampleViews
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -49,5 +52,26 @@ def test_query(spark, database, name):
     assert wanted[1]
 
 
+@pytest.fixture(scope="module")
+def engine(spark, tmp_path_factory):
+    """The engine over the sample tables, written and opened again."""
+    views = SampleViews(spark, SAMPLE)
+    docs = views.documents()
+    path = str(tmp_path_factory.mktemp("engine"))
+    build_engine(docs, views.log_lines(), path, buckets=16, page_links=views.links())
+    return views, open_engine(spark, path)
+
+
+@pytest.mark.parametrize("name", ["search", "search_body", "search_title", "search_anchor"])
+def test_stored_search(engine, database, name):
+    views, opened = engine
+    found = getattr(opened, name)(views.queries())
+    if name == "search_anchor":
+        found = retrieval.response_pairs(found)
+    result = database.execute(STATEMENTS[name])
+    wanted = table([d[0] for d in result.description], result.fetchall())
+    assert table(found.columns, [tuple(r) for r in found.collect()]) == wanted
+
+
 def test_entry(spark):
     assert registered.entry(spark).columns == ["query_id", "rank", "doc_id", "title", "score"]

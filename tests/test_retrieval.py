@@ -82,66 +82,80 @@ def test_corpus_size(spark, toy_index, toy_ranks, toy_titles):
     assert ranked(default) == ranked(fixed)
 
 
-class BruteForce:
-    """Token by token, list by list: the definition of the four searches."""
+class PlainRanking:
+    """What a document scores for a query, worked out document by document."""
 
     def __init__(self, titles, bodies, links):
-        self.title = self._lists((i, python_tokens(t or "")) for i, t in titles)
-        self.body = self._lists((i, python_tokens(t)) for i, t in bodies)
-        self.anchor = self._lists((dst, python_tokens(t)) for _, dst, t in links)
-
-    @staticmethod
-    def _lists(tokens):
-        counts = Counter((term, doc) for doc, terms in tokens for term in terms)
-        lists = {}
-        for (term, doc), tf in sorted(counts.items(), key=lambda item: item[0][1]):
-            lists.setdefault(term, []).append((doc, tf))
-        return lists
+        self.fields = {"title": {}, "body": {}, "anchor": {}}
+        for field, rows in (
+            ("title", titles),
+            ("body", bodies),
+            ("anchor", [(target, text) for _, target, text in links]),
+        ):
+            for doc, text in rows:
+                counts = self.fields[field].setdefault(doc, Counter())
+                counts.update(python_tokens(text or ""))
+        self.holders = {
+            field: self._holders(documents) for field, documents in self.fields.items()
+        }
 
     @staticmethod
-    def _best(scores, limit):
-        order = sorted(scores.items(), key=lambda item: -round(item[1], 9))  # a stable sort
-        return [(doc, round(score, 6)) for doc, score in order][:limit]
+    def _holders(documents):
+        found = {}
+        for doc in sorted(documents):
+            for term in documents[doc]:
+                found.setdefault(term, []).append(doc)
+        return found
+
+    def _rank(self, query, parts, cut, limit, boost=lambda doc: 0.0):
+        """``parts``: of each field looked at, the points of one use of a term in a document."""
+        uses = Counter(python_tokens(query))
+        places = {term: i for i, term in reversed(list(enumerate(python_tokens(query))))}
+        rows = []
+        for doc in {d for f, _ in parts for t in uses for d in self.holders[f].get(t, [])[:cut]}:
+            met = [
+                (stage, places[term], uses[term] * points(term, self.fields[field][doc][term]))
+                for stage, (field, points) in enumerate(parts)
+                for term in uses
+                if doc in self.holders[field].get(term, [])[:cut]
+            ]
+            score = math.fsum(p for _, _, p in met) + boost(doc)
+            rows.append((-round(score, 9), min(m[:2] for m in met), doc, round(score, 6)))
+        return [(doc, score) for _, _, doc, score in sorted(rows)[:limit]]
+
+    def _df(self, term):
+        return len(self.holders["body"][term])
 
     def matches(self, field, query, cut):
-        scores = Counter()
-        for token in python_tokens(query):
-            for doc, _ in getattr(self, field).get(token, [])[:cut]:
-                scores[doc] += 1
-        return self._best(scores, None)
+        return self._rank(query, [(field, lambda term, tf: 1)], cut, None)
 
     def tfidf(self, query, cut, limit):
-        scores = Counter()
-        for token in python_tokens(query):
-            list_ = self.body.get(token, [])
-            for doc, tf in list_[:cut]:
-                scores[doc] += tf * math.log10(FALLBACK_CORPUS_SIZE / len(list_))
-        return self._best(scores, limit)
+        def points(term, tf):
+            return tf * math.log10(FALLBACK_CORPUS_SIZE / self._df(term))
+
+        return self._rank(query, [("body", points)], cut, limit)
 
     def fused(self, query, ranks, cut, limit):
-        scores, weights, n = Counter(), SearchWeights(), len(ranks)
-        tokens = python_tokens(query)
-        for token in tokens:
-            for doc, _ in self.title.get(token, [])[:cut]:
-                scores[doc] += weights.title
-        for token in tokens:
-            for doc, tf in self.anchor.get(token, [])[:cut]:
-                scores[doc] += tf * weights.anchor
-        for token in tokens:
-            list_ = self.body.get(token, [])
-            for doc, tf in list_[:cut]:
-                idf = math.log(1 + (n - len(list_) + 0.5) / (len(list_) + 0.5))
-                scores[doc] += idf * tf * 2.2 / (tf + 1.2) * weights.body
-        for doc in scores:
-            scores[doc] += math.log10(ranks.get(doc, 0) + 1) * weights.pagerank
-        return self._best(scores, limit)
+        weights, n = SearchWeights(), len(ranks)
+
+        def bm25(term, tf):
+            rare = math.log1p((n - self._df(term) + 0.5) / (self._df(term) + 0.5))
+            return weights.body * rare * 2.2 * tf / (tf + 1.2)
+
+        parts = [
+            ("title", lambda term, tf: weights.title),
+            ("anchor", lambda term, tf: weights.anchor * tf),
+            ("body", bm25),
+        ]
+        boost = lambda doc: weights.pagerank * math.log10(1 + ranks.get(doc, 0))
+        return self._rank(query, parts, cut, limit, boost)
 
 
 @pytest.fixture(scope="module")
 def sample(spark):
     views = SampleViews(spark, SAMPLE)
     docs = views.documents().collect()
-    brute = BruteForce(
+    brute = PlainRanking(
         [(r["id"], r["title"]) for r in docs],
         [(r["id"], r["text"]) for r in docs],
         [tuple(r) for r in views.links().collect()],

@@ -1,13 +1,14 @@
 from __future__ import annotations
 
-import re
+import unicodedata
 
 from pyspark.sql import functions as F
 
 from tests.conftest import SAMPLE
 from trawl.functions import STOPWORDS, token_counts, tokenize
 
-PYTHON_WORD = re.compile(r"[\#\@\w](['\-]?\w){2,24}", re.UNICODE)
+# A word has one start character and 2 to 24 further ones.
+FEWEST, MOST = 2, 24
 
 ODD_TEXTS = [
     "",
@@ -24,9 +25,32 @@ ODD_TEXTS = [
 ]
 
 
+def letter_or_number(char):
+    return char == "_" or unicodedata.category(char)[0] in "LN"
+
+
 def python_tokens(text):
-    found = (match.group() for match in PYTHON_WORD.finditer(text.lower()))
-    return [token for token in found if token not in STOPWORDS]
+    """Words that are no stop words, read character by character."""
+    text = text.lower() + "  "
+    tokens, begin = [], None
+    place = units = 0
+    while place < len(text) - 1:
+        char = text[place]
+        if begin is None:
+            if char in "#@" or letter_or_number(char):
+                begin, units = place, 0
+            place += 1
+            continue
+        joined = char in "'-" and letter_or_number(text[place + 1])
+        if units < MOST and (joined or letter_or_number(char)):
+            units += 1
+            place += 1 + joined
+        elif units >= FEWEST:
+            tokens.append(text[begin:place])
+            begin = None
+        else:  # too short: go on behind the character it began with
+            place, begin = begin + 1, None
+    return [token for token in tokens if token not in STOPWORDS]
 
 
 def test_tokens_agree_with_python_on_odd_texts(spark):

@@ -4,7 +4,6 @@ from trawl.functions.rounding import round_exact
 from trawl.functions.scoring import (
     BM25_K1,
     FALLBACK_CORPUS_SIZE,
-    MAX_POSTINGS,
     TOP_K,
     SearchWeights,
     bm25_idf,
@@ -26,7 +25,6 @@ __all__ = [
     "CORPUS_STOPWORDS",
     "ENGLISH_STOPWORDS",
     "FALLBACK_CORPUS_SIZE",
-    "MAX_POSTINGS",
     "STOPWORDS",
     "TOP_K",
     "WORD_PATTERN",

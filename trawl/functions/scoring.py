@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 # Fixed values that decide the ranking.
 BM25_K1 = 1.2
 FALLBACK_CORPUS_SIZE = 6_348_910
-MAX_POSTINGS = 15_000
 TOP_K = 100
 
 
@@ -18,6 +17,7 @@ TOP_K = 100
 class SearchWeights:
     """How much each part adds to a fused score."""
 
+    # Fixed values.
     title: float = 0.1
     anchor: float = 0.1
     body: float = 25.0

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.rounding import round_exact
 
-# The cuts at which the measures are taken.
-CUT_PRECISION = 5
-CUT_PRECISION_WIDE = 10
+# The usual cuts of the measures, and of a query on display.
+CUTS_PRECISION = (5, 10)
 CUT_F1 = 30
 CUT_AVERAGE_PRECISION = 40
 DISPLAY_CHARS = 27
@@ -23,16 +24,17 @@ def _ratio(part: Column, whole: Column, if_none: float) -> Column:
     return F.when(whole > 0, part / whole).otherwise(if_none)
 
 
-def _judged(queries: DataFrame, results: DataFrame, qrels: DataFrame, aggregates) -> DataFrame:
+def _judged(
+    queries: DataFrame, results: DataFrame, qrels: DataFrame, deepest: int, aggregates
+) -> DataFrame:
     """One row per query: ``query_id, n_relevant`` and ``aggregates`` over its best results.
 
     Results are cut to the deepest rank any measure looks at before anything else, which bounds
-    every group below.
+    every group below. Ids are compared as strings, so a judgement may be of any kind of id.
     """
-    relevant = qrels.select("query_id", "doc_id").distinct()
-    top = results.where(F.col("rank") <= CUT_AVERAGE_PRECISION).select(
-        "query_id", "doc_id", "rank"
-    )
+    doc_id = F.col("doc_id").cast("string").alias("doc_id")
+    relevant = qrels.select("query_id", doc_id).distinct()
+    top = results.where(F.col("rank") <= deepest).select("query_id", doc_id, "rank")
     marked = top.join(
         relevant.withColumn("relevant", F.lit(True)), ["query_id", "doc_id"], "left"
     ).withColumn("hit", F.coalesce("relevant", F.lit(False)))
@@ -65,64 +67,88 @@ def _returned(k: int) -> Column:
     return F.sum(F.when(F.col("rank") <= k, 1).otherwise(0)).alias(f"returned_{k}")
 
 
-def metrics_fixed(queries: DataFrame, results: DataFrame, qrels: DataFrame) -> DataFrame:
-    """``p5, p10, f1_30, quality`` per query, precision being hits divided by k.
+def metrics_fixed(
+    queries: DataFrame,
+    results: DataFrame,
+    qrels: DataFrame,
+    cuts: Sequence[int] = CUTS_PRECISION,
+    f1_cut: int = CUT_F1,
+) -> DataFrame:
+    """Precision at ``cuts``, F1 at ``f1_cut`` and quality per query, precision being hits by k.
 
-    Hits are counted as a set, and a query without results or relevant documents scores 0.
+    Columns are named after the cuts: ``p5, p10, f1_30, quality``. Hits are counted as a set, and a
+    query without results or relevant documents scores 0. Quality combines the first precision
+    with F1.
     """
-    cuts = (CUT_PRECISION, CUT_PRECISION_WIDE, CUT_F1)
-    judged = _judged(queries, results, qrels, [_different_hits(k) for k in cuts])
-    p5, p10, p30 = (F.coalesce(f"hits_{k}", F.lit(0)) / F.lit(float(k)) for k in cuts)
-    r30 = _ratio(F.coalesce(f"hits_{CUT_F1}", F.lit(0)), F.col("n_relevant"), 0.0)
-    f1 = F.when(p30 + r30 > 0, 2 * p30 * r30 / (p30 + r30)).otherwise(0.0)
-    rows = judged.select(
-        "query_id", "query", p5.alias("p5"), p10.alias("p10"), f1.alias("f1_30")
-    )
-    both = F.col("p5") + F.col("f1_30")
-    quality = F.when(both > 0, 2 * F.col("p5") * F.col("f1_30") / both).otherwise(0.0)
+    depths = sorted({*cuts, f1_cut})
+    judged = _judged(queries, results, qrels, depths[-1], [_different_hits(k) for k in depths])
+
+    def precision(k: int) -> Column:
+        return F.coalesce(f"hits_{k}", F.lit(0)) / F.lit(float(k))
+
+    deep = precision(f1_cut)
+    recall = _ratio(F.coalesce(f"hits_{f1_cut}", F.lit(0)), F.col("n_relevant"), 0.0)
+    f1 = F.when(deep + recall > 0, 2 * deep * recall / (deep + recall)).otherwise(0.0)
+    name = f"f1_{f1_cut}"
+    precisions = [precision(k).alias(f"p{k}") for k in cuts]
+    rows = judged.select("query_id", "query", *precisions, f1.alias(name))
+    both = F.col(f"p{cuts[0]}") + F.col(name)
+    quality = F.when(both > 0, 2 * F.col(f"p{cuts[0]}") * F.col(name) / both).otherwise(0.0)
     return rows.withColumn("quality", quality)
 
 
-def metrics_list(queries: DataFrame, results: DataFrame, qrels: DataFrame) -> DataFrame:
-    """``p5, p10, r30, f1_30, ap40, quality`` per query, rounded to three places.
+def metrics_list(
+    queries: DataFrame,
+    results: DataFrame,
+    qrels: DataFrame,
+    cuts: Sequence[int] = CUTS_PRECISION,
+    f1_cut: int = CUT_F1,
+    ap_cut: int = CUT_AVERAGE_PRECISION,
+) -> DataFrame:
+    """Precision at ``cuts``, recall and F1 at ``f1_cut``, average precision and quality per query.
 
-    Precision divides by the results returned within k, recall is 1 when nothing is relevant,
-    average precision is the mean over the hits found, and combined measures start from rounded
-    ones.
+    Columns are named after the cuts: ``p5, p10, r30, f1_30, ap40, quality``, and rounded to three
+    places. Precision divides by the results returned within k, recall is 1 when nothing is
+    relevant, average precision is the mean over the hits found, and combined measures start from
+    rounded ones, quality from the first precision.
     """
-    cuts = (CUT_PRECISION, CUT_PRECISION_WIDE, CUT_F1)
-    mean_precision = F.avg(F.when(F.col("hit"), F.col("running"))).alias("mean_precision")
-    aggregates = [measure(k) for k in cuts for measure in (_hits, _returned)]
-    judged = _judged(queries, results, qrels, [*aggregates, mean_precision])
+    depths = sorted({*cuts, f1_cut})
+    running = F.when(F.col("hit") & (F.col("rank") <= ap_cut), F.col("running"))
+    aggregates = [measure(k) for k in depths for measure in (_hits, _returned)]
+    aggregates.append(F.avg(running).alias("mean_precision"))
+    judged = _judged(queries, results, qrels, max(depths[-1], ap_cut), aggregates)
 
     def precision(k: int) -> Column:
         return round_exact(_ratio(F.col(f"hits_{k}"), F.col(f"returned_{k}"), 0.0))
 
-    recall = _ratio(F.coalesce(f"hits_{CUT_F1}", F.lit(0)), F.col("n_relevant"), 1.0)
+    recall = _ratio(F.coalesce(f"hits_{f1_cut}", F.lit(0)), F.col("n_relevant"), 1.0)
+    names = [*[f"p{k}" for k in cuts], f"r{f1_cut}", f"f1_{f1_cut}", f"ap{ap_cut}", "quality"]
     return (
         judged.withColumns(
-            {
-                "p5": precision(CUT_PRECISION),
-                "p10": precision(CUT_PRECISION_WIDE),
-                "p30": precision(CUT_F1),
-                "r30": round_exact(recall),
-                "ap40": round_exact(F.coalesce("mean_precision", F.lit(0.0))),
+            {f"p{k}": precision(k) for k in depths}
+            | {
+                f"r{f1_cut}": round_exact(recall),
+                f"ap{ap_cut}": round_exact(F.coalesce("mean_precision", F.lit(0.0))),
             }
         )
-        .withColumn("f1_30", round_exact(_harmonic(F.col("p30"), F.col("r30"))))
-        .withColumn("quality", round_exact(_harmonic(F.col("p5"), F.col("f1_30"))))
-        .select("query_id", "query", "p5", "p10", "r30", "f1_30", "ap40", "quality")
+        .withColumn(f"f1_{f1_cut}", round_exact(_harmonic(F.col(f"p{f1_cut}"), F.col(f"r{f1_cut}"))))
+        .withColumn("quality", round_exact(_harmonic(F.col(f"p{cuts[0]}"), F.col(f"f1_{f1_cut}"))))
+        .select("query_id", "query", *names)
     )
 
 
 def evaluate(
-    queries: DataFrame, results: DataFrame, qrels: DataFrame, style: str = "fixed"
+    queries: DataFrame,
+    results: DataFrame,
+    qrels: DataFrame,
+    style: str = "fixed",
+    **cuts: object,
 ) -> DataFrame:
-    """Measures per query, in one of the two styles."""
+    """Measures per query, in one of the two styles, at its usual cuts or at given ones."""
     if style not in ("fixed", "list"):
         raise ValueError(f"style must be 'fixed' or 'list', not {style!r}")
     measure = metrics_fixed if style == "fixed" else metrics_list
-    return measure(queries, results, qrels)
+    return measure(queries, results, qrels, **cuts)
 
 
 def summarize(metrics: DataFrame) -> DataFrame:

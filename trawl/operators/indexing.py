@@ -12,49 +12,64 @@ from pyspark.sql import functions as F
 from trawl.functions.text import STOPWORDS, token_counts, tokenize
 from trawl.operators.numbering import IdRanges, measure_id_ranges, number_rows
 
-# The body index keeps terms found in more than 50 documents; a posting block holds
-# 1,999,998 bytes at 6 bytes a posting; terms are spread over 124 buckets.
-BODY_MIN_DF = 50
-POSTINGS_PER_BLOCK = 1_999_998 // 6
+# Fixed value: terms are spread over 124 buckets.
 TERM_BUCKETS = 124
 
+# Postings offered in one row when lists are read as a whole.
+POSTINGS_PER_BLOCK = 300_000
+
 
 class Derivation(NamedTuple):
     """What postings are computed from."""
 
     frequencies: DataFrame
     ranges: IdRanges
-    min_df: int
 
 
 @dataclass(frozen=True)
 class FieldIndex:
     """Index of one field.
 
-    ``postings``: ``term, doc_id, tf, posting_no, df, term_total, doc_range``. The two statistics
-    are repeated on every posting of a term: sorted by term they take next to no room in Parquet,
-    and ranking then needs no second join to reach them. ``doc_range`` numbers the ranges of
-    document ids used to cut large groups. An index not yet stored knows how it is ``derived``; a
-    stored one the number of its ``buckets``.
+    ``all_postings``: ``term, doc_id, tf, posting_no, df, term_total, doc_range``. The two
+    statistics are repeated on every posting of a term: sorted by term they take next to no room in
+    Parquet, and ranking then needs no second join to reach them. ``doc_range`` numbers the ranges
+    of document ids used to cut large groups. ``min_df`` only hides terms of so few documents from
+    readers; adding documents and merging start from all postings. An index not yet stored knows
+    how it is ``derived``; a stored one the number of its ``buckets`` and its table of terms.
     """
 
-    postings: DataFrame
+    all_postings: DataFrame
     ranges: int = 1
     derived: Optional[Derivation] = None
     buckets: Optional[int] = None
+    min_df: int = 0
+    all_terms: Optional[DataFrame] = None
+
+    def frequent(self, rows: DataFrame) -> DataFrame:
+        """The rows whose term is found in more than ``min_df`` documents."""
+        return rows.where(F.col("df") > self.min_df) if self.min_df else rows
+
+    @property
+    def postings(self) -> DataFrame:
+        return self.frequent(self.all_postings)
 
     @property
     def term_stats(self) -> DataFrame:
-        """``term, df, term_total``: one row per term, read off its first posting."""
-        return self.postings.where(F.col("posting_no") == 1).select("term", "df", "term_total")
+        """``term, df, term_total``: one row per term."""
+        if self.all_terms is not None:
+            return self.frequent(self.all_terms)
+        if self.derived is not None:
+            return self.frequent(term_statistics(_summed(self.derived.frequencies)))
+        first = self.postings.where(F.col("posting_no") == 1)
+        return first.select("term", "df", "term_total")
 
     def only(self, terms: DataFrame) -> DataFrame:
         """Postings of the terms in ``terms`` (one column ``term``), worked out for them alone."""
         if self.derived is None:
             return self.postings.join(terms, "term", "left_semi")
-        frequencies, ranges, min_df = self.derived
+        frequencies, ranges = self.derived
         wanted = frequencies.join(terms, "term", "left_semi")
-        return number_postings(wanted, ranges, min_df).postings
+        return number_postings(wanted, ranges, self.min_df).postings
 
 
 @dataclass(frozen=True)
@@ -80,10 +95,12 @@ def term_frequencies(
 
 
 def anchor_links(corpus: DataFrame) -> DataFrame:
-    """``src, dst, text``: one row per link in the nested anchor lists."""
+    """``src, dst, text``: one row per link in the nested anchor lists; links to nowhere are left out."""
     link = F.explode("anchor_text").alias("link")
-    return corpus.select(F.col("id").cast("long").alias("src"), link).select(
-        "src", F.col("link.id").alias("dst"), F.col("link.text").alias("text")
+    return (
+        corpus.select(F.col("id").cast("long").alias("src"), link)
+        .where(F.col("link.id").isNotNull())
+        .select("src", F.col("link.id").alias("dst"), F.col("link.text").alias("text"))
     )
 
 
@@ -95,7 +112,8 @@ def anchor_frequencies(links: DataFrame, stopwords: Iterable[str] = STOPWORDS) -
     """
     tokens = F.explode(tokenize(F.col("text"), stopwords)).alias("term")
     return (
-        links.select(F.col("dst").alias("doc_id"), tokens)
+        links.where(F.col("dst").isNotNull())
+        .select(F.col("dst").alias("doc_id"), tokens)
         .groupBy("term", "doc_id")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -108,8 +126,12 @@ def term_statistics(frequencies: DataFrame) -> DataFrame:
     )
 
 
+def _summed(frequencies: DataFrame) -> DataFrame:
+    return frequencies.groupBy("term", "doc_id").agg(F.sum("tf").alias("tf"))
+
+
 def number_postings(frequencies: DataFrame, ranges: IdRanges, min_df: int = 0) -> FieldIndex:
-    """Sum up, number and filter postings with a single shuffle of them.
+    """Sum up and number postings with a single shuffle of them.
 
     Rows are placed by term and range of document ids. Both the sum over repeated documents and
     the numbering use that placing, and one range of one term is all that a task has to sort.
@@ -129,11 +151,12 @@ def number_postings(frequencies: DataFrame, ranges: IdRanges, min_df: int = 0) -
         order=[F.asc("doc_id")],
         number="posting_no",
         totals={"df": F.count(F.col("doc_id")), "term_total": F.sum("tf")},
-        keep=F.col("df") > min_df,
     )
     columns = ["term", "doc_id", "tf", "posting_no", "df", "term_total", "doc_range"]
-    derived = Derivation(frequencies, ranges, min_df)
-    return FieldIndex(numbered.select(*columns), ranges=len(ranges), derived=derived)
+    derived = Derivation(frequencies, ranges)
+    return FieldIndex(
+        numbered.select(*columns), ranges=len(ranges), derived=derived, min_df=min_df
+    )
 
 
 def build_index(
@@ -165,12 +188,18 @@ def build_anchor_index(
 
 
 def merge_index(
-    first: FieldIndex, second: FieldIndex, min_df: int = 0, rows_per_range: Optional[int] = None
+    first: FieldIndex,
+    second: FieldIndex,
+    min_df: Optional[int] = None,
+    rows_per_range: Optional[int] = None,
 ) -> FieldIndex:
     """Merge two partial indexes; a document found in both has its frequencies added up.
 
-    Positions and statistics are worked out anew, so both parts should be built with ``min_df=0``.
+    Positions and statistics are worked out anew from all postings, the hidden ones included. The
+    result hides terms as the part that hides more does, unless ``min_df`` is given.
     """
+    if min_df is None:
+        min_df = max(first.min_df, second.min_df)
     both = _counts(first).unionByName(_counts(second))
     if first.derived and second.derived and rows_per_range is None:
         bounds = {*first.derived.ranges.bounds, *second.derived.ranges.bounds}
@@ -181,10 +210,10 @@ def merge_index(
 
 
 def _counts(index: FieldIndex) -> DataFrame:
-    """``term, doc_id, tf`` of an index, from before it was numbered if nothing was dropped."""
-    if index.derived is not None and index.derived.min_df == 0:
+    """``term, doc_id, tf`` of an index, from before it was numbered if it isn't stored."""
+    if index.derived is not None:
         return index.derived.frequencies
-    return index.postings.select("term", "doc_id", "tf")
+    return index.all_postings.select("term", "doc_id", "tf")
 
 
 def add_documents(
@@ -195,7 +224,7 @@ def add_documents(
     stopwords: Iterable[str] = STOPWORDS,
     rows_per_range: Optional[int] = None,
 ) -> FieldIndex:
-    """Add a batch of documents to an index."""
+    """Add a batch of documents to an index, which goes on hiding terms as it did."""
     new = build_index(docs, text, doc_id, stopwords=stopwords, rows_per_range=rows_per_range)
     return merge_index(index, new, rows_per_range=rows_per_range)
 
@@ -220,11 +249,11 @@ def posting_blocks(index: FieldIndex, block_size: int = POSTINGS_PER_BLOCK) -> D
 
 def build_search_index(
     corpus: DataFrame,
-    body_min_df: int = BODY_MIN_DF,
+    body_min_df: int = 0,
     stopwords: Iterable[str] = STOPWORDS,
     rows_per_range: Optional[int] = None,
 ) -> SearchIndex:
-    """Title, body and anchor indexes of a corpus; rare terms are dropped from the body only."""
+    """Title, body and anchor indexes of a corpus; ``body_min_df`` hides rare terms of the body."""
     return SearchIndex(
         title=build_index(
             corpus, "title", stopwords=stopwords, rows_per_range=rows_per_range

@@ -22,8 +22,12 @@ CHECKPOINT_EVERY = 3
 
 
 def link_edges(links: DataFrame) -> DataFrame:
-    """Distinct ``src, dst`` of a table of links; links of a page to itself are kept."""
-    return links.select("src", "dst").distinct()
+    """Distinct ``src, dst`` of a table of links.
+
+    Links of a page to itself are kept, links without a source or target are left out.
+    """
+    known = F.col("src").isNotNull() & F.col("dst").isNotNull()
+    return links.where(known).select("src", "dst").distinct()
 
 
 def link_vertices(edges: DataFrame) -> DataFrame:
@@ -104,19 +108,22 @@ def pagerank(
     use_checkpoint_dir(edges.sparkSession)
     edges = edges.select("src", "dst").persist(StorageLevel.MEMORY_AND_DISK)
     vertices = link_vertices(edges).persist(StorageLevel.MEMORY_AND_DISK)
-    heavy = _heavy_pages(vertices, links_per_block)
-    # Kept as placed and sorted, out-links are neither shuffled nor sorted again by an iteration.
-    out_links = _out_links(edges, heavy).sortWithinPartitions("id")
-    out_links = out_links.persist(StorageLevel.MEMORY_AND_DISK)
-
-    ranks = vertices.select("id", F.lit(1.0).alias("rank"))
-    for step in range(1, iterations + 1):
-        ranks = _iterate(ranks, vertices, out_links, heavy, reset)
-        if step == iterations or step % checkpoint_every == 0:
-            ranks = ranks.checkpoint()
-    n, total = ranks.agg(F.count(F.lit(1)), F.sum("rank")).first()
-    for table in (out_links, vertices, edges):
-        table.unpersist()
+    kept = [vertices, edges]
+    try:
+        heavy = _heavy_pages(vertices, links_per_block)
+        # Kept as placed and sorted, out-links are neither shuffled nor sorted by an iteration.
+        out_links = _out_links(edges, heavy).sortWithinPartitions("id")
+        out_links = out_links.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.insert(0, out_links)
+        ranks = vertices.select("id", F.lit(1.0).alias("rank"))
+        for step in range(1, iterations + 1):
+            ranks = _iterate(ranks, vertices, out_links, heavy, reset)
+            if step == iterations or step % checkpoint_every == 0:
+                ranks = ranks.checkpoint()
+        n, total = ranks.agg(F.count(F.lit(1)), F.sum("rank")).first()
+    finally:
+        for table in kept:
+            table.unpersist()
     scale = n / total if n else 1.0
     return ranks.select("id", (F.col("rank") * F.lit(scale)).alias("pagerank"))
 

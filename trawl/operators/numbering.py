@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 # Rows in a sorted group that one task handles at ease.
 ROWS_PER_RANGE = 2_000_000
 
-MAX_RANGES = 1024
+# Bounds that the driver holds: enough for 2 * 10**10 rows in pieces of that size.
+MAX_RANGES = 10_000
 
 
 @dataclass(frozen=True)
@@ -59,14 +60,14 @@ def measure_id_ranges(
     """Cut the ids in column ``doc_id`` into ranges of about ``rows_per_range`` rows.
 
     Reads a single column, and only its row count if one range will do. The driver receives at
-    most 1,023 numbers.
+    most 9,999 numbers.
     """
     ids = rows.select(doc_id)
     wanted = min(MAX_RANGES, -(-ids.count() // (rows_per_range or ROWS_PER_RANGE)))
     if wanted <= 1:
         return IdRanges()
     cuts = [i / wanted for i in range(1, wanted)]
-    (bounds,) = ids.agg(F.percentile_approx(doc_id, cuts, F.lit(10 * MAX_RANGES))).first()
+    (bounds,) = ids.agg(F.percentile_approx(doc_id, cuts, F.lit(10 * wanted))).first()
     different = tuple(sorted(set(bounds)))
     return IdRanges(different, crowded=len(different) < len(bounds))
 
@@ -78,25 +79,22 @@ def number_rows(
     order: Sequence[Column],
     number: str,
     totals: Optional[Mapping[str, Column]] = None,
-    keep: Optional[Column] = None,
 ) -> DataFrame:
     """Add ``number`` = exact 1-based position of each row in its group.
 
     ``pieces`` maps the columns that cut a group to "ascending?", and must agree with ``order``.
-    ``totals`` are aggregates added per group: a count or sum given per piece and summed up. Rows
-    of groups for which ``keep`` (over the totals) is false are left out. Without pieces, plain
-    windows over the group are used: choose that only where groups are known to be small. ``rows``
-    placed by group and pieces beforehand are not shuffled again.
+    ``totals`` are aggregates added per group: a count or sum given per piece and summed up. Without
+    pieces, plain windows over the group are used: choose that only where groups are known to be
+    small. ``rows`` placed by group and pieces beforehand are not shuffled again.
     """
     totals = dict(totals or {})
     if not pieces:
         ordered = Window.partitionBy(*group).orderBy(*order)
         whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        numbered = rows.withColumns(
+        return rows.withColumns(
             {name: total.over(whole) for name, total in totals.items()}
             | {number: F.row_number().over(ordered).cast("bigint")}
         )
-        return numbered if keep is None else numbered.where(keep)
 
     key = [*group, *pieces]
     tally = rows.groupBy(*key).agg(
@@ -111,8 +109,6 @@ def number_rows(
         {"_before": F.coalesce(F.sum("_rows").over(before), F.lit(0))}
         | {name: F.sum(name).over(whole) for name in totals}
     ).drop("_rows")
-    if keep is not None:
-        offsets = offsets.where(keep)
     inside = Window.partitionBy(*key).orderBy(*order)
     return (
         rows.withColumn("_inside", F.row_number().over(inside))

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trawl.functions.scoring import (
+    BM25_K1,
     FALLBACK_CORPUS_SIZE,
-    MAX_POSTINGS,
     TOP_K,
     SearchWeights,
     bm25_idf,
@@ -79,11 +79,11 @@ def query_terms(queries: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> Que
 
 
 def matching_postings(
-    terms: QueryTerms, index: FieldIndex, max_postings: Optional[int] = MAX_POSTINGS
+    terms: QueryTerms, index: FieldIndex, max_postings: Optional[int] = None
 ) -> DataFrame:
     """Each query term with its postings: ``query_id, uses, qpos`` and the columns of a posting.
 
-    Only the first ``max_postings`` of a term are read; ``df`` still counts all of them.
+    On request, only the first ``max_postings`` of a term are read; ``df`` still counts all of them.
     """
     postings = index.postings
     if index.derived is not None and terms.small:
@@ -191,15 +191,16 @@ def search(
     titles: DataFrame,
     weights: SearchWeights = SearchWeights(),
     limit: int = TOP_K,
-    max_postings: Optional[int] = MAX_POSTINGS,
+    max_postings: Optional[int] = None,
     n_docs: Optional[int] = None,
+    k1: float = BM25_K1,
     stopwords: Iterable[str] = STOPWORDS,
 ) -> DataFrame:
     """Fused ranking: title matches, anchor frequencies, body BM25 and a PageRank boost."""
     terms = query_terms(queries, stopwords)
     n = F.lit(n_docs) if n_docs is not None else corpus_size(pagerank)
     uses, tf = F.col("uses"), F.col("tf")
-    bm25 = bm25_idf(F.col("df"), n) * bm25_saturation(tf)
+    bm25 = bm25_idf(F.col("df"), n) * bm25_saturation(tf, k1)
     fields = [
         _points(matching_postings(terms, index.title, max_postings), 0, uses * weights.title),
         _points(
@@ -221,7 +222,7 @@ def search_body(
     index: FieldIndex,
     titles: DataFrame,
     limit: int = TOP_K,
-    max_postings: Optional[int] = MAX_POSTINGS,
+    max_postings: Optional[int] = None,
     n_docs: int = FALLBACK_CORPUS_SIZE,
     stopwords: Iterable[str] = STOPWORDS,
 ) -> DataFrame:
@@ -237,7 +238,7 @@ def search_matches(
     queries: DataFrame,
     index: FieldIndex,
     titles: DataFrame,
-    max_postings: Optional[int] = MAX_POSTINGS,
+    max_postings: Optional[int] = None,
     stopwords: Iterable[str] = STOPWORDS,
 ) -> DataFrame:
     """Every document ranked by how many query tokens the field holds, each use counted."""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trawl.functions.text import STOPWORDS
 from trawl.operators import features, indexing, links, retrieval
-from trawl.operators.indexing import BODY_MIN_DF, TERM_BUCKETS, SearchIndex
+from trawl.operators.indexing import TERM_BUCKETS, SearchIndex
 from trawl.sources.index_store import read_search_index, write_index
 
 
@@ -49,7 +49,7 @@ def build_engine(
     corpus: DataFrame,
     log_lines: DataFrame,
     path: str,
-    body_min_df: int = BODY_MIN_DF,
+    body_min_df: int = 0,
     buckets: int = TERM_BUCKETS,
     stopwords: Iterable[str] = STOPWORDS,
     page_links: Optional[DataFrame] = None,
@@ -57,7 +57,8 @@ def build_engine(
     """Write indexes, titles, PageRank and page views below ``path``.
 
     ``corpus`` is ``id, title, text, anchor_text``; ``page_links`` (``src, dst, text``) replaces
-    the last of these if given. ``log_lines`` is ``line, line_no``.
+    the last of these if given. ``log_lines`` is ``line, line_no``. A column ``row_order`` of the
+    corpus decides between titles of one id; ``read_corpus`` gives it.
     """
     spark = corpus.sparkSession
     if page_links is None:
@@ -68,7 +69,8 @@ def build_engine(
     write_index(body, f"{path}/index/body", buckets)
     anchor = indexing.build_anchor_index(page_links, stopwords=stopwords)
     write_index(anchor, f"{path}/index/anchor", buckets)
-    write_feature(features.build_titles(corpus), f"{path}/titles")
+    order = "row_order" if "row_order" in corpus.columns else None
+    write_feature(features.build_titles(corpus, order), f"{path}/titles")
     ranks = links.pagerank(links.link_edges(page_links))
     write_feature(ranks, f"{path}/pagerank")
     titles = spark.read.parquet(f"{path}/titles")

@@ -53,13 +53,16 @@ class SampleViews:
         anchor = F.struct(F.col("dst").alias("id"), "text")
         return self.links().select(F.col("src").alias("id"), F.array(anchor).alias("anchor_text"))
 
-    def log_lines(self) -> DataFrame:
-        """``line, line_no``."""
+    def log_lines(self, long_numbers: bool = False) -> DataFrame:
+        """``line, line_no``; on request with views of 19 digits and ids with zeros in front."""
         wanted = F.col("event_type").isin("view", "click")
         domain = F.when(wanted, "en.wikipedia").otherwise("de.wikipedia")
         no_id = F.get_json_object("props", "$.k") == "9"
-        page_id = F.when(no_id, "null").otherwise(F.col("user_id").cast("string"))
-        views = F.floor("value").cast("string")
+        number, views = F.col("user_id").cast("string"), F.floor("value").cast("string")
+        if long_numbers:
+            number = F.concat(F.lit("00"), number)
+            views = F.concat(F.lit("9"), F.lpad(views, 18, "0"))
+        page_id = F.when(no_id, "null").otherwise(number)
         name = F.concat(F.lit("Page_"), F.col("user_id").cast("string"))
         line = F.concat_ws(" ", domain, name, page_id, F.lit("desktop"), views)
         return self.table("events").select(line.alias("line"), F.col("event_id").alias("line_no"))
@@ -80,6 +83,21 @@ class SampleViews:
             )
         )
 
+    def string_qrels(self) -> DataFrame:
+        """As ``qrels``, with ids as strings and judgements of ids that are no numbers."""
+        rows = self.qrels().select("query_id", F.col("doc_id").cast("string").alias("doc_id"))
+        return rows.unionByName(
+            rows.select("query_id", F.concat(F.lit("doc-"), "doc_id").alias("doc_id"))
+        )
+
+    def odd_queries(self) -> DataFrame:
+        """Of every query an empty one, one of stop words, an unknown word, and the query twice."""
+        forms = F.array(
+            F.lit(""), F.lit("the of which"), F.lit("qqqunknown"), F.concat_ws(" ", "query", "query")
+        )
+        rows = self.queries().select("query_id", F.posexplode(forms).alias("form", "query"))
+        return rows.select((F.col("query_id") * 4 + F.col("form")).alias("query_id"), "query")
+
     def requests(self) -> DataFrame:
         """``request_id, ids``: two numbers and a string that is none."""
         ids = F.array(

@@ -9,8 +9,12 @@ from trawl.schemas import CORPUS
 
 
 def read_corpus(spark: SparkSession, *paths: str) -> DataFrame:
-    """``id, title, text, anchor_text`` of Parquet files; raises if a path holds none."""
-    return spark.read.schema(CORPUS).parquet(*paths)
+    """``id, title, text, anchor_text, row_order`` of Parquet files; raises if a path holds none.
+
+    ``row_order`` sorts rows as they stand in the files.
+    """
+    files = spark.read.schema(CORPUS).parquet(*paths)
+    return files.withColumn("row_order", file_order())
 
 
 def spread(table: DataFrame) -> DataFrame:
@@ -35,14 +39,32 @@ def file_order() -> Column:
     )
 
 
-def read_titles(spark: SparkSession, *paths: str) -> DataFrame:
-    """``id, title, row_order`` of Parquet files, passing over files that cannot be read."""
-    files = spark.read.schema(CORPUS).option("ignoreCorruptFiles", True).parquet(*paths)
+def read_titles(
+    spark: SparkSession, *paths: str, skip_unreadable: bool = False
+) -> DataFrame:
+    """``id, title, row_order`` of Parquet files.
+
+    A file that cannot be read is an error, unless ``skip_unreadable`` passes over such files;
+    ``skipped_files`` then names them.
+    """
+    reader = spark.read.schema(CORPUS).option("ignoreCorruptFiles", skip_unreadable)
+    files = reader.parquet(*paths)
     return files.select(
         F.col("id").cast("long").alias("id"), "title", file_order().alias("row_order")
     )
 
 
+def skipped_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """``path, length`` of the files from which no row can be read, be they damaged or empty."""
+    listed = spark.read.format("binaryFile").load(list(paths)).select("path", "length")
+    reader = spark.read.schema(CORPUS).option("ignoreCorruptFiles", True)
+    read = reader.parquet(*paths).select(F.col("_metadata.file_path").alias("path")).distinct()
+    plain = lambda path: F.regexp_replace(path, "^file:/+", "/")
+    return listed.join(
+        read.select(plain("path").alias("read")), plain(listed["path"]) == F.col("read"), "left_anti"
+    )
+
+
 def preview(table: DataFrame, seed: int = 0, head: int = 3, sample: int = 5) -> DataFrame:
     """A few first and a few random rows, as ``part`` ("first" or "random") and the columns.
 

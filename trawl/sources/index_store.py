@@ -11,10 +11,6 @@ from pyspark.sql import functions as F
 
 from trawl.operators.indexing import TERM_BUCKETS, FieldIndex, SearchIndex
 
-# A posting has 32 bits for the document id and 16 bits for the term frequency.
-MAX_DOC_ID = 2**32 - 1
-TF_MASK = 2**16 - 1
-
 # Spark passes at most this many values of one IN list on to Parquet as exact comparisons.
 _IN_LIST = 10
 
@@ -30,25 +26,18 @@ def write_index(
 
     A task writes one bucket of one range of document ids at a time, sorted by term and document:
     a frequent term runs on over several files, none of which depends on how frequent it is. A
-    reader of few terms opens their folders only, and there their pages only.
+    reader of few terms opens their folders only, and there their pages only. All postings are
+    written; the threshold that hides rare terms is kept beside them and applied by readers.
     """
-    bad_id = F.raise_error(F.format_string("document id %s needs more than 32 bits", "doc_id"))
-    fits = F.col("doc_id").between(0, MAX_DOC_ID)
     (
-        index.postings.withColumns(
-            {
-                "doc_id": F.when(fits, F.col("doc_id")).otherwise(bad_id.cast("bigint")),
-                "tf": F.col("tf").bitwiseAND(F.lit(TF_MASK)),
-                "term_bucket": term_bucket(F.col("term"), buckets),
-            }
-        )
+        index.all_postings.withColumn("term_bucket", term_bucket(F.col("term"), buckets))
         .repartition("term_bucket", "doc_range")
         .sortWithinPartitions("term_bucket", "doc_range", "term", "doc_id")
         .write.mode(mode)
         .partitionBy("term_bucket")
         .parquet(f"{path}/postings")
     )
-    spark = index.postings.sparkSession
+    spark = index.all_postings.sparkSession
     first = spark.read.parquet(f"{path}/postings").where(F.col("posting_no") == 1)
     (
         first.select("term", "df", "term_total", "term_bucket")
@@ -59,20 +48,27 @@ def write_index(
         .parquet(f"{path}/term_stats")
     )
     layout = spark.range(1).select(
-        F.lit(buckets).alias("buckets"), F.lit(index.ranges).alias("ranges")
+        F.lit(buckets).alias("buckets"),
+        F.lit(index.ranges).alias("ranges"),
+        F.lit(index.min_df).alias("min_df"),
     )
     layout.write.mode(mode).parquet(f"{path}/layout")
 
 
 def read_index(spark: SparkSession, path: str) -> FieldIndex:
     layout = spark.read.parquet(f"{path}/layout").first()
-    postings = spark.read.parquet(f"{path}/postings")
-    return FieldIndex(postings, ranges=layout["ranges"], buckets=layout["buckets"])
+    return FieldIndex(
+        spark.read.parquet(f"{path}/postings"),
+        ranges=layout["ranges"],
+        buckets=layout["buckets"],
+        min_df=layout["min_df"],
+        all_terms=spark.read.parquet(f"{path}/term_stats").select("term", "df", "term_total"),
+    )
 
 
 def read_term_stats(spark: SparkSession, path: str) -> DataFrame:
     """``term, df, term_total`` of a written index."""
-    return spark.read.parquet(f"{path}/term_stats").select("term", "df", "term_total")
+    return read_index(spark, path).term_stats
 
 
 def write_search_index(

@@ -16,8 +16,5 @@ def read_judged_queries(spark: SparkSession, path: str) -> DataFrame:
 
 
 def relevant_documents(judged: DataFrame) -> DataFrame:
-    """``query_id, doc_id``: one row per judgement; ids that are no numbers are left out."""
-    ids = judged.select("query_id", F.explode("doc_ids").alias("raw"))
-    return ids.select("query_id", F.col("raw").try_cast("bigint").alias("doc_id")).where(
-        F.col("doc_id").isNotNull()
-    )
+    """``query_id, doc_id``: one row per judgement, ids being strings as they stand in the file."""
+    return judged.select("query_id", F.explode("doc_ids").alias("doc_id"))
