@@ -28,6 +28,8 @@ FREQUENT_SHARE = 1 / 300_000
 # Words a worker counts before it passes them on, or remembers.
 COUNTED_WORDS = 250_000
 KNOWN_WORDS = 200_000
+TEXTS_AT_ONCE = 500
+CODES_AT_ONCE = 200_000
 
 _START = "▁"
 
@@ -49,93 +51,132 @@ def read_pieces(path: str) -> list[str]:
 
 
 class SubwordLattice:
-    """All segmentations of a word into pieces, weighted by the pieces' log probabilities.
+    """All segmentations of words into pieces, weighted by the pieces' log probabilities.
 
     A word is written with a start mark. Besides pieces of the vocabulary, every character may be
     spelt by its bytes, so each word has a segmentation. Numbers: the pieces, then 256 bytes, then
-    the end of a text.
+    the end of a text. The recursions run over many words of one length at a time.
     """
 
     def __init__(self, pieces: Sequence[str], log_probs: np.ndarray) -> None:
         self._bytes = len(pieces)
         self.end = self._bytes + 256
-        self._log = log_probs.tolist()
-        self._trie: dict = {}
-        for number, piece in enumerate(pieces):
-            node = self._trie
-            for char in piece[:-1]:
-                node = node.setdefault(char, [{}, -1])[0]
-            node.setdefault(piece[-1], [{}, -1])[1] = number
+        self._log = np.append(log_probs, -np.inf)
+        hashes, numbers = [], []
+        for places, codes in _by_length(pieces):
+            rolled = np.zeros(len(codes), np.uint64)
+            for i in range(codes.shape[1]):
+                rolled = _roll(rolled, codes[:, i])
+                hashes.append(rolled)
+                whole = i == codes.shape[1] - 1
+                numbers.append(places if whole else np.full(len(places), -1))
+        hashed, number = np.concatenate(hashes), np.concatenate(numbers)
+        order = np.lexsort((number, hashed))  # of a prefix that is a piece too, the piece
+        last = np.append(hashed[order][1:] != hashed[order][:-1], True)
+        self._prefixes, self._piece = hashed[order][last], number[order][last]
 
     def end_score(self) -> float:
-        return self._log[self.end]
+        return float(self._log[self.end])
 
-    def _edges(self, word: str) -> Iterator[tuple[int, int, float, int]]:
-        """``start, end, log probability, piece`` from left to right; -1 for a spelt character."""
-        size, log, trie, first = len(word), self._log, self._trie, self._bytes
+    def _edges(self, codes: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """``start, end, words, pieces``: which words have which piece there, from left to right."""
+        size = codes.shape[1]
         for start in range(size):
-            spelt = 0.0
-            for byte in word[start].encode("utf-8", "replace"):
-                spelt += log[first + byte]
-            yield start, start + 1, spelt, -1
-            node = trie
+            words = np.arange(len(codes))
+            rolled = np.zeros(len(codes), np.uint64)
             for i in range(start, size):
-                step = node.get(word[i])
-                if step is None:
+                rolled = _roll(rolled, codes[words, i])
+                at = np.searchsorted(self._prefixes, rolled)
+                at[at == len(self._prefixes)] = 0
+                known = self._prefixes[at] == rolled
+                words, rolled, piece = words[known], rolled[known], self._piece[at[known]]
+                if not len(words):
                     break
-                node, piece = step
-                if piece >= 0:
-                    yield start, i + 1, log[piece], piece
-
-    def marginal(self, word: str) -> float:
-        """Natural log of the sum over all segmentations, by the forward recursion."""
-        word = _START + word
-        forward = [-math.inf] * (len(word) + 1)
-        forward[0] = 0.0
-        for start, end, score, _ in self._edges(word):
-            forward[end] = _log_add(forward[end], forward[start] + score)
-        return forward[-1]
-
-    def expected(self, word: str, times: float, totals: np.ndarray) -> None:
-        """Adds how often each piece is expected in ``times`` occurrences of a word."""
-        word = _START + word
-        edges = list(self._edges(word))
-        forward = [-math.inf] * (len(word) + 1)
-        backward = [-math.inf] * (len(word) + 1)
-        forward[0] = backward[-1] = 0.0
-        for start, end, score, _ in edges:
-            forward[end] = _log_add(forward[end], forward[start] + score)
-        for start, end, score, _ in reversed(edges):
-            backward[start] = _log_add(backward[start], backward[end] + score)
-        whole = forward[-1]
-        for start, end, score, piece in edges:
-            part = times * math.exp(forward[start] + score + backward[end] - whole)
-            if piece >= 0:
-                totals[piece] += part
-            else:
-                for byte in word[start].encode("utf-8", "replace"):
-                    totals[self._bytes + byte] += part
-
-
-def _log_add(a: float, b: float) -> float:
-    if a < b:
-        a, b = b, a
-    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
-
-
-class _Known(dict):
-    """Marginals of words already met."""
-
-    def __init__(self, lattice: SubwordLattice) -> None:
-        super().__init__()
-        self._lattice = lattice
-
-    def __missing__(self, word: bytes) -> float:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        found = self._lattice.marginal(word.decode("utf-8", "replace"))
-        self[word] = found
-        return found
+                some = piece >= 0
+                if some.any():
+                    yield start, i + 1, words[some], piece[some]
+
+    def _spelt(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Log probability of spelling each character; which character it is; their bytes."""
+        chars, which = np.unique(codes, return_inverse=True)
+        spelling = [
+            np.frombuffer(chr(c).encode("utf-8", "replace"), np.uint8).astype(int) + self._bytes
+            for c in chars.tolist()
+        ]
+        score = np.array([self._log[numbers].sum() for numbers in spelling])
+        which = which.reshape(codes.shape)
+        return score[which], which, spelling
+
+    def _forward(self, codes: np.ndarray, edges: list, spelt: np.ndarray) -> np.ndarray:
+        forward = np.full((len(codes), codes.shape[1] + 1), -np.inf)
+        forward[:, 0] = 0.0
+        todo = iter(edges)
+        edge = next(todo, None)
+        for start in range(codes.shape[1]):
+            forward[:, start + 1] = np.logaddexp(
+                forward[:, start + 1], forward[:, start] + spelt[:, start]
+            )
+            while edge is not None and edge[0] == start:
+                _, end, words, piece = edge
+                reached = forward[words, start] + self._log[piece]
+                forward[words, end] = np.logaddexp(forward[words, end], reached)
+                edge = next(todo, None)
+        return forward
+
+    def marginals(self, words: Sequence[str]) -> np.ndarray:
+        """Natural log of each word's sum over all segmentations, by the forward recursion."""
+        out = np.zeros(len(words))
+        for places, codes in _by_length([_START + word for word in words]):
+            spelt = self._spelt(codes)[0]
+            out[places] = self._forward(codes, self._edges(codes), spelt)[:, -1]
+        return out
+
+    def expected(self, words: Sequence[str], times: np.ndarray, totals: np.ndarray) -> None:
+        """Adds how often each piece is expected in so many occurrences of the words."""
+        for places, codes in _by_length([_START + word for word in words]):
+            spelt, which, spelling = self._spelt(codes)
+            edges = list(self._edges(codes))
+            forward = self._forward(codes, edges, spelt)
+            backward = np.full(forward.shape, -np.inf)
+            backward[:, -1] = 0.0
+            todo = reversed(edges)
+            edge = next(todo, None)
+            for start in range(codes.shape[1] - 1, -1, -1):
+                backward[:, start] = backward[:, start + 1] + spelt[:, start]
+                while edge is not None and edge[0] == start:
+                    _, end, own, piece = edge
+                    reached = backward[own, end] + self._log[piece]
+                    backward[own, start] = np.logaddexp(backward[own, start], reached)
+                    edge = next(todo, None)
+            whole, often = forward[:, -1], times[places]
+            for start, end, own, piece in edges:
+                part = forward[own, start] + self._log[piece] + backward[own, end] - whole[own]
+                part = often[own] * np.exp(part)
+                totals += np.bincount(piece, part, len(totals))
+            part = forward[:, :-1] + spelt + backward[:, 1:] - whole[:, None]
+            part = often[:, None] * np.exp(part)
+            for char, n in enumerate(np.bincount(which.ravel(), part.ravel(), len(spelling))):
+                np.add.at(totals, spelling[char], n)
+
+
+def _roll(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    hashes = (hashes ^ codes) * np.uint64(0x9E3779B97F4A7C15)
+    return hashes ^ (hashes >> np.uint64(32))
+
+
+def _by_length(words: Sequence[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Where words of one length stand, and their characters' codes, one row a word."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(sizes, kind="stable")
+    cuts = np.flatnonzero(np.diff(sizes[order])) + 1
+    for group in np.split(order, cuts):
+        size = int(sizes[group[0]]) if len(group) else 0
+        step = max(1, CODES_AT_ONCE // max(1, size))
+        for i in range(0, len(group) if size else 0, step):
+            places = group[i : i + step]
+            text = "".join([words[k] for k in places.tolist()])
+            codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+            yield places, codes.reshape(len(places), size).astype(np.uint64)
 
 
 @dataclass(frozen=True)
@@ -186,8 +227,8 @@ def _refit(
         lattice = SubwordLattice(*shared.value)
         totals = np.zeros(len(shared.value[1]))
         for batch in batches:
-            for word, n in zip(batch.column("word"), batch.column("n").to_pylist()):
-                lattice.expected(word.as_py().decode("utf-8", "replace"), float(n), totals)
+            words = [w.decode("utf-8", "replace") for w in batch.column("word").to_pylist()]
+            lattice.expected(words, batch.column("n").to_numpy().astype(float), totals)
         used = np.flatnonzero(totals)
         yield pa.record_batch({"piece": pa.array(used), "n": pa.array(totals[used])})
 
@@ -271,30 +312,32 @@ def score_texts(
     @F.arrow_udf(kind)
     def read(texts: pa.Array) -> pa.Array:
         frequent, pieces, log_probs, end_base, end_known = shared.value
-        if "known" not in memory:
-            lattice = SubwordLattice(pieces, log_probs)
-            memory["known"] = _Known(lattice), lattice.end_score()
+        if not memory:
+            memory["lattice"] = SubwordLattice(pieces, log_probs)
             memory["base"] = {word: math.log10(n + 0.5) for word, n in frequent.items()}
-        marginals, end_score = memory["known"]
-        bases = memory["base"]
+            memory["known"] = {}
+        lattice, bases, known_words = memory["lattice"], memory["base"], memory["known"]
         out: list[list] = [[], [], [], [], [], []]
-        for text in texts:
-            words = split_lower(text.as_py())
-            counted = Counter(words)
-            base, score, known = end_base, end_score, int(end_known)
-            rare, times = [], []
-            for word, n in counted.items():
-                score += n * marginals[word]
-                logged = bases.get(word)
-                if logged is None:
-                    rare.append(_hash(word))
-                    times.append(n)
-                else:
-                    base += n * logged
-                    known += n
-            values = (len(words) + 1, known, base, score / math.log(10), rare, times)
-            for column, value in zip(out, values):
-                column.append(value)
+        for i in range(0, len(texts), TEXTS_AT_ONCE):
+            counters = [Counter(split_lower(t.as_py())) for t in texts[i : i + TEXTS_AT_ONCE]]
+            _remember(known_words, lattice, set().union(*counters))
+            for counted in counters:
+                base, score, known = end_base, lattice.end_score(), int(end_known)
+                rare, times = [], []
+                for word, n in counted.items():
+                    marginal, key = known_words[word]
+                    score += n * marginal
+                    logged = bases.get(word)
+                    if logged is None:
+                        rare.append(key)
+                        times.append(n)
+                    else:
+                        base += n * logged
+                        known += n
+                n_tokens = counted.total() + 1
+                values = (n_tokens, known, base, score / math.log(10), rare, times)
+                for column, value in zip(out, values):
+                    column.append(value)
         kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()),
                  pa.list_(pa.int32()))
         arrays = [pa.array(column, k) for column, k in zip(out, kinds)]
@@ -343,6 +386,18 @@ def score_texts(
     return with_columns(named, new).drop("_n_tokens", "_known", "_base", "_score")
 
 
+def _remember(
+    known: dict[bytes, tuple[float, int]], lattice: SubwordLattice, used: set[bytes]
+) -> None:
+    """Adds the marginal and the hash of each word to the known ones, or starts these anew."""
+    new = list(used.difference(known))
+    if len(known) + len(new) > KNOWN_WORDS:
+        known.clear()
+        new = list(used)
+    marginals = lattice.marginals([word.decode("utf-8", "replace") for word in new])
+    known.update(zip(new, zip(marginals.tolist(), map(_hash, new))))
+
+
 @F.arrow_udf(T.LongType())
 def _hash_column(words: pa.Array) -> pa.Array:
     return pa.array([_hash(w.as_py()) for w in words], pa.int64())
