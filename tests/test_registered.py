@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as registered
 from tests.conftest import SAMPLE
 from trawl.operators import retrieval
@@ -68,10 +71,29 @@ def test_stored_search(engine, database, name):
     found = getattr(opened, name)(views.queries())
     if name == "search_anchor":
         found = retrieval.response_pairs(found)
+    else:
+        found = found.withColumn("score", F.round("score", 6))
     result = database.execute(STATEMENTS[name])
     wanted = table([d[0] for d in result.description], result.fetchall())
     assert table(found.columns, [tuple(r) for r in found.collect()]) == wanted
 
 
+def plan_of(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_query_picks_its_ranks_out(engine):
+    views, opened = engine
+    one = views.queries().where("query_id = 0")
+    assert plan_of(opened.search(one)).count("LeftSemi, BuildRight") >= 2  # of ranks and of titles
+
+
+def test_any_batch_reads_the_folders_of_its_terms_only(engine, monkeypatch):
+    views, opened = engine
+    monkeypatch.setattr(retrieval, "TERMS_IN_PLAN", 2)
+    one = views.queries().where("query_id = 0")
+    assert re.search(r"PartitionFilters: \[.*term_bucket#\d+ IN(SET)? ", plan_of(opened.search_body(one)))
+
+
 def test_entry(spark):
     assert registered.entry(spark).columns == ["query_id", "rank", "doc_id", "title", "score"]

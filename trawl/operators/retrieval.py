@@ -24,7 +24,7 @@ from trawl.functions.text import STOPWORDS, tokenize
 from trawl.operators.indexing import FieldIndex, SearchIndex
 from trawl.operators.numbering import number_rows
 from trawl.session import BROADCAST_ROWS
-from trawl.sources.index_store import Vocabulary
+from trawl.sources.index_store import Vocabulary, term_bucket
 
 # Up to this many different terms are written into the plan, where the scan can use them.
 TERMS_IN_PLAN = 1_000
@@ -68,14 +68,19 @@ def query_terms(queries: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> Que
         .groupBy("query_id", "term")
         .agg(F.count(F.lit(1)).alias("uses"), F.min("pos").alias("qpos"))
     )
-    some = table.select("query_id", "term", F.xxhash64("term").alias("hash"))
-    some = some.limit(TERMS_IN_PLAN + 1).collect()
+    hashed = F.xxhash64("term").alias("hash")
+    some = table.select("query_id", "term", hashed).limit(TERMS_IN_PLAN + 1).collect()
     if len(some) <= TERMS_IN_PLAN:
         vocabulary = Vocabulary({row["term"]: row["hash"] for row in some})
         n_queries = len({row["query_id"] for row in some})
         return QueryTerms(table, True, len(some), n_queries, vocabulary)
     n_rows, n_queries = table.agg(F.count(F.lit(1)), F.count_distinct("query_id")).first()
-    return QueryTerms(table, n_rows <= BROADCAST_ROWS, n_rows, n_queries)
+    # A large batch may ask for few different terms.
+    different = table.select("term", hashed).distinct().limit(TERMS_IN_PLAN + 1).collect()
+    vocabulary = None
+    if len(different) <= TERMS_IN_PLAN:
+        vocabulary = Vocabulary({row["term"]: row["hash"] for row in different})
+    return QueryTerms(table, n_rows <= BROADCAST_ROWS, n_rows, n_queries, vocabulary)
 
 
 def matching_postings(
@@ -89,7 +94,12 @@ def matching_postings(
     if index.derived is not None and terms.small:
         postings = index.only(F.broadcast(terms.table.select("term").distinct()))
     elif index.buckets is not None and terms.vocabulary is not None:
-        postings = terms.vocabulary.postings_in(index)
+        postings = terms.vocabulary.rows_in(postings, index.buckets)
+    elif index.buckets is not None:
+        # Too many terms to name them all, but the folders they are in are few numbers.
+        bucket = term_bucket(F.col("term"), index.buckets).alias("bucket")
+        folders = [row["bucket"] for row in terms.table.select(bucket).distinct().collect()]
+        postings = postings.where(F.col("term_bucket").isin(folders))
     if max_postings is not None:
         postings = postings.where(F.col("posting_no") <= max_postings)
     # No document id is null; said here, later joins on it need no check that sets plans apart.
@@ -184,6 +194,16 @@ def corpus_size(pagerank: DataFrame) -> Column:
     return pagerank.agg(size.alias("n")).scalar()
 
 
+def _few_matches(terms: QueryTerms, index: SearchIndex) -> bool:
+    """Whether the stored statistics say that the documents found are sure to fit a broadcast."""
+    fields = (index.title, index.body, index.anchor)
+    if terms.vocabulary is None or any(f.all_terms is None for f in fields):
+        return False
+    lists = [terms.vocabulary.rows_in(f.term_stats, f.buckets).select("df") for f in fields]
+    total = reduce(DataFrame.unionByName, lists).agg(F.sum("df")).first()[0] or 0
+    return total <= BROADCAST_ROWS
+
+
 def search(
     queries: DataFrame,
     index: SearchIndex,
@@ -210,6 +230,11 @@ def search(
     ]
     scores = accumulate(reduce(DataFrame.unionByName, fields), terms)
     ranks = pagerank.select(F.col("id").alias("doc_id"), "pagerank")
+    if _few_matches(terms, index):
+        # The documents found pick their ranks out, so the rank table is not shuffled. Asking for
+        # the score makes this branch need what the other one does: one shuffle for both.
+        found = scores.where(F.col("score").isNotNull()).select("doc_id").distinct()
+        ranks = ranks.join(F.broadcast(found), "doc_id", "left_semi")
     boosted = scores.join(ranks, "doc_id", "left").withColumn(
         "score", F.col("score") + rank_boost(F.col("pagerank")) * weights.pagerank
     )

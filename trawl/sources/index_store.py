@@ -62,13 +62,13 @@ def read_index(spark: SparkSession, path: str) -> FieldIndex:
         ranges=layout["ranges"],
         buckets=layout["buckets"],
         min_df=layout["min_df"],
-        all_terms=spark.read.parquet(f"{path}/term_stats").select("term", "df", "term_total"),
+        all_terms=spark.read.parquet(f"{path}/term_stats"),
     )
 
 
 def read_term_stats(spark: SparkSession, path: str) -> DataFrame:
     """``term, df, term_total`` of a written index."""
-    return read_index(spark, path).term_stats
+    return read_index(spark, path).term_stats.select("term", "df", "term_total")
 
 
 def write_search_index(
@@ -103,10 +103,10 @@ class Vocabulary:
             ]
             self._condition &= reduce(or_, chunks)
 
-    def postings_in(self, index: FieldIndex) -> DataFrame:
-        """The postings of a stored index that belong to one of the terms."""
-        buckets = sorted({value % index.buckets for value in self._hashes})
-        return index.postings.where(F.col("term_bucket").isin(buckets)).where(self._condition)
+    def rows_in(self, rows: DataFrame, buckets: int) -> DataFrame:
+        """The rows of a stored table of terms that belong to one of the terms."""
+        wanted = sorted({value % buckets for value in self._hashes})
+        return rows.where(F.col("term_bucket").isin(wanted)).where(self._condition)
 
 
 def posting_list(index: FieldIndex, term: str) -> DataFrame:
