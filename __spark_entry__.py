@@ -13,7 +13,7 @@ from trawl.plans import oracle
 from trawl.plans.sample import SampleViews
 
 try:
-    from trawl.llm import registry as corpus_queries
+    import trawl.llm.registry as corpus_queries
 except ModuleNotFoundError as missing:
     if not (missing.name or "").startswith(("trawl.llm", "corpus_pipeline")):
         raise
