@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from trawl.llm import (
     byte_bpe,
+    cotraining,
     decontamination,
     lattice_lm,
     line_dedup,
@@ -31,6 +32,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     ),
     "op5_quality_rules": (quality_rules.op5_quality_rules, None),
     "op6_pii": (pii.op6_pii, None),
+    "op7_quality_classifier": (cotraining.op7_quality_classifier, None),
     "op8_lattice_lm": (lattice_lm.op8_lattice_lm, None),
     "op9_ngram_jaccard_join": (ngram_join.op9_ngram_jaccard_join, ngram_join.ORACLE_SQL),
     "op10_byte_bpe": (byte_bpe.op10_byte_bpe, None),
