@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from array import array
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -26,10 +27,10 @@ PIECE_PRIOR = 0.5
 # Words of at least this share of the training tokens are broadcast: at most 1 / share words.
 FREQUENT_SHARE = 1 / 300_000
 # Words a worker counts before it passes them on, or remembers.
-COUNTED_WORDS = 250_000
-KNOWN_WORDS = 200_000
-TEXTS_AT_ONCE = 500
-CODES_AT_ONCE = 200_000
+COUNTED_WORDS = 100_000
+KNOWN_WORDS = 80_000
+TEXTS_AT_ONCE = 200
+CODES_AT_ONCE = 100_000
 
 _START = "▁"
 
@@ -317,30 +318,29 @@ def score_texts(
             memory["base"] = {word: math.log10(n + 0.5) for word, n in frequent.items()}
             memory["known"] = {}
         lattice, bases, known_words = memory["lattice"], memory["base"], memory["known"]
-        out: list[list] = [[], [], [], [], [], []]
+        rare, times, ends = array("q"), array("i"), [0]
+        numbers: list[tuple[int, int, float, float]] = []
         for i in range(0, len(texts), TEXTS_AT_ONCE):
             counters = [Counter(split_lower(t.as_py())) for t in texts[i : i + TEXTS_AT_ONCE]]
             _remember(known_words, lattice, set().union(*counters))
             for counted in counters:
                 base, score, known = end_base, lattice.end_score(), int(end_known)
-                rare, times = [], []
                 for word, n in counted.items():
-                    marginal, key = known_words[word]
-                    score += n * marginal
+                    score += n * known_words[word]
                     logged = bases.get(word)
                     if logged is None:
-                        rare.append(key)
+                        rare.append(_hash(word))
                         times.append(n)
                     else:
                         base += n * logged
                         known += n
-                n_tokens = counted.total() + 1
-                values = (n_tokens, known, base, score / math.log(10), rare, times)
-                for column, value in zip(out, values):
-                    column.append(value)
-        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.int64()),
-                 pa.list_(pa.int32()))
-        arrays = [pa.array(column, k) for column, k in zip(out, kinds)]
+                ends.append(len(rare))
+                numbers.append((counted.total() + 1, known, base, score / math.log(10)))
+        columns = list(zip(*numbers)) if numbers else [[]] * 4
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64())
+        arrays = [pa.array(column, k) for column, k in zip(columns, kinds)]
+        for flat in (rare, times):
+            arrays.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), np.asarray(flat)))
         return pa.StructArray.from_arrays(arrays, names=kind.names)
 
     memory: dict = {}
@@ -386,16 +386,14 @@ def score_texts(
     return with_columns(named, new).drop("_n_tokens", "_known", "_base", "_score")
 
 
-def _remember(
-    known: dict[bytes, tuple[float, int]], lattice: SubwordLattice, used: set[bytes]
-) -> None:
-    """Adds the marginal and the hash of each word to the known ones, or starts these anew."""
+def _remember(known: dict[bytes, float], lattice: SubwordLattice, used: set[bytes]) -> None:
+    """Adds the marginal of each word to the known ones, or starts these anew."""
     new = list(used.difference(known))
     if len(known) + len(new) > KNOWN_WORDS:
         known.clear()
         new = list(used)
     marginals = lattice.marginals([word.decode("utf-8", "replace") for word in new])
-    known.update(zip(new, zip(marginals.tolist(), map(_hash, new))))
+    known.update(zip(new, marginals.tolist()))
 
 
 @F.arrow_udf(T.LongType())
