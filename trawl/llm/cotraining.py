@@ -268,7 +268,10 @@ def fit_two_views(
     )
     found = rows.withColumn("n_chars", F.col("n_chars").cast("double")).mapInPandas(describe, kind)
     calibrates = (fold(F.col("id")) == CALIBRATION_FOLD).alias("calibrates")
-    sample = found.select("good", "features", calibrates, "id").toPandas()
+    # An id may stand on many rows: no more of them come to the driver than ids were asked for.
+    described = found.select("good", "features", calibrates, "id")
+    ordered = described.orderBy(F.xxhash64("id"), "id", "features")
+    sample = ordered.limit(labelled_rows + pool_rows).toPandas()
     if sample.empty:
         return None
     sample = sample.sort_values(["id", "good"], kind="stable")
