@@ -122,6 +122,15 @@ def test_one_title_per_id(spark):
     assert pairs(features.build_titles(pages)) == [(1, "b"), (2, "c")]
 
 
+def test_a_corpus_read_from_files_decides_between_titles(spark, toy, folder):
+    toy.coalesce(1).write.parquet(f"{folder}/a")
+    toy.where("id = 1").withColumn("title", F.lit("newer")).write.parquet(f"{folder}/b")
+    corpus = read_corpus(spark, f"{folder}/a", f"{folder}/b")
+    assert corpus.count() == 5 and corpus.columns == [*toy.columns, "row_order"]
+    titles = dict(pairs(features.build_titles(corpus, "row_order")))
+    assert titles == {1: "newer", 2: "beta page", 3: "gamma alpha", 4: "delta page"}
+
+
 def test_reading_a_missing_corpus_fails(spark, folder):
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         read_corpus(spark, f"{folder}/nothing")
