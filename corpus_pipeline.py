@@ -45,7 +45,7 @@ def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every document's tokens, with digests of them and of what they decode to."""
-    coded = byte_bpe.decode(byte_bpe.encode(docs))
+    coded = byte_bpe.encode(docs, decoded=True)
     return coded.select(
         "doc_id",
         "n_tokens",

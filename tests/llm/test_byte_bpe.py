@@ -41,7 +41,9 @@ def test_ids_agree_with_the_library(reference):
 def test_round_trip_of_documents(spark, reference):
     rows = ODD + [(100 + i, t) for i, t in enumerate(TEXTS)]
     table = documents(spark, rows, clashes=True)
-    for r in decode(encode(table)).collect():
+    twice, at_once = decode(encode(table)), encode(table, decoded=True)
+    assert sorted(map(repr, twice.collect())) == sorted(map(repr, at_once.collect()))
+    for r in twice.collect():
         ids = reference.encode_ordinary(r.text or "")
         assert r["ids"] == ids and r.n_tokens == len(ids)
         assert bytes(r.decoded) == (r.text or "").encode()

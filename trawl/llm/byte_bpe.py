@@ -5,7 +5,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import cache
 from itertools import islice
 
 import duckdb
@@ -259,48 +258,61 @@ class PairDecoder:
         return [texts.get(i, "").encode("latin-1") for i in range(len(sizes))]
 
 
-@cache
-def _encoder(path: str) -> PairEncoder:
-    """The encoder of this Python worker."""
-    return PairEncoder(path)
+_CODED = "ids: array<int>, n_tokens: bigint, ids_sha256: string"
 
 
-@cache
-def _decoder(path: str) -> PairDecoder:
-    """The decoder of this Python worker."""
-    return PairDecoder(path)
+def _encoded(encoder: PairEncoder, texts: pa.Array) -> list[pa.Array]:
+    """Ids, their number and their digest."""
+    coded = list(encoder.encode_many(t.as_py() for t in texts))
+    sizes = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
+    offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
+    sums = pa.array([hashlib.sha256(c).hexdigest() for c in coded], pa.string())
+    return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)), pa.array(sizes), sums]
+
+
+def _decoded(decoder: PairDecoder, ids: pa.Array) -> pa.Array:
+    return pa.array(decoder.decode_many(ids), pa.binary())
+
+
+def _made(coders: dict, kind: type, path: str):
+    """The coder of this task, made for its first batch and gone with the task."""
+    if kind not in coders:
+        coders[kind] = kind(path)
+    return coders[kind]
 
 
 def encode(
-    docs: DataFrame, text_col: str = "text", vocabulary: str = VOCABULARY
+    docs: DataFrame,
+    text_col: str = "text",
+    vocabulary: str = VOCABULARY,
+    decoded: bool = False,
 ) -> DataFrame:
     """``docs`` with ``ids array<int>``, ``n_tokens`` and ``ids_sha256`` (replacing such columns).
 
     Each match of the public pattern is a word; its bytes are merged by rank as the vocabulary file
     says, without special tokens. A partition keeps the ids of words it has met, up to a bound;
     the others of a block of texts go through one recursive query. ``ids_sha256`` is over the ids
-    as little-endian unsigned 32-bit integers.
+    as little-endian unsigned 32-bit integers. With ``decoded`` the ids are decoded again at once,
+    as ``decode`` does, by the same Python worker.
 
     Defined cases: null and empty texts have no ids; any other text has ids that decode to it, a
     word of any length included; rows are independent, so repeated rows get equal results. The
     vocabulary file has to be at ``vocabulary`` on every executor.
     """
     require(docs, [text_col])
+    coders: dict = {}
+    names = ["ids", "n_tokens", "ids_sha256", *["decoded"] * decoded]
 
-    @F.arrow_udf("struct<ids: array<int>, n_tokens: bigint, ids_sha256: string>")
+    @F.arrow_udf(f"struct<{_CODED}{', decoded: binary' if decoded else ''}>")
     def run(texts: pa.Array) -> pa.Array:
-        coded = list(_encoder(vocabulary).encode_many(t.as_py() for t in texts))
-        sizes = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
-        offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
-        flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-        sums = pa.array([hashlib.sha256(c).hexdigest() for c in coded], pa.string())
-        return pa.StructArray.from_arrays(
-            [ids, pa.array(sizes), sums], names=["ids", "n_tokens", "ids_sha256"]
-        )
+        columns = _encoded(_made(coders, PairEncoder, vocabulary), texts)
+        if decoded:
+            columns.append(_decoded(_made(coders, PairDecoder, vocabulary), columns[0]))
+        pa.default_memory_pool().release_unused()
+        return pa.StructArray.from_arrays(columns, names=names)
 
     coded = docs.withColumn("_coded", run.asNondeterministic()(F.col(f"`{text_col}`")))
-    names = ("ids", "n_tokens", "ids_sha256")
     return with_columns(coded, {n: F.col(f"_coded.{n}") for n in names}).drop("_coded")
 
 
@@ -310,16 +322,17 @@ def decode(rows: DataFrame, ids_col: str = "ids", vocabulary: str = VOCABULARY)
     Null or empty ids give no bytes, and so does an id that the vocabulary lacks.
     """
     require(rows, [ids_col])
+    coders: dict = {}
 
     @F.arrow_udf("binary")
     def run(ids: pa.Array) -> pa.Array:
-        return pa.array(_decoder(vocabulary).decode_many(ids), pa.binary())
+        return _decoded(_made(coders, PairDecoder, vocabulary), ids)
 
     return with_columns(rows, {"decoded": run(F.col(f"`{ids_col}`"))})
 
 
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decode(encode(docs)).select(
+    return encode(docs, decoded=True).select(
         "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256")
     )
