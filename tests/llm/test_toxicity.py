@@ -7,7 +7,13 @@ import pytest
 
 from tests.llm.cases import ODD, documents
 from trawl.llm.common import fold
-from trawl.llm.toxicity import LexiconAutomaton, allowed_edits, fit_toxicity, score_toxicity
+from trawl.llm.toxicity import (
+    LexiconAutomaton,
+    ToxicityModel,
+    allowed_edits,
+    fit_toxicity,
+    score_toxicity,
+)
 
 BAD = ["scoundrel", "nitwitted", "dunderhead"]
 
@@ -82,3 +88,24 @@ def test_fold(spark):
     rows = spark.createDataFrame([(i,) for i in [0, 7, 123456, None]], "i bigint")
     got = [r[0] for r in rows.select(fold(rows["i"])).collect()]
     assert got == [zlib.crc32(s) % 5 for s in (b"0", b"7", b"123456", b"")]
+
+
+@pytest.mark.parametrize(
+    "text,quoted",
+    [
+        ("you’re a scoundrel and don’t care", False),
+        ("the dogs’ owner is a scoundrel and isn’t nice", False),
+        ("“hello” you scoundrel “and bye”", False),
+        ('"hello" you scoundrel "and bye"', False),
+        ("«un» scoundrel «deux»", False),
+        ("they said “you scoundrel” twice", True),
+        ("sie sagten „du scoundrel“ und »du« und gingen", True),
+        ("he wrote ‘you’re a scoundrel’ there", True),
+        ('a 5" screen, "you scoundrel" it said', True),
+        ("“" + "long words " * 20 + "scoundrel " + "long words " * 20 + "”", True),
+        ("“an open quotation, you scoundrel", False),
+        ("“one ‘two’ scoundrel” three", True),
+    ],
+)
+def test_hits_are_quoted_inside_pairs_of_marks_only(text, quoted):
+    assert [in_quotes for _, _, in_quotes, _ in ToxicityModel(["scoundrel"]).hits(text)] == [quoted]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterable, Mapping
 
 import numpy as np
@@ -24,14 +25,28 @@ LEAST_SHARE = 0.8
 # Context words count from so many hits on.
 LEAST_CONTEXT_HITS = 5
 CONTEXT_WORDS = 5
-QUOTE_CHARS = 60
 
 # Bounds on what a worker remembers; results don't depend on them.
 KNOWN_WORDS = 150_000
 KNOWN_STEPS = 200_000
 DOCS_PER_BATCH = 200
 
-_QUOTES = "\"“”„«»‹›‘’"
+# The marks that close what a mark opens, in the ways of several languages.
+_CLOSERS = {
+    '"': '"',
+    "“": "”",
+    "”": "”",
+    "„": "“”",
+    "«": "»",
+    "»": "«»",
+    "‹": "›",
+    "›": "‹›",
+    "‘": "’",
+    "‚": "‘’",
+}
+_OPENERS = {c: [o for o, closers in _CLOSERS.items() if c in closers] for c in "\"“”«»‹›‘’"}
+_MARKS = "\"“”„«»‹›‘’‚"
+_MARK = re.compile(f"[{_MARKS}]")
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _TO_WORDS = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 N_FEATURES = 7
@@ -43,6 +58,39 @@ def _words(text: str | None) -> list[bytes]:
     return (text or "").lower().encode("utf-8", "replace").translate(_TO_WORDS).split()
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Places of the marks of all outermost quotations, in order.
+
+    A closing mark ends the last quotation open that it fits; marks left open inside go. An
+    apostrophe between letters is no mark. A straight mark opens only before a word and not right
+    after one, and closes only after something else than white space.
+    """
+    stack: list[tuple[str, int]] = []
+    opened = dict.fromkeys(_CLOSERS, 0)
+    found: list[tuple[int, int]] = []
+    for match in _MARK.finditer(text):
+        mark, at = match.group(), match.start()
+        before, after = text[at - 1 : at] if at else "", text[at + 1 : at + 2]
+        if mark == "’" and before.isalnum() and after.isalnum():
+            continue
+        fits = [o for o in _OPENERS.get(mark, ()) if opened[o]]
+        if fits and not (mark == '"' and (not before or before.isspace())):
+            while True:
+                opener, start = stack.pop()
+                opened[opener] -= 1
+                if opener in fits:
+                    break
+            while found and found[-1][0] > start:
+                found.pop()
+            found.append((start, at))
+        elif mark in _CLOSERS and not (
+            mark == '"' and (before.isalnum() or not after or after.isspace())
+        ):
+            stack.append((mark, at))
+            opened[mark] += 1
+    return found
+
+
 def allowed_edits(term: str) -> int:
     """Edits by which a word may differ from a term: short terms must match as they are."""
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
@@ -157,13 +205,15 @@ class ToxicityModel:
             return []
         lowered = text.lower()
         words = [(m.group(), m.start(), m.end()) for m in _WORD.finditer(lowered)]
+        quotes = quotations(lowered)
+        opens = [start for start, _ in quotes]
         hits = []
-        for i, (word, start, end) in enumerate(words):
+        for i, (word, start, _) in enumerate(words):
             if word in found:
                 near = words[max(0, i - CONTEXT_WORDS) : i] + words[i + 1 : i + 1 + CONTEXT_WORDS]
-                before = lowered[max(0, start - QUOTE_CHARS) : start]
-                after = lowered[end : end + QUOTE_CHARS]
-                quoted = any(q in before for q in _QUOTES) and any(q in after for q in _QUOTES)
+                inside = start + len(word) - len(word.lstrip(_MARKS))
+                last = bisect_left(opens, inside) - 1
+                quoted = last >= 0 and quotes[last][1] >= start + len(word.rstrip(_MARKS))
                 around = [w for w, _, _ in near if w not in found]
                 hits.append((word, known[word.encode("utf-8", "replace")], quoted, around))
         return hits
