@@ -50,6 +50,24 @@ def stored(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``shared_folder`` named, once nothing reads it any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def whole_vectors(vector: Column, scale: int, limit: int) -> Column:
+    """``vector`` as whole numbers floor(scale * x); null if a component is null or not finite.
+
+    So it is, too, if a component is ``limit`` or more in size once scaled.
+    """
+    fits = F.forall(
+        vector, lambda x: x.isNotNull() & (F.abs(x.cast("double") * scale) < F.lit(float(limit)))
+    )
+    scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
+    return F.when(fits, scaled)
+
+
 def require(docs: DataFrame, columns: Iterable[str]) -> None:
     missing = [c for c in columns if c not in docs.columns]
     if missing:

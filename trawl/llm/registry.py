@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from trawl.llm import (
     byte_bpe,
+    centroid_clusters,
     cotraining,
     decontamination,
     lattice_lm,
+    license_notices,
     line_dedup,
     ngram_join,
     pii,
@@ -36,6 +38,11 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_lattice_lm": (lattice_lm.op8_lattice_lm, None),
     "op9_ngram_jaccard_join": (ngram_join.op9_ngram_jaccard_join, ngram_join.ORACLE_SQL),
     "op10_byte_bpe": (byte_bpe.op10_byte_bpe, None),
+    "op12_license_notices": (license_notices.op12_license_notices, None),
+    "op13_centroid_clusters": (
+        centroid_clusters.op13_centroid_clusters,
+        centroid_clusters.ORACLE_SQL,
+    ),
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
 }
 
