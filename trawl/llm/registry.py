@@ -12,6 +12,7 @@ from trawl.llm import (
     centroid_clusters,
     cotraining,
     decontamination,
+    hard_negatives,
     lattice_lm,
     license_notices,
     line_dedup,
@@ -38,6 +39,7 @@ _QUERIES: dict[str, tuple[Query, str | None]] = {
     "op8_lattice_lm": (lattice_lm.op8_lattice_lm, None),
     "op9_ngram_jaccard_join": (ngram_join.op9_ngram_jaccard_join, ngram_join.ORACLE_SQL),
     "op10_byte_bpe": (byte_bpe.op10_byte_bpe, None),
+    "op11_hard_negatives": (hard_negatives.op11_hard_negatives, hard_negatives.ORACLE_SQL),
     "op12_license_notices": (license_notices.op12_license_notices, None),
     "op13_centroid_clusters": (
         centroid_clusters.op13_centroid_clusters,
