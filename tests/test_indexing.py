@@ -133,7 +133,7 @@ def test_index_round_trip(spark, documents, expected, folder):
     index = indexing.build_index(documents, "text", "doc_id", rows_per_range=60)
     index_store.write_index(index, folder + "/body", buckets=5)
     stored = index_store.read_index(spark, folder + "/body")
-    assert (stored.buckets, stored.ranges) == (5, index.ranges)
+    assert (stored.segments[0].buckets, stored.ranges) == (5, index.ranges)
     assert postings(stored) == expected[0]
     stats = sorted(tuple(r) for r in index_store.read_term_stats(spark, folder + "/body").collect())
     assert stats == sorted({(r[0], r[4], r[5]) for r in expected[0]})

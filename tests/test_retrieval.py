@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SAMPLE
 from tests.test_text import python_tokens
@@ -232,3 +233,85 @@ def test_the_best_are_trimmed_before_the_shuffle(spark, sample, index):
     plan = top._jdf.queryExecution().executedPlan().toString()
     assert "row_number(), 100, Partial" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.fixture(scope="module")
+def narrow(spark, sample, tmp_path_factory):
+    """Stored in blocks of four ids, as one segment and as three."""
+    views = sample[0]
+    docs = views.documents()
+    body = lambda rows: indexing.build_index(rows, "text", rows_per_range=40)
+    path = str(tmp_path_factory.mktemp("narrow"))
+    index = indexing.SearchIndex(
+        title=indexing.build_index(docs, "title"),
+        body=body(docs),
+        anchor=indexing.build_anchor_index(views.links()),
+    )
+    index_store.write_search_index(index, f"{path}/whole", ids_per_block=4)
+    thirds = [docs.where(F.col("id") % 3 == i) for i in range(3)]
+    index_store.write_index(body(thirds[0]), f"{path}/parts", ids_per_block=4)
+    for third in thirds[1:]:
+        index_store.append_documents(third, f"{path}/parts", "text")
+    whole = index_store.read_search_index(spark, f"{path}/whole")
+    parts = indexing.SearchIndex(whole.title, index_store.read_index(spark, f"{path}/parts"), whole.anchor)
+    return {"whole": whole, "parts": parts}
+
+
+def test_a_pruned_fused_search_equals_a_whole_one(spark, sample, narrow):
+    views, brute, queries, ranks = sample
+    table = spark.createDataFrame(list(ranks.items()), "id long, pagerank double")
+    for kind, limit in (("whole", 5), ("parts", 100)):
+        fused = retrieval.search(
+            views.queries(), narrow[kind], table, views.titles(), limit=limit, prune=True
+        )
+        wanted = {i: brute.fused(q, ranks, None, limit) for i, q in queries}
+        assert ranked(fused) == {i: w for i, w in wanted.items() if w}
+
+
+def test_a_pruned_body_search_equals_a_whole_one(spark, sample, narrow):
+    views, brute, queries, _ = sample
+    for kind, limit in (("whole", 1), ("parts", 3)):
+        tfidf = retrieval.search_body(
+            views.queries(), narrow[kind].body, views.titles(), limit=limit, prune=True
+        )
+        wanted = {i: brute.tfidf(q, None, limit) for i, q in queries}
+        assert ranked(tfidf) == {i: w for i, w in wanted.items() if w}
+
+
+def test_pruning_reads_less_and_says_so(spark, sample, narrow):
+    views, _, queries, ranks = sample
+    table = spark.createDataFrame(list(ranks.items()), "id long, pagerank double")
+    few = retrieval.search_reads(views.queries(), narrow["whole"], table, limit=2).collect()
+    for row in few:  # every posting of a query's terms is counted
+        terms = set(python_tokens(dict(queries)[row["query_id"]]))
+        held = [len(own.get(t, [])) for own in sample[1].holders.values() for t in terms]
+        assert row["postings"] == sum(held) and row["blocks_read"] <= row["blocks"]
+    assert all(0 < r["postings_read"] <= r["postings"] for r in few)
+    assert sum(r["postings_read"] for r in few) < 0.6 * sum(r["postings"] for r in few)
+
+
+def test_pruning_needs_all_postings(sample, narrow):
+    views = sample[0]
+    with pytest.raises(ValueError):
+        retrieval.search_body(
+            views.queries(), narrow["whole"].body, views.titles(), max_postings=3, prune=True
+        )
+
+
+def test_an_index_not_stored_is_searched_in_full(spark, toy_index, toy_titles):
+    asked = ask(spark, "", "alpha gamma")
+    pruned = retrieval.search_body(asked, toy_index.body, toy_titles, prune=True)
+    assert ranked(pruned) == {1: [(3, 26.006677), (1, 13.003338), (2, 6.501669)]}
+
+
+def test_scores_that_fall_with_the_frequency(spark, toy, toy_titles, folder):
+    """A corpus taken for smaller than it is makes weights negative."""
+    index_store.write_index(indexing.build_index(toy, "text"), f"{folder}/body", ids_per_block=1)
+    stored = index_store.read_index(spark, f"{folder}/body")
+    for limit in (1, 2):
+        args = {"n_docs": 1, "limit": limit}
+        found = [
+            ranked(retrieval.search_body(ask(spark, "alpha gamma"), i, toy_titles, **args, prune=p))
+            for i, p in ((stored, True), (stored, False))
+        ]
+        assert found[0] == found[1] and len(found[0][0]) == limit

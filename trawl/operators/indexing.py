@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from typing import NamedTuple, Optional
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trawl.functions.text import STOPWORDS, token_counts, tokenize
+from trawl.operators import segments as parts
 from trawl.operators.numbering import IdRanges, measure_id_ranges, number_rows
+from trawl.operators.segments import Segment, TermFilter
 
-# Fixed value: terms are spread over 124 buckets.
+# Fixed value: terms are spread over 124 buckets, unless an index is too small to fill them.
 TERM_BUCKETS = 124
 
 # Postings offered in one row when lists are read as a whole.
@@ -20,10 +22,11 @@ POSTINGS_PER_BLOCK = 300_000
 
 
 class Derivation(NamedTuple):
-    """What postings are computed from."""
+    """What postings are computed from: frequencies, and the ``doc_id, text`` these come from."""
 
     frequencies: DataFrame
     ranges: IdRanges
+    texts: Optional[DataFrame] = None
 
 
 @dataclass(frozen=True)
@@ -35,15 +38,16 @@ class FieldIndex:
     Parquet, and ranking then needs no second join to reach them. ``doc_range`` numbers the ranges
     of document ids used to cut large groups. ``min_df`` only hides terms of so few documents from
     readers; adding documents and merging start from all postings. An index not yet stored knows
-    how it is ``derived``; a stored one the number of its ``buckets`` and its table of terms.
+    how it is ``derived``; a stored one is made up of ``segments``, whose blocks of documents are
+    ``ids_per_block`` ids wide.
     """
 
     all_postings: DataFrame
     ranges: int = 1
     derived: Optional[Derivation] = None
-    buckets: Optional[int] = None
     min_df: int = 0
-    all_terms: Optional[DataFrame] = None
+    segments: tuple[Segment, ...] = ()
+    ids_per_block: Optional[int] = None
 
     def frequent(self, rows: DataFrame) -> DataFrame:
         """The rows whose term is found in more than ``min_df`` documents."""
@@ -56,20 +60,32 @@ class FieldIndex:
     @property
     def term_stats(self) -> DataFrame:
         """``term, df, term_total``: one row per term."""
-        if self.all_terms is not None:
-            return self.frequent(self.all_terms)
+        if self.segments:
+            return self.statistics()
         if self.derived is not None:
             return self.frequent(term_statistics(_summed(self.derived.frequencies)))
         first = self.postings.where(F.col("posting_no") == 1)
         return first.select("term", "df", "term_total")
 
+    def statistics(self, wanted: Optional[TermFilter] = None) -> DataFrame:
+        """``term, df, term_total`` of the wanted terms of a stored index."""
+        return self.frequent(parts.statistics(self.segments, wanted))
+
+    def counts(self, wanted: Optional[TermFilter] = None) -> DataFrame:
+        """``term, doc_id, tf, doc_range, doc_block`` of the wanted terms of a stored index."""
+        return parts.counts(self.segments, wanted)
+
+    def first_postings(self, wanted: Optional[TermFilter], first: int) -> DataFrame:
+        """The first so many postings of each wanted term of a stored index, numbered."""
+        numbered = _number(parts.counts(self.segments, wanted, first), self.ranges)
+        return numbered.where(F.col("posting_no") <= first)
+
     def only(self, terms: DataFrame) -> DataFrame:
         """Postings of the terms in ``terms`` (one column ``term``), worked out for them alone."""
         if self.derived is None:
             return self.postings.join(terms, "term", "left_semi")
-        frequencies, ranges = self.derived
-        wanted = frequencies.join(terms, "term", "left_semi")
-        return number_postings(wanted, ranges, self.min_df).postings
+        wanted = self.derived.frequencies.join(terms, "term", "left_semi")
+        return number_postings(wanted, self.derived.ranges, self.min_df).postings
 
 
 @dataclass(frozen=True)
@@ -130,7 +146,44 @@ def _summed(frequencies: DataFrame) -> DataFrame:
     return frequencies.groupBy("term", "doc_id").agg(F.sum("tf").alias("tf"))
 
 
-def number_postings(frequencies: DataFrame, ranges: IdRanges, min_df: int = 0) -> FieldIndex:
+def _number(
+    postings: DataFrame, ranges: int, totals: Optional[Mapping[str, Column]] = None
+) -> DataFrame:
+    """Adds ``posting_no`` and totals per term to rows with ``term, doc_id, doc_range``."""
+    return number_rows(
+        postings,
+        group=["term"],
+        pieces={"doc_range": True} if ranges > 1 else {},
+        order=[F.asc("doc_id")],
+        number="posting_no",
+        totals=totals,
+    )
+
+
+_TOTALS = {"df": lambda: F.count(F.col("doc_id")), "term_total": lambda: F.sum("tf")}
+_POSTING = ["term", "doc_id", "tf", "posting_no", "df", "term_total", "doc_range"]
+
+
+def join_segments(segments: Sequence[Segment], min_df: int, ids_per_block: int) -> FieldIndex:
+    """The index that stored segments make up together."""
+    ranges = len(parts.common_ranges(segments))
+    totals = {name: total() for name, total in _TOTALS.items()}
+    numbered = _number(parts.counts(segments), ranges, totals)
+    return FieldIndex(
+        numbered.select(*_POSTING),
+        ranges=ranges,
+        min_df=min_df,
+        segments=tuple(segments),
+        ids_per_block=ids_per_block,
+    )
+
+
+def number_postings(
+    frequencies: DataFrame,
+    ranges: IdRanges,
+    min_df: int = 0,
+    texts: Optional[DataFrame] = None,
+) -> FieldIndex:
     """Sum up and number postings with a single shuffle of them.
 
     Rows are placed by term and range of document ids. Both the sum over repeated documents and
@@ -144,18 +197,10 @@ def number_postings(frequencies: DataFrame, ranges: IdRanges, min_df: int = 0) -
         .groupBy("term", "doc_range", "doc_id")
         .agg(F.sum("tf").alias("tf"))
     )
-    numbered = number_rows(
-        summed,
-        group=["term"],
-        pieces={"doc_range": True} if ranged else {},
-        order=[F.asc("doc_id")],
-        number="posting_no",
-        totals={"df": F.count(F.col("doc_id")), "term_total": F.sum("tf")},
-    )
-    columns = ["term", "doc_id", "tf", "posting_no", "df", "term_total", "doc_range"]
-    derived = Derivation(frequencies, ranges)
+    numbered = _number(summed, len(ranges), {name: total() for name, total in _TOTALS.items()})
+    derived = Derivation(frequencies, ranges, texts)
     return FieldIndex(
-        numbered.select(*columns), ranges=len(ranges), derived=derived, min_df=min_df
+        numbered.select(*_POSTING), ranges=len(ranges), derived=derived, min_df=min_df
     )
 
 
@@ -173,7 +218,8 @@ def build_index(
     frequencies = term_frequencies(docs, text, doc_id, stopwords)
     if ranges.crowded:  # a document id repeated so often is summed up ahead of the shuffle
         frequencies = frequencies.groupBy("term", "doc_id").agg(F.sum("tf").alias("tf"))
-    return number_postings(frequencies, ranges, min_df)
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return number_postings(frequencies, ranges, min_df, texts)
 
 
 def build_anchor_index(
@@ -184,7 +230,8 @@ def build_anchor_index(
 ) -> FieldIndex:
     """Index link texts under the page they point to; ``links`` is ``src, dst, text``."""
     ranges = measure_id_ranges(links, "dst", rows_per_range)
-    return number_postings(anchor_frequencies(links, stopwords), ranges, min_df)
+    texts = links.select(F.col("dst").alias("doc_id"), "text")
+    return number_postings(anchor_frequencies(links, stopwords), ranges, min_df, texts)
 
 
 def merge_index(
@@ -210,9 +257,11 @@ def merge_index(
 
 
 def _counts(index: FieldIndex) -> DataFrame:
-    """``term, doc_id, tf`` of an index, from before it was numbered if it isn't stored."""
+    """``term, doc_id, tf`` of an index, from before it was numbered."""
     if index.derived is not None:
         return index.derived.frequencies
+    if index.segments:
+        return index.counts().select("term", "doc_id", "tf")
     return index.all_postings.select("term", "doc_id", "tf")
 
 

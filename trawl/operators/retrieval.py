@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from typing import Optional
@@ -23,14 +23,16 @@ from trawl.functions.scoring import (
 from trawl.functions.text import STOPWORDS, tokenize
 from trawl.operators.indexing import FieldIndex, SearchIndex
 from trawl.operators.numbering import number_rows
+from trawl.operators.pruning import ChosenBlocks, FieldScore, block_tops, choose_blocks, reads
+from trawl.operators.segments import TermFilter, common_ranges, overlapping
 from trawl.session import BROADCAST_ROWS
-from trawl.sources.index_store import Vocabulary, term_bucket
+from trawl.sources.index_store import Folders, Vocabulary
 
 # Up to this many different terms are written into the plan, where the scan can use them.
 TERMS_IN_PLAN = 1_000
 
-# Query terms beyond the broadcast limit are joined by shuffle, each term in this many parts.
-TERM_PARTS = 32
+# Query terms beyond the broadcast limit are joined by shuffle, a term in parts of so many postings.
+POSTINGS_PER_PART = 500_000
 
 # Spark trims each task's rows to the best k ahead of the shuffle for k up to this default limit.
 _TRIMMED_BY_SPARK = 1_000
@@ -59,6 +61,11 @@ class QueryTerms:
     n_queries: int
     vocabulary: Optional[Vocabulary] = None
 
+    @property
+    def wanted(self) -> TermFilter:
+        """What selects the terms, or the folders they are in, in stored tables."""
+        return self.vocabulary or Folders(self.table)
+
 
 def query_terms(queries: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> QueryTerms:
     """Tokenise ``query_id, query``. Empty and all-stop-word queries give no rows."""
@@ -84,33 +91,77 @@ def query_terms(queries: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> Que
 
 
 def matching_postings(
-    terms: QueryTerms, index: FieldIndex, max_postings: Optional[int] = None
+    terms: QueryTerms,
+    index: FieldIndex,
+    max_postings: Optional[int] = None,
+    chosen: Optional[ChosenBlocks] = None,
 ) -> DataFrame:
     """Each query term with its postings: ``query_id, uses, qpos`` and the columns of a posting.
 
     On request, only the first ``max_postings`` of a term are read; ``df`` still counts all of them.
+    A stored index numbers postings in that case only, as nothing else needs their positions.
+    ``chosen`` restricts a small batch to some blocks of documents of a stored index.
     """
+    if index.segments:
+        found = _stored_matches(terms, index, max_postings, chosen)
+    else:
+        found = _derived_matches(terms, index, max_postings)
+    # No document id is null; said here, later joins on it need no check that sets plans apart.
+    return found.where(F.col("doc_id").isNotNull())
+
+
+def _stored_matches(
+    terms: QueryTerms,
+    index: FieldIndex,
+    max_postings: Optional[int],
+    chosen: Optional[ChosenBlocks],
+) -> DataFrame:
+    wanted = terms.wanted
+    if max_postings is None:
+        postings = index.counts(wanted)
+    else:
+        postings = index.first_postings(wanted, max_postings)
+    if chosen is not None:
+        postings = postings.where(chosen.condition)
+    known = index.statistics(wanted).select("term", "df")
+    if terms.small:
+        asked = F.broadcast(known.join(F.broadcast(terms.table), "term"))
+        found = postings.join(asked, "term")
+        return found if chosen is None else chosen.of(found)
+    asked = terms.table.join(known, "term")
+    if max_postings is not None or overlapping(index.segments):
+        return postings.join(asked, "term")
+    # A term meets each of its pieces apart, so a frequent one is dealt out by ranges of documents
+    # and a rare one is not copied.
+    found = []
+    for segment in index.segments:
+        pieces = segment.rows(segment.pieces, wanted).select("term", "doc_range")
+        rows = segment.rows(segment.postings, wanted).drop("term_bucket", "place")
+        found.append(rows.join(asked.join(pieces, "term"), ["term", "doc_range"]))
+    both = reduce(DataFrame.unionByName, found)
+    if len(found) == 1:
+        return both
+    return both.withColumn("doc_range", common_ranges(index.segments).of(F.col("doc_id")))
+
+
+def _derived_matches(
+    terms: QueryTerms, index: FieldIndex, max_postings: Optional[int]
+) -> DataFrame:
     postings = index.postings
     if index.derived is not None and terms.small:
         postings = index.only(F.broadcast(terms.table.select("term").distinct()))
-    elif index.buckets is not None and terms.vocabulary is not None:
-        postings = terms.vocabulary.rows_in(postings, index.buckets)
-    elif index.buckets is not None:
-        # Too many terms to name them all, but the folders they are in are few numbers.
-        bucket = term_bucket(F.col("term"), index.buckets).alias("bucket")
-        folders = [row["bucket"] for row in terms.table.select(bucket).distinct().collect()]
-        postings = postings.where(F.col("term_bucket").isin(folders))
     if max_postings is not None:
         postings = postings.where(F.col("posting_no") <= max_postings)
-    # No document id is null; said here, later joins on it need no check that sets plans apart.
-    postings = postings.where(F.col("doc_id").isNotNull())
     postings = postings.select("term", "doc_id", "tf", "posting_no", "df", "doc_range")
     if terms.small:
         return postings.join(F.broadcast(terms.table), "term")
-    # Frequent terms, in queries or in documents, are joined in parts.
-    part = F.pmod(F.col("posting_no"), F.lit(TERM_PARTS)).cast("int").alias("part")
-    parts = F.explode(F.sequence(F.lit(0), F.lit(TERM_PARTS - 1))).alias("part")
-    return postings.select("*", part).join(terms.table.select("*", parts), ["term", "part"])
+    # Frequent terms, in queries or in documents, are joined in parts; rare ones are not copied.
+    n_parts = F.ceil(F.col("df") / POSTINGS_PER_PART).cast("int")
+    part = F.pmod(F.col("posting_no"), n_parts.cast("bigint")).cast("int").alias("part")
+    asked = terms.table.join(index.term_stats.select("term", "df"), "term")
+    parts = F.explode(F.sequence(F.lit(0), n_parts - 1)).alias("part")
+    asked = asked.select(*terms.table.columns, parts)
+    return postings.select("*", part).join(asked, ["term", "part"])
 
 
 def _points(matches: DataFrame, stage: int, points: Column) -> DataFrame:
@@ -194,16 +245,58 @@ def corpus_size(pagerank: DataFrame) -> Column:
     return pagerank.agg(size.alias("n")).scalar()
 
 
-def _few_matches(terms: QueryTerms, index: SearchIndex) -> bool:
+def _few_matches(terms: QueryTerms, fields: Sequence[FieldScore]) -> bool:
     """Whether the stored statistics say that the documents found are sure to fit a broadcast."""
-    fields = (index.title, index.body, index.anchor)
-    if terms.vocabulary is None or any(f.all_terms is None for f in fields):
+    if terms.vocabulary is None or not all(f.index.segments for f in fields):
         return False
-    lists = [terms.vocabulary.rows_in(f.term_stats, f.buckets).select("df") for f in fields]
+    lists = [f.index.statistics(terms.vocabulary).select("df") for f in fields]
     total = reduce(DataFrame.unionByName, lists).agg(F.sum("df")).first()[0] or 0
     return total <= BROADCAST_ROWS
 
 
+def _sum_fields(
+    terms: QueryTerms,
+    fields: Sequence[FieldScore],
+    max_postings: Optional[int],
+    chosen: Optional[ChosenBlocks],
+) -> DataFrame:
+    points = [
+        _points(
+            matching_postings(terms, field.index, max_postings, chosen),
+            field.stage,
+            field.points(F.col("uses"), F.col("tf"), F.col("df")),
+        )
+        for field in fields
+    ]
+    return accumulate(reduce(DataFrame.unionByName, points), terms)
+
+
+def _may_prune(terms: QueryTerms, fields: Sequence[FieldScore], max_postings: Optional[int]) -> bool:
+    """Whether blocks can be left out: a small batch over stored fields with blocks alike."""
+    if max_postings is not None:
+        raise ValueError("a search reads either the first postings or the blocks that count")
+    widths = {field.index.ids_per_block for field in fields}
+    return terms.small and len(widths) == 1 and None not in widths
+
+
+def _fused_fields(
+    index: SearchIndex, weights: SearchWeights, n_docs: Column, k1: float
+) -> list[FieldScore]:
+    def bm25(uses: Column, tf: Column, df: Column) -> Column:
+        return uses * (bm25_idf(df, n_docs) * bm25_saturation(tf, k1)) * weights.body
+
+    return [
+        FieldScore(index.title, 0, lambda uses, tf, df: uses * weights.title),
+        FieldScore(index.anchor, 1, lambda uses, tf, df: uses * tf * weights.anchor),
+        FieldScore(index.body, 2, bm25),
+    ]
+
+
+def _most_boost(pagerank: DataFrame, weights: SearchWeights) -> Column:
+    """The most that the rank of any document can add to its score."""
+    return pagerank.agg((rank_boost(F.max("pagerank")) * weights.pagerank).alias("boost")).scalar()
+
+
 def search(
     queries: DataFrame,
     index: SearchIndex,
@@ -215,31 +308,67 @@ def search(
     n_docs: Optional[int] = None,
     k1: float = BM25_K1,
     stopwords: Iterable[str] = STOPWORDS,
+    prune: bool = False,
 ) -> DataFrame:
-    """Fused ranking: title matches, anchor frequencies, body BM25 and a PageRank boost."""
+    """Fused ranking: title matches, anchor frequencies, body BM25 and a PageRank boost.
+
+    ``prune`` leaves out blocks of documents that cannot be among a query's best, with the same
+    result. It takes a stored index and a batch of queries that fits a broadcast; others are
+    searched in full.
+    """
     terms = query_terms(queries, stopwords)
     n = F.lit(n_docs) if n_docs is not None else corpus_size(pagerank)
-    uses, tf = F.col("uses"), F.col("tf")
-    bm25 = bm25_idf(F.col("df"), n) * bm25_saturation(tf, k1)
-    fields = [
-        _points(matching_postings(terms, index.title, max_postings), 0, uses * weights.title),
-        _points(
-            matching_postings(terms, index.anchor, max_postings), 1, uses * tf * weights.anchor
-        ),
-        _points(matching_postings(terms, index.body, max_postings), 2, uses * bm25 * weights.body),
-    ]
-    scores = accumulate(reduce(DataFrame.unionByName, fields), terms)
+    fields = _fused_fields(index, weights, n, k1)
     ranks = pagerank.select(F.col("id").alias("doc_id"), "pagerank")
-    if _few_matches(terms, index):
-        # The documents found pick their ranks out, so the rank table is not shuffled. Asking for
-        # the score makes this branch need what the other one does: one shuffle for both.
-        found = scores.where(F.col("score").isNotNull()).select("doc_id").distinct()
-        ranks = ranks.join(F.broadcast(found), "doc_id", "left_semi")
-    boosted = scores.join(ranks, "doc_id", "left").withColumn(
-        "score", F.col("score") + rank_boost(F.col("pagerank")) * weights.pagerank
-    )
-    top = rank_top(boosted.drop("pagerank"), limit)
-    return attach_titles(top, titles, terms.n_queries * limit)
+    boost = rank_boost(F.col("pagerank")) * weights.pagerank
+
+    def scored(chosen: Optional[ChosenBlocks], few: bool) -> DataFrame:
+        scores = _sum_fields(terms, fields, max_postings, chosen)
+        own = ranks
+        if few:
+            # The documents found pick their ranks out, so the rank table is not shuffled. Asking
+            # for the score makes this branch need what the other one does: one shuffle for both.
+            found = scores.where(F.col("score").isNotNull()).select("doc_id").distinct()
+            own = ranks.join(F.broadcast(found), "doc_id", "left_semi")
+        boosted = scores.join(own, "doc_id", "left")
+        return boosted.withColumn("score", F.col("score") + boost).drop("pagerank")
+
+    if prune and _may_prune(terms, fields, max_postings):
+        tops = block_tops(terms.table, terms.wanted, fields, _most_boost(pagerank, weights))
+        chosen = choose_blocks(
+            tops, lambda seeds: scored(seeds, seeds.n_postings <= BROADCAST_ROWS), limit
+        )
+        scores = scored(chosen, chosen.n_postings <= BROADCAST_ROWS)
+    else:
+        scores = scored(None, _few_matches(terms, fields))
+    return attach_titles(rank_top(scores, limit), titles, terms.n_queries * limit)
+
+
+def search_reads(
+    queries: DataFrame,
+    index: SearchIndex,
+    pagerank: DataFrame,
+    weights: SearchWeights = SearchWeights(),
+    limit: int = TOP_K,
+    n_docs: Optional[int] = None,
+    k1: float = BM25_K1,
+    stopwords: Iterable[str] = STOPWORDS,
+) -> DataFrame:
+    """``query_id, blocks, blocks_read, postings, postings_read`` of a pruned fused search."""
+    terms = query_terms(queries, stopwords)
+    n = F.lit(n_docs) if n_docs is not None else corpus_size(pagerank)
+    fields = _fused_fields(index, weights, n, k1)
+    if not _may_prune(terms, fields, None):
+        raise ValueError("pruning takes a stored index and a batch that fits a broadcast")
+    ranks = pagerank.select(F.col("id").alias("doc_id"), "pagerank")
+    boost = rank_boost(F.col("pagerank")) * weights.pagerank
+
+    def scored(chosen: ChosenBlocks) -> DataFrame:
+        boosted = _sum_fields(terms, fields, None, chosen).join(ranks, "doc_id", "left")
+        return boosted.withColumn("score", F.col("score") + boost)
+
+    tops = block_tops(terms.table, terms.wanted, fields, _most_boost(pagerank, weights))
+    return reads(tops, choose_blocks(tops, scored, limit))
 
 
 def search_body(
@@ -250,12 +379,17 @@ def search_body(
     max_postings: Optional[int] = None,
     n_docs: int = FALLBACK_CORPUS_SIZE,
     stopwords: Iterable[str] = STOPWORDS,
+    prune: bool = False,
 ) -> DataFrame:
-    """TF-IDF ranking over the body."""
+    """TF-IDF ranking over the body; ``prune`` as for ``search``."""
     terms = query_terms(queries, stopwords)
-    weight = F.col("tf") * classic_idf(F.col("df"), F.lit(n_docs))
-    matches = matching_postings(terms, index, max_postings)
-    scores = accumulate(_points(matches, 0, F.col("uses") * weight), terms)
+    weight = lambda uses, tf, df: uses * (tf * classic_idf(df, F.lit(n_docs)))
+    fields = [FieldScore(index, 0, weight)]
+    chosen = None
+    if prune and _may_prune(terms, fields, max_postings):
+        tops = block_tops(terms.table, terms.wanted, fields, F.lit(0.0))
+        chosen = choose_blocks(tops, lambda seeds: _sum_fields(terms, fields, None, seeds), limit)
+    scores = _sum_fields(terms, fields, max_postings, chosen)
     return attach_titles(rank_top(scores, limit), titles, terms.n_queries * limit)
 
 

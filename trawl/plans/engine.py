@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from trawl.functions.text import STOPWORDS
 from trawl.operators import features, indexing, links, retrieval
-from trawl.operators.indexing import TERM_BUCKETS, SearchIndex
+from trawl.operators.indexing import SearchIndex
 from trawl.sources.index_store import read_search_index, write_index
 
 
@@ -50,7 +50,7 @@ def build_engine(
     log_lines: DataFrame,
     path: str,
     body_min_df: int = 0,
-    buckets: int = TERM_BUCKETS,
+    buckets: Optional[int] = None,
     stopwords: Iterable[str] = STOPWORDS,
     page_links: Optional[DataFrame] = None,
 ) -> None:
