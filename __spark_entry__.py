@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,14 @@ from trawl.functions import tokenize
 from trawl.operators import evaluation, features, indexing, links, retrieval
 from trawl.plans import oracle
 from trawl.plans.sample import SampleViews
+from trawl.session import shared_folder
+from trawl.sources import index_store
+from trawl.sources.corpus import preview
 
 try:
     import trawl.llm.registry as corpus_queries
-except ModuleNotFoundError as missing:
-    if not (missing.name or "").startswith(("trawl.llm", "corpus_pipeline")):
-        raise
+except ImportError as missing:  # the subpackage, or a package that it needs, is not there
+    warnings.warn(f"corpus queries are left out: {missing}", stacklevel=1)
     corpus_queries = None
 
 # Thresholds of the queries whose feature they are.
@@ -26,6 +29,8 @@ MAX_POSTINGS = 100
 BLOCK_SIZE = 100
 # Small enough to cut the sample tables into several ranges.
 ROWS_PER_RANGE = 300
+# Narrow enough to cut the sample tables into many blocks.
+IDS_PER_BLOCK = 16
 # Cuts other than the usual ones.
 OTHER_CUTS = {"cuts": (2, 7), "f1_cut": 15}
 
@@ -166,6 +171,97 @@ def index_add_min_df(views: SampleViews) -> DataFrame:
     return _grown(views, MIN_DF)
 
 
+def _store(views: SampleViews) -> indexing.SearchIndex:
+    """The three indexes written to the shared folder and opened again."""
+    path = shared_folder(views.spark)
+    index_store.write_search_index(_index(views), path, ids_per_block=IDS_PER_BLOCK)
+    return index_store.read_search_index(views.spark, path)
+
+
+def _store_body(views: SampleViews, docs: DataFrame, min_df: int = 0) -> str:
+    path = shared_folder(views.spark)
+    index = indexing.build_index(docs, "text", min_df=min_df, rows_per_range=ROWS_PER_RANGE)
+    index_store.write_index(index, path, ids_per_block=IDS_PER_BLOCK)
+    return path
+
+
+def _read_body(views: SampleViews, path: str) -> DataFrame:
+    return index_store.read_index(views.spark, path).postings.select(*_POSTING)
+
+
+def _grown_store(views: SampleViews, min_df: int) -> str:
+    english, others = _by_language(views)
+    path = _store_body(views, english, min_df)
+    index_store.append_documents(others, path, "text")
+    return path
+
+
+def index_stored(views: SampleViews) -> DataFrame:
+    """All postings of an index written to the shared folder and read back."""
+    return _read_body(views, _store_body(views, views.documents()))
+
+
+def index_add_stored(views: SampleViews) -> DataFrame:
+    """Documents added to a stored index as a segment of their own."""
+    return _read_body(views, _grown_store(views, 0))
+
+
+def index_add_stored_min_df(views: SampleViews) -> DataFrame:
+    return _read_body(views, _grown_store(views, MIN_DF))
+
+
+def index_merge_stored(views: SampleViews) -> DataFrame:
+    """Two stored indexes made one without rewriting either."""
+    english, others = _by_language(views)
+    path = shared_folder(views.spark)
+    parts = [_store_body(views, docs) for docs in (english, others)]
+    index_store.merge_stored(views.spark, *parts, path)
+    return _read_body(views, path)
+
+
+def index_compacted(views: SampleViews) -> DataFrame:
+    """The segments of a grown index merged into one."""
+    path = _grown_store(views, 0)
+    index_store.compact_index(views.spark, path, per_tier=2)
+    return _read_body(views, path)
+
+
+def term_stats_stored(views: SampleViews) -> DataFrame:
+    """Statistics summed over the segments of a grown index."""
+    stats = index_store.read_term_stats(views.spark, _grown_store(views, 0))
+    return stats.select("term", "df", "term_total")
+
+
+def posting_lookup_stored(views: SampleViews) -> DataFrame:
+    """The first postings of each term, out of the segments of a grown index."""
+    index = index_store.read_index(views.spark, _grown_store(views, 0))
+    terms = retrieval.query_terms(views.queries())
+    found = retrieval.matching_postings(terms, index, MAX_POSTINGS)
+    return found.select("term", "doc_id", "tf", "posting_no").distinct()
+
+
+def search_stored(views: SampleViews) -> DataFrame:
+    index = _store(views)
+    found = retrieval.search(views.queries(), index, _pagerank(views), views.titles())
+    return _rounded(found, "score")
+
+
+def search_pruned(views: SampleViews) -> DataFrame:
+    """The fused search without the blocks of documents that cannot count."""
+    index = _store(views)
+    found = retrieval.search(
+        views.queries(), index, _pagerank(views), views.titles(), prune=True
+    )
+    return _rounded(found, "score")
+
+
+def search_body_pruned(views: SampleViews) -> DataFrame:
+    """As above, over the segments of a grown index."""
+    index = index_store.read_index(views.spark, _grown_store(views, 0))
+    found = retrieval.search_body(views.queries(), index, views.titles(), prune=True)
+    return _rounded(found, "score")
+
+
 def search(views: SampleViews) -> DataFrame:
     return _rounded(_search(views), "score")
 
@@ -208,6 +304,21 @@ def pageviews_last(views: SampleViews) -> DataFrame:
     return _pageviews(views)
 
 
+def pageviews_two_logs(views: SampleViews) -> DataFrame:
+    """A log taken in after another one, without reading the first again."""
+    lines = views.log_lines()
+    half = F.col("line_no") % 2 == 0
+    first = features.last_views(lines.where(half))
+    both = features.merge_views(first, features.last_views(lines.where(~half)))
+    return features.titled_views(both, views.titles())
+
+
+def preview_documents(views: SampleViews) -> DataFrame:
+    """First and random rows: few of them are the feature."""
+    docs = views.table("documents").select("doc_id", "lang", "source", "n_chars")
+    return preview(docs, key=["doc_id"], order="doc_id")
+
+
 def pageviews_long_numbers(views: SampleViews) -> DataFrame:
     """Views of 19 digits and ids with zeros in front."""
     return features.build_pageviews(views.log_lines(long_numbers=True), views.titles())
@@ -293,6 +404,18 @@ _QUERIES = [
     index_merge_min_df,
     index_add,
     index_add_min_df,
+    index_stored,
+    index_add_stored,
+    index_add_stored_min_df,
+    index_merge_stored,
+    index_compacted,
+    term_stats_stored,
+    posting_lookup_stored,
+    search_stored,
+    search_pruned,
+    search_body_pruned,
+    preview_documents,
+    pageviews_two_logs,
     search,
     search_body,
     search_title,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,6 +16,9 @@ CUT_F1 = 30
 CUT_AVERAGE_PRECISION = 40
 DISPLAY_CHARS = 27
 
+# Queries that are run one by one to be timed.
+TIMED_QUERIES = 1_000
+
 
 def _harmonic(a: Column, b: Column) -> Column:
     return F.when((a > 0) & (b > 0), 2.0 / (1.0 / a + 1.0 / b)).otherwise(0.0)
@@ -159,6 +163,49 @@ def summarize(metrics: DataFrame) -> DataFrame:
     )
 
 
+def run_timed(
+    queries: DataFrame, search: Callable[[DataFrame], DataFrame], at_most: int = TIMED_QUERIES
+) -> tuple[DataFrame, DataFrame]:
+    """Run every query by itself: ``(results, times)``, times being ``query_id, seconds, error``.
+
+    ``search`` is called with one query at a time (``query_id, query``) and its rows are fetched, as
+    a client would wait for them. A query that fails has no results and no seconds; the error says
+    why. The results of one query have to fit the driver, and there may be ``at_most`` queries.
+    """
+    spark = queries.sparkSession
+    asked = queries.select("query_id", "query")
+    rows = asked.orderBy("query_id").limit(at_most + 1).collect()
+    if len(rows) > at_most:
+        raise ValueError(f"more than {at_most} queries to be run one by one")
+    times, found, schema = [], [], None
+    for row in rows:
+        one = spark.createDataFrame([row], asked.schema)
+        start = time.perf_counter()
+        try:
+            result = search(one)
+            own = result.collect()
+        except Exception as failure:  # noqa: BLE001 - whatever it is, the next query is run
+            times.append((row["query_id"], None, f"{type(failure).__name__}: {failure}"[:200]))
+            continue
+        times.append((row["query_id"], time.perf_counter() - start, None))
+        schema = result.schema
+        found += own
+    kind = asked.schema["query_id"].dataType.simpleString()
+    schema = schema or f"query_id {kind}, rank bigint, doc_id bigint, title string, score double"
+    timed = spark.createDataFrame(times, f"query_id {kind}, seconds double, error string")
+    return spark.createDataFrame(found, schema), timed
+
+
+def with_seconds(metrics: DataFrame, times: DataFrame) -> DataFrame:
+    """Measures per query with ``seconds``; those of a query that failed are all 0, it counts on."""
+    joined = metrics.join(times.select("query_id", "seconds", "error"), "query_id", "left")
+    failed = F.col("error").isNotNull()
+    measures = [c for c in metrics.columns if c not in ("query_id", "query")]
+    kept = [F.when(failed, 0.0).otherwise(F.col(c)).alias(c) for c in measures]
+    seconds = F.coalesce("seconds", F.lit(0.0)).alias("seconds")
+    return joined.select("query_id", "query", *kept, seconds)
+
+
 def display_query(query: Column) -> Column:
     """A query as shown in a report: the first 27 characters and two dots if it is longer."""
     cut = F.concat(F.substring(query, 1, DISPLAY_CHARS), F.lit(".."))

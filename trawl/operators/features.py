@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
 from typing import Optional
 
 from pyspark.sql import Column, DataFrame
@@ -12,6 +14,11 @@ from trawl.session import BROADCAST_ROWS
 # Fixed value of the page-view log: the wanted domain, which may be given otherwise.
 LOG_DOMAIN = "en.wikipedia"
 
+# Up to this many different ids are written into the plan, where the scan can use them.
+IDS_IN_PLAN = 50
+# Spark passes at most this many values of one IN list on to Parquet as exact comparisons.
+_IN_LIST = 10
+
 # All characters that separate the fields of a line, Unicode spaces included.
 _SPACES = r"\s\x1c-\x1f\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -60,6 +67,30 @@ def build_pageviews(lines: DataFrame, titles: DataFrame, mode: str = "last") ->
     return per_page.join(titles.select("id"), "id", "left_semi")
 
 
+def last_views(lines: DataFrame, log_no: int = 0) -> DataFrame:
+    """``id, views, log_no, line_no``: the last line of every page in a log, and where it stood.
+
+    Kept as it is, such a table takes in later logs without reading the earlier ones again.
+    """
+    return _last(parse_pageviews(lines).withColumn("log_no", F.lit(log_no).cast("bigint")))
+
+
+def merge_views(known: DataFrame, new: DataFrame) -> DataFrame:
+    """Last lines of two tables of them: the greater ``log_no, line_no`` of a page wins."""
+    return _last(known.unionByName(new))
+
+
+def _last(rows: DataFrame) -> DataFrame:
+    place = F.struct("log_no", "line_no")
+    latest = F.max_by(F.struct("views", "log_no", "line_no"), place).alias("latest")
+    return rows.groupBy("id").agg(latest).select("id", "latest.*")
+
+
+def titled_views(known: DataFrame, titles: DataFrame) -> DataFrame:
+    """``id, views`` of the titled pages in a table of last lines."""
+    return known.select("id", "views").join(titles.select("id"), "id", "left_semi")
+
+
 def look_up(
     requests: DataFrame,
     features: DataFrame,
@@ -121,7 +152,22 @@ def enrich(
 
 
 def _of_ids(features: DataFrame, ids: Optional[DataFrame]) -> DataFrame:
-    """The features of ``ids`` picked out by a broadcast if a count shows that these are few."""
-    if ids is None or ids.count() > BROADCAST_ROWS:
+    """The features of ``ids``, if these are few: by a broadcast, or by naming them in the plan.
+
+    Stored features are sorted by id, so a scan for named ids reads the pages that may hold them.
+    """
+    if ids is None:
+        return features
+    ids = ids.where(F.col("id").isNotNull())
+    some = ids.select("id").distinct().limit(IDS_IN_PLAN + 1).collect()
+    if len(some) <= IDS_IN_PLAN:
+        return features.where(_any_of(sorted(row["id"] for row in some)))
+    if ids.count() > BROADCAST_ROWS:
         return features
     return features.join(F.broadcast(ids.select("id").distinct()), "id", "left_semi")
+
+
+def _any_of(ids: list[int]) -> Column:
+    """``id`` is one of these, in lists short enough for storage to compare them exactly."""
+    lists = [ids[i : i + _IN_LIST] for i in range(0, len(ids), _IN_LIST)]
+    return reduce(or_, [F.col("id").isin(own) for own in lists], F.lit(False))

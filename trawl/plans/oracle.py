@@ -301,7 +301,7 @@ def statements(
     def averages(columns: list[str]) -> str:
         return ", ".join(f"round(avg({c}), 6) AS avg_{c}" for c in columns)
 
-    return {
+    found = {
         "tokenize_documents": f"""
 WITH words AS (
   SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) AS pos
@@ -374,8 +374,28 @@ FROM results LEFT JOIN pagerank p ON p.id = doc_id LEFT JOIN pageviews v ON v.id
         + f"SELECT count(*) AS n_queries, {averages(fixed_columns)} FROM metrics",
         "metrics_summary_list": _with(*fused, _MARKED, _LIST)
         + f"SELECT count(*) AS n_queries, {averages(list_columns)} FROM metrics",
+        "preview_documents": """
+WITH shown AS (SELECT doc_id, lang, source, n_chars FROM documents)
+(SELECT 'first' AS part, * FROM shown ORDER BY doc_id LIMIT 3)
+UNION ALL
+(SELECT 'random' AS part, * FROM shown
+ ORDER BY md5('0:{"doc_id":' || doc_id || '}') LIMIT 5)""",
         "display_query": """
 SELECT conv_id, turn,
        CASE WHEN length(text) > 27 THEN substring(text, 1, 27) || '..' ELSE text END AS shown
 FROM conversations""",
     }
+    same = {
+        "index_stored": "index_merge",
+        "index_add_stored": "index_merge",
+        "index_add_stored_min_df": "index_merge_min_df",
+        "index_merge_stored": "index_merge",
+        "index_compacted": "index_merge",
+        "term_stats_stored": "term_stats_body",
+        "posting_lookup_stored": "posting_lookup",
+        "search_stored": "search",
+        "search_pruned": "search",
+        "search_body_pruned": "search_body",
+        "pageviews_two_logs": "pageviews_last",
+    }
+    return found | {name: found[other] for name, other in same.items()}

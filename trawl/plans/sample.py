@@ -17,11 +17,11 @@ class SampleViews:
     """Views over the Parquet tables in ``folder``."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self._spark = spark
+        self.spark = spark
         self._folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+        return self.spark.read.parquet(f"{self._folder}/{name}.parquet")
 
     def _size_of(self, name: str) -> Column:
         return self.table(name).agg(F.count(F.lit(1)).alias("n")).scalar()

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from typing import Optional
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,11 +68,24 @@ def skipped_files(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
-def preview(table: DataFrame, seed: int = 0, head: int = 3, sample: int = 5) -> DataFrame:
+def preview(
+    table: DataFrame,
+    seed: int = 0,
+    head: int = 3,
+    sample: int = 5,
+    key: Optional[Sequence[str]] = None,
+    order: Optional[str] = None,
+) -> DataFrame:
     """A few first and a few random rows, as ``part`` ("first" or "random") and the columns.
 
-    The dtypes of the table are those of the result; its size is ``table.count()``.
+    First rows are those least by ``order``, or the first ones read. The random ones are those with
+    the least hash of the seed and the ``key`` columns (all, if none are given): the same seed
+    gives the same rows however the table is dealt out. One pass keeps as many rows per task as are
+    shown. The dtypes of the table are those of the result; its size is ``table.count()``.
     """
-    first = table.limit(head).select(F.lit("first").alias("part"), "*")
-    some = table.orderBy(F.rand(seed)).limit(sample).select(F.lit("random").alias("part"), "*")
-    return first.unionByName(some)
+    first = (table.orderBy(order) if order else table).limit(head)
+    hashed = F.md5(F.concat(F.lit(f"{seed}:"), F.to_json(F.struct(*(key or table.columns)))))
+    some = table.orderBy(hashed).limit(sample)
+    labelled = [rows.select(F.lit(name).alias("part"), "*") for name, rows in
+                (("first", first), ("random", some))]
+    return labelled[0].unionByName(labelled[1])
