@@ -7,6 +7,7 @@ from fractions import Fraction
 import pytest
 from pyspark.sql import functions as F
 
+from trawl.operators import evaluation
 from trawl.operators.evaluation import display_query, evaluate, summarize
 
 
@@ -173,3 +174,42 @@ def test_display(spark):
         "x" * 27,
         "y" * 27 + "..",
     ]
+
+
+def test_queries_are_timed_one_by_one(spark):
+    queries = spark.createDataFrame([(1, "a"), (2, "fails"), (3, "b")], "query_id int, query string")
+    qrels = spark.createDataFrame([(1, 5), (2, 5), (3, 6)], "query_id int, doc_id int")
+    asked = []
+
+    def search(one):
+        row = one.first()
+        asked.append(row["query_id"])
+        if row["query"] == "fails":
+            raise RuntimeError("no answer")
+        return one.select("query_id", F.lit(1).alias("rank"), F.lit(5).alias("doc_id"))
+
+    results, times = evaluation.run_timed(queries, search)
+    assert asked == [1, 2, 3] and results.count() == 2
+    rows = {r["query_id"]: r for r in times.collect()}
+    assert rows[1]["seconds"] > 0 and rows[1]["error"] is None
+    assert rows[2]["seconds"] is None and rows[2]["error"] == "RuntimeError: no answer"
+    metrics = evaluation.metrics_fixed(queries, results, qrels)
+    timed = evaluation.with_seconds(metrics, times)
+    by_query = {r["query_id"]: r for r in timed.collect()}
+    assert by_query[2]["seconds"] == by_query[2]["quality"] == 0
+    assert by_query[1]["p5"] == 0.2 and by_query[1]["seconds"] == rows[1]["seconds"]
+    means = evaluation.summarize(timed).first()
+    seconds = (rows[1]["seconds"] + rows[3]["seconds"]) / 3
+    assert means["n_queries"] == 3 and abs(means["avg_seconds"] - seconds) < 1e-9
+    with pytest.raises(ValueError):
+        evaluation.run_timed(queries, search, at_most=2)
+
+
+def test_timing_without_any_answer(spark):
+    queries = spark.createDataFrame([(1, "a")], "query_id int, query string")
+
+    def search(one):
+        raise ValueError("down")
+
+    results, times = evaluation.run_timed(queries, search)
+    assert results.collect() == [] and times.first()["seconds"] is None

@@ -4,12 +4,14 @@ import bz2
 import gzip
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from trawl.operators import features
-from trawl.plans.engine import build_engine, open_engine
+from trawl.operators.features import last_views, merge_views, titled_views
+from trawl.plans.engine import add_titles, build_engine, grow_engine, open_engine, read_feature, write_feature
 from trawl.sources.corpus import preview, read_corpus, read_titles, skipped_files
 from trawl.sources.judged_queries import read_judged_queries, relevant_documents
 from trawl.sources.pageview_log import read_pageview_log
@@ -144,6 +146,59 @@ def test_preview(spark):
     assert all(r["square"] == r["id"] ** 2 for r in rows)
 
 
+def test_previews_are_the_same_however_rows_are_dealt_out(spark):
+    table = spark.range(50).select("id", (F.col("id") % 3).alias("kind"))
+    shown = [
+        preview(t, seed=1, key=["id"], order="id").collect() for t in (table, table.repartition(7))
+    ]
+    assert shown[0] == shown[1] and [r["id"] for r in shown[0][:3]] == [0, 1, 2]
+    assert shown[0] != preview(table, seed=2, key=["id"], order="id").collect()
+    plan = preview(table, key=["id"])._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "Sort [" not in plan
+    assert preview(table.where("false")).collect() == []
+
+
+def test_later_logs_are_taken_in(spark):
+    schema = "line_no long, line string"
+    logs = [
+        ["en.wikipedia a 1 desktop 5 x", "en.wikipedia b 2 desktop 6 x", "en.wikipedia a 1 desktop 7 x"],
+        ["en.wikipedia b 2 desktop 1 x", "bad line"],
+        [],
+    ]
+    known = None
+    for number, lines in enumerate(logs):
+        new = last_views(spark.createDataFrame(list(enumerate(lines)), schema), number)
+        known = new if known is None else merge_views(known, new)
+    assert sorted(tuple(r) for r in known.collect()) == [(1, 7, 0, 2), (2, 1, 1, 0)]
+    # An earlier log that comes late changes no page of a later one.
+    late = last_views(spark.createDataFrame([(9, "en.wikipedia b 2 desktop 99 x")], schema), 0)
+    assert pairs(merge_views(known, late).select("id", "views")) == [(1, 7), (2, 1)]
+    titles = spark.createDataFrame([(2, "two")], "id long, title string")
+    assert pairs(titled_views(known, titles)) == [(2, 1)]
+
+
+def test_a_look_up_of_few_ids_names_them_in_the_scan(spark, folder):
+    feature = spark.range(1000).select("id", F.rand(1).alias("pagerank"))
+    write_feature(feature, f"{folder}/ranks")
+    stored = read_feature(spark, f"{folder}/ranks")
+    asked = spark.createDataFrame([(1, ["3", "900", "x", "-5"])], "request_id int, ids array<string>")
+    found = features.lookup_pagerank(asked, stored)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^]]*In\(id, \[-5,3,900\]", plan), plan
+    assert [r["pagerank"] > 0 for r in found.orderBy("pos").collect()] == [True, True, False, False]
+    many = spark.createDataFrame([(1, [str(i) for i in range(0, 2000, 5)])], asked.schema)
+    values = {r["doc_id"]: r["pagerank"] for r in features.lookup_pagerank(many, stored).collect()}
+    plain = {str(r["id"]): r["pagerank"] for r in feature.collect()}
+    assert values == {str(i): plain.get(str(i), 0.0) for i in range(0, 2000, 5)}
+
+
+def test_a_feature_table_shows_its_latest_version(spark, folder):
+    for value in (1, 2):
+        write_feature(spark.range(3).withColumn("views", F.lit(value)), f"{folder}/views")
+    rows = read_feature(spark, f"{folder}/views")
+    assert rows.columns == ["id", "views"] and {r["views"] for r in rows.collect()} == {2}
+
+
 def test_rank_file_round_trip(spark, folder):
     ranks = spark.createDataFrame([(i, 1.0 / (i % 50 + 1)) for i in range(500)], "id long, pagerank double")
     write_pagerank(ranks, f"{folder}/ranks")
@@ -194,3 +249,31 @@ def test_engine_from_build_to_answers(spark, toy, folder):
     asked = spark.createDataFrame([(1, ["3", "9"])], "request_id int, ids array<string>")
     assert [r["views"] for r in engine.lookup_pageviews(asked).orderBy("pos").collect()] == [40, 0]
     assert engine.lookup_pagerank(asked).where("pagerank > 0").count() == 2
+
+
+def test_a_grown_engine_equals_one_built_at_once(spark, toy, folder):
+    log = ["en.wikipedia p 3 desktop 40 x", "en.wikipedia p 1 desktop 4 x"]
+    later = ["en.wikipedia p 3 desktop 41 x", "en.wikipedia p 9 desktop 4 x"]
+    schema = "line_no long, line string"
+    lines = [spark.createDataFrame(list(enumerate(own)), schema) for own in (log, later)]
+    build_engine(toy.where("id <= 2"), lines[0], f"{folder}/grown")
+    grow_engine(spark, f"{folder}/grown", toy.where("id > 2"), lines[1])
+    grown = open_engine(spark, f"{folder}/grown")
+    query = spark.createDataFrame([(0, "alpha gamma")], "query_id long, query string")
+    rows = grown.enrich(grown.search(query)).orderBy("rank").collect()
+    assert [(r["doc_id"], round(r["score"], 6), r["views"]) for r in rows] == [
+        (3, 56.784548, 41),
+        (1, 30.298486, 4),
+        (2, 21.889626, 0),
+        (9, 0.101476, 0),
+    ]
+    assert pairs(grown.pageviews) == [(1, 4), (3, 41)]
+    assert len(grown.index.body.segments) == 2
+
+
+def test_a_page_that_comes_again_takes_on_its_new_title(spark, toy, folder):
+    write_feature(features.build_titles(toy), f"{folder}/titles")
+    again = toy.where("id = 1").withColumn("title", F.lit("omega page"))
+    add_titles(spark, again, f"{folder}/titles")
+    titles = dict(pairs(read_feature(spark, f"{folder}/titles")))
+    assert titles == {1: "omega page", 2: "beta page", 3: "gamma alpha", 4: "delta page"}

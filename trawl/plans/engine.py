@@ -107,9 +107,7 @@ def grow_engine(
     append_links(page_links, f"{path}/index/anchor", stopwords=stopwords)
     for field in ("title", "body", "anchor"):
         compact_index(spark, f"{path}/index/{field}", per_tier)
-    new = _titles(corpus)
-    known = read_feature(spark, f"{path}/titles").join(new.select("id"), "id", "left_anti")
-    write_feature(known.unionByName(new), f"{path}/titles")
+    add_titles(spark, corpus, f"{path}/titles")
     batch = spark.read.parquet(f"{path}/edges").agg(F.max("batch")).first()[0] + 1
     links.link_edges(page_links).write.parquet(f"{path}/edges/batch={batch}")
     _rank_pages(spark, path)
@@ -121,6 +119,13 @@ def grow_engine(
     _show_views(spark, path)
 
 
+def add_titles(spark: SparkSession, corpus: DataFrame, path: str) -> None:
+    """Take the titles of new pages into a stored table; known pages get their new ones."""
+    new = _titles(corpus)
+    known = read_feature(spark, path).join(new.select("id"), "id", "left_anti")
+    write_feature(known.unionByName(new), path)
+
+
 def _titles(corpus: DataFrame) -> DataFrame:
     return features.build_titles(corpus, "row_order" if "row_order" in corpus.columns else None)
 
