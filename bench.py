@@ -73,6 +73,7 @@ def main() -> None:
     timed("search_anchor", lambda: engine.search_anchor(queries))
     one = queries.orderBy("query_id").limit(1)
     timed("search_one_query", lambda: engine.search(one))
+    timed("search_one_query_pruned", lambda: engine.search(one, prune=True))
     timed("search_body_one_query", lambda: engine.search_body(one))
     timed("lookup_pagerank", lambda: engine.lookup_pagerank(views.requests()))
     timed("lookup_pageviews", lambda: engine.lookup_pageviews(views.requests()))

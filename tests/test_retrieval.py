@@ -209,6 +209,7 @@ def test_large_batches_and_limits_take_the_other_ways(spark, sample, index, monk
     views, brute, queries, _ = sample
     monkeypatch.setattr(retrieval, "BROADCAST_ROWS", 0)
     monkeypatch.setattr(retrieval, "TERMS_IN_PLAN", 0)
+    monkeypatch.setattr(retrieval, "POSTINGS_PER_PART", 7)
     assert not retrieval.query_terms(views.queries()).small
     tfidf = retrieval.search_body(views.queries(), index.body, views.titles(), limit=1500)
     wanted = {i: brute.tfidf(q, None, 1500) for i, q in queries}

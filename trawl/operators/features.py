@@ -16,6 +16,7 @@ LOG_DOMAIN = "en.wikipedia"
 
 # Up to this many different ids are written into the plan, where the scan can use them.
 IDS_IN_PLAN = 50
+ROWS_LOOKED_AT = 1_000
 # Spark passes at most this many values of one IN list on to Parquet as exact comparisons.
 _IN_LIST = 10
 
@@ -159,9 +160,10 @@ def _of_ids(features: DataFrame, ids: Optional[DataFrame]) -> DataFrame:
     if ids is None:
         return features
     ids = ids.where(F.col("id").isNotNull())
-    some = ids.select("id").distinct().limit(IDS_IN_PLAN + 1).collect()
-    if len(some) <= IDS_IN_PLAN:
-        return features.where(_any_of(sorted(row["id"] for row in some)))
+    some = ids.select("id").limit(ROWS_LOOKED_AT + 1).collect()
+    few = sorted({row["id"] for row in some})
+    if len(some) <= ROWS_LOOKED_AT and len(few) <= IDS_IN_PLAN:
+        return features.where(_any_of(few))
     if ids.count() > BROADCAST_ROWS:
         return features
     return features.join(F.broadcast(ids.select("id").distinct()), "id", "left_semi")

@@ -11,6 +11,7 @@ from math import log
 from operator import or_
 from typing import Optional
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -58,6 +59,20 @@ _MANIFEST = (
     "path string, buckets int, bounds array<bigint>, n_postings bigint, first_id bigint, "
     "last_id bigint, repeats boolean, min_df bigint, ids_per_block int, place int"
 )
+_MANIFEST_COLUMNS = pa.schema(
+    {
+        "path": pa.string(),
+        "buckets": pa.int32(),
+        "bounds": pa.list_(pa.int64()),
+        "n_postings": pa.int64(),
+        "first_id": pa.int64(),
+        "last_id": pa.int64(),
+        "repeats": pa.bool_(),
+        "min_df": pa.int64(),
+        "ids_per_block": pa.int32(),
+        "place": pa.int32(),
+    }
+)
 
 
 def term_bucket(term: Column, buckets: int) -> Column:
@@ -211,23 +226,20 @@ def _write_manifest(
     Segments come first, so a job that fails on the way leaves the index as it was. Only one job at
     a time may change an index.
     """
-    rows = [
-        (
-            s.path.removeprefix(f"{path}/"),
-            s.buckets,
-            list(s.ranges.bounds),
-            s.n_postings,
-            s.first_id,
-            s.last_id,
-            s.repeated is not None,
-            min_df,
-            ids_per_block,
-            place,
-        )
-        for place, s in enumerate(segments)
-    ]
+    rows = {
+        "path": [s.path.removeprefix(f"{path}/") for s in segments],
+        "buckets": [s.buckets for s in segments],
+        "bounds": [list(s.ranges.bounds) for s in segments],
+        "n_postings": [s.n_postings for s in segments],
+        "first_id": [s.first_id for s in segments],
+        "last_id": [s.last_id for s in segments],
+        "repeats": [s.repeated is not None for s in segments],
+        "min_df": [min_df] * len(segments),
+        "ids_per_block": [ids_per_block] * len(segments),
+        "place": list(range(len(segments))),
+    }
     version = _latest(spark, path)[0] + 1
-    manifest = spark.createDataFrame(rows, _MANIFEST).coalesce(1)
+    manifest = spark.createDataFrame(pa.table(rows, _MANIFEST_COLUMNS)).coalesce(1)
     manifest.write.parquet(f"{path}/manifest/version={version}")
 
 
