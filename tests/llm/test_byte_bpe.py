@@ -9,6 +9,7 @@ import pytest
 import tiktoken
 
 from tests.llm.cases import LONG, ODD, documents
+from trawl.llm import byte_bpe
 from trawl.llm.byte_bpe import VOCABULARY, PairEncoder, decode, encode, read_ranks
 
 
@@ -59,6 +60,20 @@ def test_blocks_do_not_change_ids(reference):
     assert list(encoder.encode_many([LONG, "x", LONG])) == [wanted, encoder.encode("x"), wanted]
 
 
+def test_words_forgotten_and_learned_again_have_the_same_ids(reference, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "KNOWN_WORDS", 30)
+    monkeypatch.setattr(byte_bpe, "BLOCK_WORDS", 12)
+    encoder, rng = PairEncoder(), random.Random(4)
+    learned, plain = [], encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda new: learned.extend(new) or plain(new))
+    texts = [" the of " + " ".join(f"w{rng.randrange(200)}" for _ in range(5)) for _ in range(200)]
+    for text, ids in zip(texts, encoder.encode_many(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == reference.encode_ordinary(text)
+    # Words that every text has are worked out once; others are, when they come again late.
+    assert learned.count(" the") == learned.count(" of") == 1 and len(learned) > len(set(learned))
+    assert len(encoder._known) + len(encoder._older) <= 2 * 30
+
+
 def test_decoding_odd_ids(spark):
     rows = [(1, [15496, 995]), (2, []), (3, None), (4, [60_000, 0])]
     table = spark.createDataFrame(rows, "k int, ids array<int>")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from itertools import islice
 
 import duckdb
@@ -99,6 +100,28 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+@lru_cache(maxsize=1)
+def _merge_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the single bytes; pairs, what they merge to, and whether nothing lesser can arise.
+
+    About a megabyte, kept by a worker for its later tasks.
+    """
+    ranks = read_ranks(path)
+    merges = np.array(
+        [
+            (ranks[token[:i]] * 65536 + ranks[token[i:]], rank)
+            for token, rank in ranks.items()
+            for i in range(1, len(token))
+            if token[:i] in ranks and token[i:] in ranks
+        ]
+    )
+    pair, merged = merges[:, 0], merges[:, 1]
+    part_is_later = (pair >> 16 > merged, pair & 65535 > merged)
+    unsafe = np.concatenate([pair[part_is_later[0]] >> 16, pair[part_is_later[1]] & 65535])
+    single = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+    return single, pair, merged, ~np.isin(merged, unsafe)
+
+
 def _database(table: str, columns: dict[str, pa.Array]) -> duckdb.DuckDBPyConnection:
     """A database of this process with one table."""
     database = duckdb.connect()
@@ -112,38 +135,34 @@ class PairEncoder:
     """Encodes texts by the ranks of a vocabulary file."""
 
     def __init__(self, path: str = VOCABULARY) -> None:
-        ranks = read_ranks(path)
-        merges = np.array(
-            [
-                (ranks[token[:i]] * 65536 + ranks[token[i:]], rank)
-                for token, rank in ranks.items()
-                for i in range(1, len(token))
-                if token[:i] in ranks and token[i:] in ranks
-            ]
-        )
-        pair, merged = merges[:, 0], merges[:, 1]
-        part_is_later = (pair >> 16 > merged, pair & 65535 > merged)
-        unsafe = np.concatenate(
-            [pair[part_is_later[0]] >> 16, pair[part_is_later[1]] & 65535]
-        )
-        self._bytes = np.array([ranks[bytes([i])] for i in range(256)], dtype=np.int64)
+        self._bytes, pair, merged, safe = _merge_table(path)
         self._pattern = regex.compile(_PATTERN)
         self._known: dict[str, bytes] = {}
-        safe = ~np.isin(merged, unsafe)
+        self._older: dict[str, bytes] = {}
         self._db = _database("merges", {"pair": pair, "merged": merged, "safe": safe})
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         parts = []
         for words in self._words(text or ""):
-            new = set(words).difference(self._known)
-            if len(new) + len(self._known) > KNOWN_WORDS:
-                self._known.clear()
-                new = set(words)
-            self._learn(new)
+            self._prepare(set(words))
             parts.append(b"".join(map(self._known.__getitem__, words)))
         return b"".join(parts)
 
+    def _prepare(self, used: set[str]) -> None:
+        """Have all these words known, worked out if they are not among those remembered.
+
+        Words are remembered in two generations. When the newer one is full it becomes the older
+        one, and words that are used again come over: what is common stays known for good.
+        """
+        new = used.difference(self._known)
+        if len(new) + len(self._known) > KNOWN_WORDS:
+            self._older, self._known = self._known, {}
+            new = used
+        again = new.intersection(self._older)
+        self._known.update((word, self._older[word]) for word in again)
+        self._learn(new.difference(again))
+
     def encode_many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """As ``encode``, with one recursion for the new words of many texts."""
         block: list[list[str]] = []
@@ -163,12 +182,7 @@ class PairEncoder:
         yield from self._block(block)
 
     def _block(self, block: list[list[str]]) -> Iterator[bytes]:
-        used = set().union(*block)
-        new = used.difference(self._known)
-        if len(new) + len(self._known) > KNOWN_WORDS:
-            self._known.clear()
-            new = used
-        self._learn(new)
+        self._prepare(set().union(*block))
         for words in block:
             yield b"".join(map(self._known.__getitem__, words))
 
