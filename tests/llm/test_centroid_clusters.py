@@ -5,12 +5,10 @@ import math
 import os
 import random
 
-import duckdb
 from pyspark.sql import functions as F
 
-from tests.conftest import SAMPLE
 from trawl.llm import centroid_clusters
-from trawl.llm.centroid_clusters import ORACLE_SQL, cluster_vectors, op13_centroid_clusters
+from trawl.llm.centroid_clusters import cluster_vectors
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int"
 
@@ -136,12 +134,3 @@ def test_dot_products_take_no_part_of_unchanged_centroids():
     assert out.column("dots").to_pylist() == [[10, 24], [30, 50]]
     assert out.column("cluster").to_pylist() == [1, 1]
     assert out.column("distance").to_pylist() == [14 + 6 - 48, 77 + 6 - 100]
-
-
-def test_query_against_sql(spark):
-    connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SAMPLE}/embeddings.parquet'")
-    result = connection.execute(ORACLE_SQL)
-    names = [d[0] for d in result.description]
-    rows = op13_centroid_clusters(spark, SAMPLE).select(*names).collect()
-    assert sorted(map(tuple, rows)) == sorted(result.fetchall()) and rows

@@ -4,21 +4,17 @@ import itertools
 import math
 import random
 
-import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import SAMPLE
 from trawl.llm import hard_negatives
 from trawl.llm.hard_negatives import (
-    ORACLE_SQL,
     BlockSearch,
     Windows,
     blocks_to_read,
     build_blocks,
     mine_hard_negatives,
-    op11_hard_negatives,
     score_bounds,
 )
 from trawl.llm.hilbert import curve_keys
@@ -187,12 +183,3 @@ def test_many_chosen_blocks_are_read_by_their_parts(spark, monkeypatch):
     assert mined(spark, rows, rows_per_block=8) == brute(rows)
     monkeypatch.setattr(hard_negatives, "STRETCHES", 2)
     assert mined(spark, rows, rows_per_block=8) == brute(rows)
-
-
-def test_query_against_sql(spark):
-    connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{SAMPLE}/embeddings.parquet'")
-    result = connection.execute(ORACLE_SQL)
-    names = [d[0] for d in result.description]
-    rows = op11_hard_negatives(spark, SAMPLE).select(*names).collect()
-    assert sorted(map(tuple, rows)) == sorted(result.fetchall()) and rows

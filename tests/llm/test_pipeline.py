@@ -31,7 +31,7 @@ def test_queries_are_registered():
     assert {n for n in registered.queries() if n.startswith("op")} == {
         n for n in registry.queries() if n != "pipeline"
     }
-    assert "pipeline" in registered.queries() and len(registry.queries()) == 11
+    assert "pipeline" in registered.queries() and len(registry.queries()) == 14
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))
