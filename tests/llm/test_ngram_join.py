@@ -8,17 +8,25 @@ import pytest
 from tests.llm.cases import ODD, documents, lower, random_texts, split
 from trawl.llm import ngram_join
 from trawl.llm.components import components
-from trawl.llm.ngram_join import keep_one_of_each, linked_pairs, ngram_groups, part_keys, subset_keys
-
-
-def shingles(text):
+from trawl.llm.ngram_join import (
+    RULE,
+    Rule,
+    keep_one_of_each,
+    linked_pairs,
+    ngram_groups,
+    part_keys,
+    subset_keys,
+)
+
+
+def shingles(text, size=3):
     words = split(lower(text))
-    size = min(3, len(words))
+    size = min(size, len(words))
     return {tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set()
 
 
-def plain(rows):
-    sets = [shingles(t) for _, t in rows]
+def plain(rows, size=3, percent=90):
+    sets = [shingles(t, size) for _, t in rows]
     up = list(range(len(rows)))
 
     def top(i):
@@ -29,7 +37,7 @@ def plain(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             both = len(a & sets[j])
-            if a and sets[j] and 100 * both >= 90 * len(a | sets[j]):
+            if a and sets[j] and 100 * both >= percent * len(a | sets[j]):
                 up[top(i)] = top(j)
     out = []
     for i, (own, _) in enumerate(rows):
@@ -38,8 +46,8 @@ def plain(rows):
     return sorted(out, key=repr)
 
 
-def got(table):
-    rows = ngram_groups(table).collect()
+def got(table, rule=RULE):
+    rows = ngram_groups(table, rule=rule).collect()
     return sorted([(r.doc_id, r.n_shingles, r.component_id) for r in rows], key=repr)
 
 
@@ -71,6 +79,39 @@ def test_near_copies(spark, least, most):
     assert got(documents(spark, rows).repartition(3)) == plain(rows)
 
 
+@pytest.mark.parametrize("least,most", [(8, 16), (40, 120)])
+def test_other_rules(spark, least, most):
+    rows = near_copies(least + 1, 120, least, most) + ODD
+    rule = Rule(words=5, percent=80)
+    assert got(documents(spark, rows).repartition(3), rule) == plain(rows, 5, 80)
+
+
+def test_near_copies_of_the_pipeline(spark):
+    words = [f"w{i}" for i in range(100)]
+    changed = ["x" if i in (30, 60) else w for i, w in enumerate(words)]
+    rows = [(1, " ".join(words)), (2, " ".join(changed))]
+    assert {c for _, _, c in got(documents(spark, rows), Rule(5, 80))} == {1}
+    assert {c for _, _, c in got(documents(spark, rows))} == {1, 2}
+    with pytest.raises(ValueError):
+        Rule(5, 30)
+
+
+def test_columns_of_any_name_stay(spark):
+    docs = documents(spark, ODD)
+    own = docs.withColumns({c: docs.doc_id for c in ("_place", "__found", "_found")})
+    for result in (ngram_groups(own), keep_one_of_each(own)):
+        assert {"_place", "_found", "__found"} <= set(result.columns)
+        assert all(r._place == r.doc_id == r._found for r in result.collect())
+
+
+def test_sets_with_the_same_empty_part_are_not_listed_together():
+    rng = np.random.default_rng(5)
+    for rule in (RULE, Rule(5, 80)):
+        sets = [np.unique(rng.integers(0, 2**63, 300).astype(np.uint64)) for _ in range(1500)]
+        keys = np.concatenate([part_keys(s, rule) for s in sets])
+        assert len(np.unique(keys)) > 0.999 * len(keys)
+
+
 def test_one_of_each_group_stays(spark):
     rows = [(i + 100, t) for i, t in near_copies(5, 60, 30, 60)] + ODD
     kept = keep_one_of_each(documents(spark, rows)).collect()
@@ -81,19 +122,20 @@ def test_one_of_each_group_stays(spark):
     assert len([r for r in kept if r.doc_id not in empty]) == len(wanted)
 
 
-def test_keys_are_shared_by_all_similar_sets():
+@pytest.mark.parametrize("rule", [RULE, Rule(5, 80), Rule(2, 60)])
+def test_keys_are_shared_by_all_similar_sets(rule):
     rng = np.random.default_rng(7)
-    for _ in range(400):
+    for _ in range(1500):
         n = int(rng.integers(1, 90))
         a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
-        differ = int(rng.integers(0, max(1, n // 19) + 1))
+        differ = int(rng.integers(0, max(1, n * (100 - rule.percent) // 100) + 1))
         drop, add = int(rng.integers(0, differ + 1)), int(rng.integers(0, differ + 1))
         b = np.unique(np.append(a[drop:], rng.integers(0, 2**63, add).astype(np.uint64)))
         both = len(np.intersect1d(a, b))
-        if not len(b) or 100 * both < 90 * (len(a) + len(b) - both):
+        if not len(b) or not rule.similar(both, len(a), len(b)):
             continue
-        assert set(part_keys(a)) & set(part_keys(b))
-        if max(len(a), len(b)) < ngram_join.LARGEST_BOUNDARY:
+        assert set(part_keys(a, rule)) & set(part_keys(b, rule))
+        if max(len(a), len(b)) < rule.largest_boundary:
             assert set(subset_keys(a)) & set(subset_keys(b))
 
 
@@ -120,6 +162,14 @@ def test_large_clusters_are_compared_in_blocks(spark, monkeypatch):
     assert got(documents(spark, rows).repartition(3)) == plain(rows)
 
 
+def test_components_of_long_paths_and_stars(spark):
+    path = [(i, i + 1) for i in range(60)]
+    star = [(1000, i) for i in range(1001, 3000)]
+    table = spark.createDataFrame(path + star + star, "a bigint, b bigint")
+    found = {r.node: r.component for r in components(table).collect()}
+    assert found == {**dict.fromkeys(range(61), 0), **dict.fromkeys(range(1000, 3000), 1000)}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(40, 50), (50, 60), (45, 60), (7, 7)]
     table = spark.createDataFrame(edges, "a bigint, b bigint")

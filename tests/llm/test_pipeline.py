@@ -50,7 +50,7 @@ def test_pipeline_against_plain_stages(spark, database):
     verdicts = {r.doc_id: r.kept for r in quality_rules.judge_quality(docs, model).collect()}
     rows = [r for r in rows if verdicts[r[0]]]
     rows = [(i, text) for i, _, _, text in without_lines(rows, 10)]
-    stays = {c for _, _, c in groups(rows)}
+    stays = {c for _, _, c in groups(rows, 5, 80)}
     rows = [r for r in rows if r[0] in stays]
     items = database.execute("SELECT item_id, text FROM benchmark").fetchall()
     encoder = byte_bpe.PairEncoder()

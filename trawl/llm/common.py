@@ -37,6 +37,15 @@ def with_columns(docs: DataFrame, new: dict[str, Column]) -> DataFrame:
     return docs.select(*kept, *[value.alias(name) for name, value in new.items()])
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """``names`` with underscores before them, so that ``docs`` has no such columns."""
+    taken = {c.lower() for c in docs.columns}
+    prefix = "_"
+    while any(prefix + name in taken for name in names):
+        prefix += "_"
+    return [prefix + name for name in names]
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new path in the folder that the driver and all executors share."""
     use_checkpoint_dir(spark)

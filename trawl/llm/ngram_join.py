@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import cache, cached_property
 
 import numpy as np
 import pandas as pd
@@ -12,14 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trawl.llm.common import require, stored, table, with_columns
+from trawl.llm.common import free_names, require, stored, table, with_columns
 from trawl.llm.components import components
 from trawl.llm.hashing import WordHashes, mix, runs, split_lower
 from trawl.session import BROADCAST_ROWS
 
-SHINGLE_WORDS = 3
-# Sets of fewer elements can be linked by subsets that lack at most one element.
-LARGEST_BOUNDARY = 20
 # Elements of the sets that one task compares with each other.
 BLOCK_ELEMENTS = 400_000
 # A set counts as at least so many elements, which bounds the number of sets in a block.
@@ -37,22 +36,55 @@ _SKETCH = T.StructType(
 )
 
 
-def _size_groups(limit: int) -> np.ndarray:
-    """Starts of size ranges: two sets are similar enough only in the same or in next ranges."""
-    starts = [1]
-    while starts[-1] <= limit:
-        starts.append(10 * starts[-1] // 9 + 1)
-    return np.array(starts, dtype=np.int64)
+@dataclass(frozen=True)
+class Rule:
+    """Which documents link: runs of ``words`` words, Jaccard similarity of ``percent`` or more."""
 
+    words: int = 3
+    percent: int = 90
 
-_GROUPS = _size_groups(2**40)
+    def __post_init__(self) -> None:
+        if self.words < 1 or not 50 <= self.percent <= 99:
+            raise ValueError("a shingle has a word or more, a similarity is of 50 to 99 percent")
 
+    @property
+    def largest_boundary(self) -> int:
+        """Sets of fewer elements can be linked by subsets that lack at most one element."""
+        return -(-200 // (100 - self.percent))
 
-def similar(common: int, n: int, m: int) -> bool:
-    return 100 * common >= 90 * (n + m - common)
+    @cached_property
+    def ranges(self) -> np.ndarray:
+        """Starts of size ranges: two sets are similar only if in the same or in next ranges."""
+        starts = [1]
+        while starts[-1] <= 2**40:
+            starts.append(100 * starts[-1] // self.percent + 1)
+        return np.array(starts, dtype=np.int64)
 
+    @cache
+    def parts(self, group: int) -> tuple[int, int]:
+        """How many parts sets of a size range have, and how many of these may be passed over.
 
-def shingle_set(words: list[bytes], hashes: WordHashes, size: int = SHINGLE_WORDS) -> np.ndarray:
+        Sets of n and m elements that are similar differ in at most (n + m)(1 - s) / (1 + s) of
+        them. The parts passed over come on top of that, about as many as stay empty by chance.
+        """
+        least, most = int(self.ranges[group]), int(self.ranges[group + 1]) - 1
+        differ = 2 * most * (100 - self.percent) // (100 + self.percent)
+        spare, more = 0, 1
+        while spare < more <= differ + 1:
+            spare = more if differ else 0
+            parts = differ + 1 + spare
+            empty = parts * (1 - 1 / parts) ** least
+            more = math.ceil(empty + 4 * math.sqrt(empty))
+        return differ + 1 + spare, spare
+
+    def similar(self, common, n, m):
+        return 100 * common >= self.percent * (n + m - common)
+
+
+RULE = Rule()
+
+
+def shingle_set(words: list[bytes], hashes: WordHashes, size: int = RULE.words) -> np.ndarray:
     """The distinct shingles of a text as sorted hashes; a shorter text is one shingle."""
     if not words:
         return np.zeros(0, np.uint64)
@@ -66,18 +98,22 @@ def subset_keys(elements: np.ndarray) -> np.ndarray:
     return mix(np.append(total - mixed, total) ^ np.uint64(0x5EED))
 
 
-def part_keys(elements: np.ndarray) -> np.ndarray:
+def part_keys(elements: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """Keys of the parts of a set, from which inverted lists are made.
 
-    Similar sets differ in at most ``(n + m) // 19`` elements. With one part more than that, dealt
-    by hash, they agree in all elements of some part. The number of parts belongs to a range of
-    sizes; a set is listed for its own range and for the next one, where larger partners are.
+    With more parts than two similar sets can differ in, dealt by hash, they agree in all elements
+    of some parts: in one more than may be passed over. So a set with no more empty parts than that
+    passes over them, as it agrees with a similar one in another part, too; only sets with more of
+    them list them. Else all sets in which the same part is empty would stand on one list.
+
+    The number of parts belongs to a range of sizes; a set is listed for its own range and for the
+    next one, where larger partners are.
     """
-    group = int(np.searchsorted(_GROUPS, len(elements), "right")) - 1
+    group = int(np.searchsorted(rule.ranges, len(elements), "right")) - 1
     mixed = mix(elements)
     keys = []
     for instance in (group, group + 1):
-        parts = int(2 * (_GROUPS[instance + 1] - 1) // 19 + 1)
+        parts, spare = rule.parts(instance)
         part = ((mixed >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
         order = np.argsort(part, kind="stable")
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed[order], dtype=np.uint64)])
@@ -85,17 +121,19 @@ def part_keys(elements: np.ndarray) -> np.ndarray:
         starts = np.append(0, ends[:-1])
         content = sums[ends] - sums[starts]
         place = np.arange(parts, dtype=np.uint64) + np.uint64(instance << 40)
-        keys.append(mix(mix(content) + mix(place + np.uint64(1))))
+        found = mix(mix(content) + mix(place + np.uint64(1)))
+        filled = ends > starts
+        keys.append(found[filled] if parts - filled.sum() <= spare else found)
     return np.concatenate(keys)
 
 
-def _sketch_udf():
+def _sketch_udf(rule: Rule):
     @F.arrow_udf(_SKETCH)
     def sketch(texts: pa.Array) -> pa.Array:
         hashes = WordHashes()
         rows = []
         for text in texts:
-            elements = shingle_set(split_lower(text.as_py()), hashes)
+            elements = shingle_set(split_lower(text.as_py()), hashes, rule.words)
             n = len(elements)
             mixed = mix(elements)
             high = int(mixed.sum(dtype=np.uint64)) + n & 2**64 - 1
@@ -106,9 +144,9 @@ def _sketch_udf():
                     "high": high - 2**63,
                     "low": low - 2**63,
                     "subsets": subset_keys(elements).view(np.int64)
-                    if 0 < n < LARGEST_BOUNDARY
+                    if 0 < n < rule.largest_boundary
                     else None,
-                    "parts": part_keys(elements).view(np.int64) if n else None,
+                    "parts": part_keys(elements, rule).view(np.int64) if n else None,
                 }
             )
         return pa.array(rows, pa.struct([
@@ -119,14 +157,15 @@ def _sketch_udf():
     return sketch.asNondeterministic()
 
 
-def _boundary(sets: DataFrame) -> int:
+def _boundary(sets: DataFrame, rule: Rule) -> int:
     """The size below which enumerating subsets costs less than scanning lists.
 
     A set of n elements has n + 1 subsets. Its parts make lists, and the cost of a list is its
     length: each of its sets has to be compared with one of the others. The lengths are measured
     over all sets below the largest boundary.
     """
-    small = sets.where((F.col("n") > 0) & (F.col("n") < LARGEST_BOUNDARY)).select("n", "parts")
+    small = sets.where((F.col("n") > 0) & (F.col("n") < rule.largest_boundary))
+    small = small.select("n", "parts")
     rows = small.select("n", F.explode("parts").alias("key"))
     lists = rows.groupBy("key").agg(F.count(F.lit(1)).alias("length"), F.sum("n").alias("sizes"))
     by_size = (
@@ -143,15 +182,17 @@ def _boundary(sets: DataFrame) -> int:
             + sum(c for n, c in scan.items() if n >= x),
             x,
         )
-        for x in range(1, LARGEST_BOUNDARY + 1)
+        for x in range(1, rule.largest_boundary + 1)
     ]
     return min(costs)[1]
 
 
 def _list_edges(rows: DataFrame) -> DataFrame:
-    """``a, b`` for each set ``b`` on a list and the list's first set ``a``.
+    """Ties that connect all sets that share a list: about one for each set.
 
-    A task reads the lists in order and keeps one set of the list at hand, however long it is.
+    A task reads the lists in order, ties every set to the list's first and keeps that one at hand,
+    however long a list is. A set stands on several lists; it then is tied to the least of their
+    first sets, and these among themselves, where most ties are the same for many sets.
     """
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +212,13 @@ def _list_edges(rows: DataFrame) -> DataFrame:
             yield pa.record_batch({"a": pa.array(found[0]), "b": pa.array(found[1])})
 
     ordered = rows.repartition("key").sortWithinPartitions("key", "set")
-    return ordered.mapInArrow(edges, "a bigint, b bigint").distinct()
+    ties = ordered.mapInArrow(edges, "a bigint, b bigint")
+    # A set has no more first sets than keys, so a row is bounded by the length of a text.
+    tied = ties.groupBy("b").agg(F.min("a").alias("a"), F.collect_set("a").alias("firsts"))
+    least = F.transform("firsts", lambda x: F.struct(F.col("a").alias("a"), x.alias("b")))
+    own = F.array(F.struct("a", "b"))
+    pairs = tied.select(F.explode(F.concat(own, F.filter(least, lambda e: e.a < e.b))).alias("e"))
+    return pairs.select("e.a", "e.b").distinct()
 
 
 class _Forest:
@@ -190,26 +237,27 @@ class _Forest:
         return i != j
 
 
-def linked_pairs(sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
+def linked_pairs(sets: list[np.ndarray], rule: Rule = RULE) -> Iterator[tuple[int, int]]:
     """Links that connect all similar sets, without those that others imply."""
     forest = _Forest(len(sets))
     sizes = np.array([len(s) for s in sets])
     if len(sets) <= _FEW:
         for i, first in enumerate(sets):
             for j in range(i):
-                if forest.top(i) != forest.top(j) and 10 * min(sizes[i], sizes[j]) >= 9 * max(
-                    sizes[i], sizes[j]
-                ):
+                less, more = sorted((int(sizes[i]), int(sizes[j])))
+                if forest.top(i) != forest.top(j) and 100 * less >= rule.percent * more:
                     common = len(np.intersect1d(first, sets[j], assume_unique=True))
-                    if similar(common, int(sizes[i]), int(sizes[j])) and forest.join(i, j):
+                    if rule.similar(common, less, more) and forest.join(i, j):
                         yield i, j
         return
-    for i, j in zip(*_similar_in_matrix(sets, sizes)):
+    for i, j in zip(*_similar_in_matrix(sets, sizes, rule)):
         if forest.join(int(i), int(j)):
             yield int(i), int(j)
 
 
-def _similar_in_matrix(sets: list[np.ndarray], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _similar_in_matrix(
+    sets: list[np.ndarray], sizes: np.ndarray, rule: Rule
+) -> tuple[np.ndarray, np.ndarray]:
     """All similar pairs, from products of the sets' incidence matrix, some columns at a time."""
     owner = np.repeat(np.arange(len(sets)), sizes)
     _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -225,12 +273,11 @@ def _similar_in_matrix(sets: list[np.ndarray], sizes: np.ndarray) -> tuple[np.nd
         incidence = np.zeros((len(sets), width), np.float32)
         incidence[owner[a:b], code[a:b] - start] = 1
         common += incidence @ incidence.T
-    union = sizes[:, None] + sizes[None, :] - common
-    i, j = np.nonzero(100 * common >= 90 * union)
+    i, j = np.nonzero(rule.similar(common, sizes[:, None], sizes[None, :]))
     return i[i < j], j[i < j]
 
 
-def _verified(packs: DataFrame) -> DataFrame:
+def _verified(packs: DataFrame, rule: Rule) -> DataFrame:
     """``a, b``: links between the sets of each pack that connect its similar sets.
 
     A pack is one or two blocks of a large cluster, or several small clusters.
@@ -242,7 +289,7 @@ def _verified(packs: DataFrame) -> DataFrame:
             cluster = cluster.drop_duplicates("set").sort_values("set")
             names = cluster["set"].to_numpy()
             sets = [np.asarray(e) for e in cluster["elements"]]
-            found += [(names[i], names[j]) for i, j in linked_pairs(sets)]
+            found += [(names[i], names[j]) for i, j in linked_pairs(sets, rule)]
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
     return packs.groupBy("pack").applyInPandas(verify, "a bigint, b bigint")
@@ -252,7 +299,7 @@ def _pack(cluster: Column, *more: Column) -> Column:
     return F.xxhash64(cluster, *more)
 
 
-def _links(members: DataFrame, clusters: DataFrame) -> DataFrame:
+def _links(members: DataFrame, clusters: DataFrame, rule: Rule) -> DataFrame:
     """Verified links within clusters of candidates.
 
     ``members``: ``set, cluster, elements``; ``clusters``: ``cluster, total`` elements. Small
@@ -276,13 +323,14 @@ def _links(members: DataFrame, clusters: DataFrame) -> DataFrame:
         "pack", _pack(F.col("cluster"), F.col("other"))
     )
     columns = ["pack", "cluster", "set", "elements"]
-    links = stored(_verified(small.select(columns).unionByName(first.select(columns))))
+    packs = small.select(columns).unionByName(first.select(columns))
+    links = stored(_verified(packs, rule))
     if clusters.where(F.col("total") > BLOCK_ELEMENTS).isEmpty():
         return links
-    return links.unionByName(_rest_links(large, links))
+    return links.unionByName(_rest_links(large, links, rule))
 
 
-def _rest_links(large: DataFrame, links: DataFrame) -> DataFrame:
+def _rest_links(large: DataFrame, links: DataFrame, rule: Rule) -> DataFrame:
     """Links of the sets of large clusters that are outside their cluster's largest component."""
     names = components(links).withColumnRenamed("node", "set")
     placed = large.select("set", "cluster").join(names, "set", "left")
@@ -314,16 +362,18 @@ def _rest_links(large: DataFrame, links: DataFrame) -> DataFrame:
     packs = as_member.unionByName(as_outside).withColumn(
         "pack", _pack(F.col("cluster"), F.col("group"), F.col("at"), F.lit(1))
     )
-    return stored(_verified(packs.select("pack", "cluster", "set", "elements")))
+    return stored(_verified(packs.select("pack", "cluster", "set", "elements"), rule))
 
 
-def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def ngram_groups(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = RULE
+) -> DataFrame:
     """``docs`` with ``n_shingles``, ``class_id`` and ``component_id`` (replacing such columns).
 
-    A document's set holds its distinct runs of three words (between ASCII white space, A-Z
-    lower-cased); a shorter text is one run, a text without words has an empty set. Documents link
-    when the sets' Jaccard similarity is 0.9 or more, and a component holds what links reach. Its
-    id is the least id in it. ``class_id`` names documents with the same set.
+    A document's set holds its distinct runs of ``rule.words`` words (between ASCII white space,
+    A-Z lower-cased); a shorter text is one run, a text without words has an empty set. Documents
+    link when the sets' Jaccard similarity is ``rule.percent`` or more, and a component holds what
+    links reach. Its id is the least id in it. ``class_id`` names documents with the same set.
 
     Defined cases: documents with empty sets or null texts are linked with nothing and keep their
     own id; a null id doesn't count as least unless the component has no other; repeated rows and
@@ -336,38 +386,40 @@ def ngram_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of bounded size and only links that join components are kept. Shingles are compared by 64-bit
     hashes, classes by 128 bits.
     """
-    grouped = _grouped(docs, id_col, text_col)
+    grouped = _grouped(docs, id_col, text_col, rule)
+    at, found = free_names(docs, "place", "found")
     once = grouped.dropDuplicates(["place"]).select(
-        F.col("place").alias("_place"),
-        F.col("n").alias("_n"),
-        F.lower(F.concat(F.hex("high"), F.lit("-"), F.hex("low"))).alias("_class"),
-        F.col("least").alias("_least"),
+        F.col("place").alias(at), F.struct("n", "high", "low", "least").alias(found)
     )
-    joined = docs.withColumn("_place", _place(id_col, text_col)).join(once, "_place")
+    joined = docs.withColumn(at, _place(id_col, text_col)).join(once, at)
+    value = F.col(found)
     new = {
-        "n_shingles": F.col("_n"),
-        "class_id": F.col("_class"),
-        "component_id": F.coalesce("_least", F.col(f"`{id_col}`")),
+        "n_shingles": value["n"],
+        "class_id": F.lower(F.concat(F.hex(value["high"]), F.lit("-"), F.hex(value["low"]))),
+        "component_id": F.coalesce(value["least"], F.col(f"`{id_col}`")),
     }
-    return with_columns(joined, new).drop("_place", "_n", "_class", "_least")
+    return with_columns(joined, new).drop(at, found)
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rule: Rule = RULE
+) -> DataFrame:
     """``docs`` with one document of every component, that of the least id.
 
     Documents with empty sets all stay. Rows that share both id and text count once; a row with a
     null id stands for its component if that has no other.
     """
-    grouped = _grouped(docs, id_col, text_col)
+    grouped = _grouped(docs, id_col, text_col, rule)
+    (at,) = free_names(docs, "place")
     first = F.min(F.struct(F.col("id").isNull(), "id", "place")).getField("place")
     chosen = (
         grouped.groupBy(F.coalesce("component", "place").alias("group"), F.col("n") == 0)
-        .agg(first.alias("_place"))
-        .select("_place")
+        .agg(first.alias(at))
+        .select(at)
         .distinct()
     )
-    marked = docs.withColumn("_place", _place(id_col, text_col))
-    return marked.join(chosen, "_place").dropDuplicates(["_place"]).drop("_place")
+    marked = docs.withColumn(at, _place(id_col, text_col))
+    return marked.join(chosen, at).dropDuplicates([at]).drop(at)
 
 
 def _place(id_col: str, text_col: str) -> Column:
@@ -376,21 +428,24 @@ def _place(id_col: str, text_col: str) -> Column:
     return F.xxhash64(own_id, F.col(f"`{text_col}`"))
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _grouped(docs: DataFrame, id_col: str, text_col: str, rule: Rule) -> DataFrame:
     """``place, id, n, high, low, component, least`` of every document, without texts."""
     require(docs, [id_col, text_col])
     text = F.col(f"`{text_col}`")
     place = _place(id_col, text_col)
     sets = stored(
         docs.select(
-            F.col(f"`{id_col}`").alias("id"), place.alias("place"), _sketch_udf()(text).alias("s")
+            F.col(f"`{id_col}`").alias("id"),
+            place.alias("place"),
+            _sketch_udf(rule)(text).alias("s"),
         ).select("id", "place", "s.*")
     )
-    boundary = _boundary(sets)
+    boundary = _boundary(sets, rule)
     light = F.col("n") < boundary
     no_keys = F.array().cast("array<bigint>")
     subsets = F.when(light, F.col("subsets")).otherwise(no_keys)
-    parts = F.when(~light | (10 * F.col("n") >= 9 * boundary - 9), F.col("parts")).otherwise(no_keys)
+    near = 100 * F.col("n") >= rule.percent * (boundary - 1)
+    parts = F.when(~light | near, F.col("parts")).otherwise(no_keys)
     listed = sets.where("n > 0").select(
         F.col("high").alias("set"), F.explode(F.concat(subsets, parts)).alias("key")
     )
@@ -406,9 +461,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     clusters = chosen.groupBy("cluster").agg(
         F.sum(F.greatest("n", F.lit(LEAST_WEIGHT))).alias("total")
     )
-    members = _member_sets(docs, place, text, chosen)
+    members = _member_sets(docs, place, text, chosen, rule)
     named = F.xxhash64("high", "low").alias("node")
-    links = _links(members, clusters)
+    links = _links(members, clusters, rule)
     reached = components(links)
     with_node = sets.select("id", "place", "n", named, "high", "low").join(
         reached, "node", "left"
@@ -423,7 +478,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def _member_sets(docs: DataFrame, place: Column, text: Column, chosen: DataFrame) -> DataFrame:
+def _member_sets(
+    docs: DataFrame, place: Column, text: Column, chosen: DataFrame, rule: Rule
+) -> DataFrame:
     """``set, cluster, elements`` of one document of every class in a cluster."""
     picked = chosen.select(
         F.col("place").alias("_place"), "cluster", F.xxhash64("high", "low").alias("set")
@@ -435,7 +492,8 @@ def _member_sets(docs: DataFrame, place: Column, text: Column, chosen: DataFrame
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def elements(texts: pa.Array) -> pa.Array:
         hashes = WordHashes()
-        found = [shingle_set(split_lower(t.as_py()), hashes).view(np.int64) for t in texts]
+        sets = [shingle_set(split_lower(t.as_py()), hashes, rule.words) for t in texts]
+        found = [elements.view(np.int64) for elements in sets]
         return pa.array(found, pa.list_(pa.int64()))
 
     return rows.select("set", "cluster", elements.asNondeterministic()("text").alias("elements"))
