@@ -13,6 +13,8 @@ from trawl.llm import byte_bpe, decontamination, line_dedup, ngram_join, quality
 from trawl.llm.common import stored, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+# Near copies share four fifths of their runs of five words.
+NEAR_COPIES = ngram_join.Rule(words=5, percent=80)
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -33,8 +35,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of linked documents the one with the least id."""
-    return ngram_join.keep_one_of_each(docs).select(*COLUMNS)
+    """Of every group of near copies the one with the least id."""
+    return ngram_join.keep_one_of_each(docs, rule=NEAR_COPIES).select(*COLUMNS)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
