@@ -8,7 +8,12 @@ import numpy as np
 import pytest
 
 from tests.llm.cases import ODD, documents, lower, random_texts, split
-from trawl.llm.lattice_lm import SubwordLattice, fit_language_model, score_texts
+from trawl.llm.lattice_lm import (
+    SubwordLattice,
+    _frequent_words,
+    fit_language_model,
+    score_texts,
+)
 
 PIECES = ["▁a", "▁", "a", "b", "ab", "ba", "bab"]
 
@@ -94,3 +99,38 @@ def test_score_is_the_lattice_probability_and_learns(spark):
     before = score_texts(documents(spark, rows), model_0).where("doc_id = 0").first().score
     assert scored[0] > before
     assert score_texts(documents(spark, []), model).collect() == []
+
+
+def test_frequent_words_are_few_and_change_no_score(spark):
+    rows = [(i, t) for i, t in enumerate(random_texts(8, 80, vocabulary=60))]
+    model = fit_language_model(documents(spark, rows[:60]), rounds=1)
+    counts = Counter(w for _, t in rows[:60] for w in split(lower(t)))
+    results = []
+    for most in (0, 7, 10_000):
+        least, found = _frequent_words(model, most)
+        assert found.num_rows <= most
+        assert {r["word"].decode(): r["n"] for r in found.to_pylist()} == {
+            w: n for w, n in counts.items() if n >= least
+        }
+        scored = score_texts(documents(spark, rows), model, frequent_words=most).collect()
+        results.append({r.doc_id: (r.n_known, r.base_score, r.score) for r in scored})
+    for other in results[1:]:
+        for key, numbers in results[0].items():
+            assert other[key] == pytest.approx(numbers)
+
+
+def test_prefixes_are_found_as_by_a_dictionary():
+    rng = np.random.default_rng(3)
+    pieces = sorted({"".join(rng.choice(list("abcd"), rng.integers(1, 9))) for _ in range(3000)})
+    model = SubwordLattice(pieces, np.full(len(pieces) + 257, -5.0))
+    words = ["".join(rng.choice(list("abcde"), 7)) for _ in range(200)]
+    codes = np.array([[ord(c) for c in w] for w in words], np.uint64)
+    found = {
+        (words[w], start, end, pieces[p])
+        for start, end, own, piece in model._edges(codes)
+        for w, p in zip(own.tolist(), piece.tolist())
+    }
+    known = set(pieces)
+    assert found == {
+        (w, i, k, w[i:k]) for w in words for i in range(7) for k in range(i + 1, 8) if w[i:k] in known
+    }

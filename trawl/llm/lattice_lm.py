@@ -24,8 +24,10 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 # Rounds in which piece scores are fitted to the training words, and what every piece has at least.
 ROUNDS = 2
 PIECE_PRIOR = 0.5
-# Words of at least this share of the training tokens are broadcast: at most 1 / share words.
-FREQUENT_SHARE = 1 / 300_000
+# At most so many of the most frequent training words are broadcast, with counts and marginals.
+FREQUENT_WORDS = 200_000
+# Counts are told apart by this many steps per doubling when the frequent words are chosen.
+STEPS_PER_DOUBLING = 8
 # Words a worker counts before it passes them on, or remembers.
 COUNTED_WORDS = 100_000
 KNOWN_WORDS = 80_000
@@ -75,6 +77,25 @@ class SubwordLattice:
         order = np.lexsort((number, hashed))  # of a prefix that is a piece too, the piece
         last = np.append(hashed[order][1:] != hashed[order][:-1], True)
         self._prefixes, self._piece = hashed[order][last], number[order][last]
+        # Where prefixes with these leading bits begin, and how many places there are to look at.
+        self._shift = np.uint64(64 - max(8, len(self._prefixes).bit_length() + 2))
+        begins = np.arange((1 << (64 - int(self._shift))) + 1, dtype=np.uint64) << self._shift
+        self._begins = np.searchsorted(self._prefixes, begins[:-1]).astype(np.int32)
+        after = np.append(self._begins[1:], len(self._prefixes))
+        self._places = int((after - self._begins).max())
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which hashes are those of a prefix, and the places of these prefixes."""
+        at = self._begins[hashes >> self._shift]
+        last = len(self._prefixes) - 1
+        found = np.minimum(at, last)
+        for i in range(1, self._places):
+            nearer = self._prefixes[found] < hashes
+            if not nearer.any():
+                break
+            found = np.where(nearer, np.minimum(at + i, last), found)
+        known = np.flatnonzero(self._prefixes[found] == hashes)
+        return known, found[known]
 
     def end_score(self) -> float:
         return float(self._log[self.end])
@@ -87,10 +108,8 @@ class SubwordLattice:
             rolled = np.zeros(len(codes), np.uint64)
             for i in range(start, size):
                 rolled = _roll(rolled, codes[words, i])
-                at = np.searchsorted(self._prefixes, rolled)
-                at[at == len(self._prefixes)] = 0
-                known = self._prefixes[at] == rolled
-                words, rolled, piece = words[known], rolled[known], self._piece[at[known]]
+                known, at = self._find(rolled)
+                words, rolled, piece = words[known], rolled[known], self._piece[at]
                 if not len(words):
                     break
                 some = piece >= 0
@@ -267,11 +286,43 @@ def fit_language_model(
     )
 
 
+def _frequent_words(model: LanguageModel, most: int) -> tuple[int, pa.Table]:
+    """The least count of a frequent word, and ``word, n, marginal`` of all words of that count on.
+
+    These are at most ``most``, and any other word has no more than about ``1 / most`` of the tokens.
+    """
+    step = F.floor(F.log2("n") * STEPS_PER_DOUBLING)
+    steps = (
+        model.counts.groupBy(step.alias("step"))
+        .agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("least"))
+        .orderBy(F.desc("step"))
+        .collect()
+    )
+    taken, least = 0, model.tokens + 1
+    for row in steps:
+        taken += row["words"]
+        if taken > most:
+            break
+        least = row["least"]
+    shared = model.counts.sparkSession.sparkContext.broadcast((model.pieces, model.log_probs))
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = SubwordLattice(*shared.value)
+        for batch in batches:
+            words = [w.decode("utf-8", "replace") for w in batch.column("word").to_pylist()]
+            marginals = pa.array(lattice.marginals(words))
+            yield pa.record_batch([*batch.columns, marginals], names=["word", "n", "marginal"])
+
+    frequent = model.counts.where(F.col("n") >= least).select("word", "n")
+    return least, frequent.mapInArrow(weigh, "word binary, n bigint, marginal double").toArrow()
+
+
 def score_texts(
     docs: DataFrame,
     model: LanguageModel,
     text_col: str = "text",
     keep: Sequence[str] | None = None,
+    frequent_words: int = FREQUENT_WORDS,
 ) -> DataFrame:
     """``docs`` with ``n_tokens, n_known, train_tokens, base_score, score`` (replacing such columns).
 
@@ -286,15 +337,14 @@ def score_texts(
     Defined cases: null and empty texts have only their end; without training texts every count is
     0; each row is scored by itself, repeated rows alike; an empty table gives an empty one.
 
-    Words with a large share of the training tokens, of which there can only be few, are broadcast
-    with their counts. Those of the others that a document has travel as hashes and meet their
-    counts in a join, no key of which has more than that share of the tokens.
+    At most ``frequent_words`` of the most frequent training words are broadcast with their counts
+    and marginals. Those of the others that a document has travel as hashes and meet their counts in
+    a join, no key of which has more than about ``1 / frequent_words`` of the training tokens; a
+    worker works their marginals out as it meets them. The number changes the plan only.
     """
     require(docs, [text_col])
     spark = docs.sparkSession
-    least = max(1, math.ceil(model.tokens * FREQUENT_SHARE))
-    rows = model.counts.where(F.col("n") >= least).collect()
-    frequent = {bytes(r["word"]): r["n"] for r in rows}
+    least, frequent = _frequent_words(model, frequent_words)
     bottom = math.log10(model.tokens + 0.5 * (model.distinct + 1))
     shared = spark.sparkContext.broadcast(
         (frequent, model.pieces, model.log_probs, math.log10(model.texts + 0.5), model.texts > 0)
@@ -315,24 +365,27 @@ def score_texts(
         frequent, pieces, log_probs, end_base, end_known = shared.value
         if not memory:
             memory["lattice"] = SubwordLattice(pieces, log_probs)
-            memory["base"] = {word: math.log10(n + 0.5) for word, n in frequent.items()}
+            logged = np.log10(frequent["n"].to_numpy() + 0.5).tolist()
+            marginals = frequent["marginal"].to_pylist()
+            memory["often"] = dict(zip(frequent["word"].to_pylist(), zip(logged, marginals)))
             memory["known"] = {}
-        lattice, bases, known_words = memory["lattice"], memory["base"], memory["known"]
+        lattice, often, known_words = memory["lattice"], memory["often"], memory["known"]
         rare, times, ends = array("q"), array("i"), [0]
         numbers: list[tuple[int, int, float, float]] = []
         for i in range(0, len(texts), TEXTS_AT_ONCE):
             counters = [Counter(split_lower(t.as_py())) for t in texts[i : i + TEXTS_AT_ONCE]]
-            _remember(known_words, lattice, set().union(*counters))
+            _remember(known_words, lattice, set().union(*counters).difference(often))
             for counted in counters:
                 base, score, known = end_base, lattice.end_score(), int(end_known)
                 for word, n in counted.items():
-                    score += n * known_words[word]
-                    logged = bases.get(word)
-                    if logged is None:
+                    found = often.get(word)
+                    if found is None:
+                        score += n * known_words[word]
                         rare.append(_hash(word))
                         times.append(n)
                     else:
-                        base += n * logged
+                        base += n * found[0]
+                        score += n * found[1]
                         known += n
                 ends.append(len(rare))
                 numbers.append((counted.total() + 1, known, base, score / math.log(10)))
