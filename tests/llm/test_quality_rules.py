@@ -88,3 +88,21 @@ def test_forest_sets_outliers_apart():
     far = forest.scores(np.array([[9.0, 0, 0, 0], [0, 0, 0, 5.0]]))
     assert far.min() > forest.scores(rows).mean() + 0.1
     assert (forest.scores(rows[:5]) == IsolationForest(rows).scores(rows[:5])).all()
+
+
+def test_every_count_reaches_the_forest(spark):
+    rows, labels = labelled(spark)
+    model = fit_quality(
+        documents(spark, rows), spark.createDataFrame(labels, "doc_id bigint, quality int")
+    )
+    rng = random.Random(6)
+    words = sorted({w for i, t in rows if i % 7 for w in t.split()})
+    own = [rng.choice(words) for _ in range(108)]
+    shared = "\n".join(" ".join(own[i : i + 9]) + "\nShare this page" for i in range(0, 108, 9))
+    joined = " ".join("".join(own[i : i + 3]) for i in range(0, 108, 3))
+    planted = [(1, " ".join(own)), (2, shared), (3, joined)]
+    judged = {r.doc_id: r for r in judge_quality(documents(spark, planted), model).collect()}
+    assert not any(r.base_failed for r in judged.values())
+    assert judged[1].kept and not judged[2].kept
+    good = [r.score for r in judge_quality(documents(spark, rows), model).collect() if r.doc_id % 7]
+    assert min(judged[2].score, judged[3].score) > max(*good, judged[1].score)

@@ -75,6 +75,7 @@ def rule_statistics(text: str | None) -> tuple:
         if line.strip(SPACES):
             dup_lines += line in seen
             seen.add(line)
+    lines = len(seen) + dup_lines
     repeats = _repeat_words(words)
     upper, lower = _without(raw, _UPPER), _without(raw, _LOWER)
     distinct = len(set(words))
@@ -86,6 +87,10 @@ def rule_statistics(text: str | None) -> tuple:
         text.count("!") / some,
         upper / (upper + lower + 20.0),
         max(0.5, math.log(distinct + 1.0) / math.log(n + 2.0)),
+        math.log((word_chars + 25.0) / some),
+        dup_lines / (lines + 3.0),
+        math.log1p(dup_lines),
+        repeats / some,
     ]
     return n, word_chars, symbols, dup_lines, repeats, features
 
