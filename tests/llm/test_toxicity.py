@@ -109,3 +109,16 @@ def test_fold(spark):
 )
 def test_hits_are_quoted_inside_pairs_of_marks_only(text, quoted):
     assert [in_quotes for _, _, in_quotes, _ in ToxicityModel(["scoundrel"]).hits(text)] == [quoted]
+
+
+@pytest.mark.parametrize("mark", "“ ” „ « » ‹ ‘ ’ … — – ¡ ¿ 、 。 ！   　  ".split(" "))
+def test_marks_beyond_ascii_are_no_part_of_a_word(mark):
+    model = ToxicityModel(["scum", "scoundrel"])
+    for text in (f"you {mark}scum now", f"you scum{mark} now", f"you{mark}scoundrel{mark}now", f"a scum{mark}s"):
+        assert [(word, edits) for word, edits, _, _ in model.hits(text)] in ([("scum", 0)], [("scoundrel", 0)])
+    assert model.hits("scumé écum") == []
+
+
+def test_a_quoted_term_that_touches_its_marks():
+    quoted = [q for _, _, q, _ in ToxicityModel(["scum"]).hits("“scum” they said, scum… «scum»")]
+    assert quoted == [True, False, True]

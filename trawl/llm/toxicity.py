@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterable, Mapping
 
@@ -47,7 +48,12 @@ _CLOSERS = {
 _OPENERS = {c: [o for o, closers in _CLOSERS.items() if c in closers] for c in "\"“”«»‹›‘’"}
 _MARKS = "\"“”„«»‹›‘’‚"
 _MARK = re.compile(f"[{_MARKS}]")
-_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
+# Characters beyond ASCII that stand between words: punctuation and spaces of the basic plane.
+_BETWEEN = "".join(
+    re.escape(c) for c in map(chr, range(0x80, 0x10000)) if unicodedata.category(c)[0] in "PZ"
+)
+_GAPS = re.compile(f"[{_BETWEEN}]+")
+_WORD = re.compile(f"[^\x00-\x2f\x3a-\x60\x7b-\x7f{_BETWEEN}]+")
 _TO_WORDS = bytes(c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 N_FEATURES = 7
 # Features that only ever speak for toxicity: different words hit outside quotes.
@@ -55,7 +61,10 @@ N_EVIDENCE = 5
 
 
 def _words(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "replace").translate(_TO_WORDS).split()
+    lowered = (text or "").lower()
+    if not lowered.isascii():
+        lowered = _GAPS.sub(" ", lowered)
+    return lowered.encode("utf-8", "replace").translate(_TO_WORDS).split()
 
 
 def quotations(text: str) -> list[tuple[int, int]]:
@@ -208,12 +217,11 @@ class ToxicityModel:
         quotes = quotations(lowered)
         opens = [start for start, _ in quotes]
         hits = []
-        for i, (word, start, _) in enumerate(words):
+        for i, (word, start, end) in enumerate(words):
             if word in found:
                 near = words[max(0, i - CONTEXT_WORDS) : i] + words[i + 1 : i + 1 + CONTEXT_WORDS]
-                inside = start + len(word) - len(word.lstrip(_MARKS))
-                last = bisect_left(opens, inside) - 1
-                quoted = last >= 0 and quotes[last][1] >= start + len(word.rstrip(_MARKS))
+                last = bisect_left(opens, start) - 1
+                quoted = last >= 0 and quotes[last][1] >= end
                 around = [w for w, _, _ in near if w not in found]
                 hits.append((word, known[word.encode("utf-8", "replace")], quoted, around))
         return hits
