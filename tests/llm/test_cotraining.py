@@ -84,3 +84,15 @@ def test_features_have_one_form():
         assert len(content_features(text, shapes)) == N_CONTENT
         assert len(metadata_features(text, None, None, None)) == N_METADATA
     assert shapes[b"Word,"] == shapes[b"Other,"] != shapes[b"WORD!!"]
+
+
+def test_words_are_read_whole():
+    from trawl.llm.cotraining import SHAPES, _Shapes, content_features
+
+    clean, shapes = "字" * 6400, _Shapes()
+    junk = clean[:64] + "aB3$" * 1600
+    one, other = (np.array(content_features(t, shapes)[:SHAPES]) for t in (clean, junk))
+    assert np.abs(one - other).max() > 0.5
+    # A word of up to 64 characters counts once, whatever its length.
+    some = np.array(content_features("ab cd " + "e" * 64, shapes)[:SHAPES]) ** 2 * (3 + 5.0)
+    assert sorted(some.round(6))[-1] == 3.0

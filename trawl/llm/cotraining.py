@@ -32,19 +32,21 @@ SHAPES = 48
 SOURCES = 32
 LANGS = 12
 KNOWN_WORDS = 100_000
+# Longer words count as so many pieces of this many characters.
+PIECE_CHARS = 64
 
 _RUN = re.compile(r"(.)\1*")
 
 
 class _Shapes(dict):
-    """The bucket of a word's shape: its kinds of characters, runs of one kind made one."""
+    """The bucket of a word's or a piece's shape: its kinds of characters, runs of one kind made one."""
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= KNOWN_WORDS:
             self.clear()
         kinds = "".join(
             "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-            for c in word.decode("utf-8", "replace")[:64]
+            for c in word.decode("utf-8", "replace")
         )
         shape = _RUN.sub(r"\1", kinds)
         found = xxhash.xxh32_intdigest(shape.encode("utf-8")) % SHAPES
@@ -52,6 +54,15 @@ class _Shapes(dict):
         return found
 
 
+def _pieces(word: bytes) -> list[bytes]:
+    """A long word in pieces, so that texts without spaces are described whole."""
+    if len(word) <= PIECE_CHARS:
+        return [word]
+    chars = word.decode("utf-8", "replace")
+    cuts = range(0, len(chars), PIECE_CHARS)
+    return [chars[i : i + PIECE_CHARS].encode("utf-8") for i in cuts]
+
+
 def content_features(text: str | None, shapes: _Shapes) -> list[float]:
     """What the words of a text look like, and how much of it repeats."""
     words = split_words(text)
@@ -59,12 +70,13 @@ def content_features(text: str | None, shapes: _Shapes) -> list[float]:
     counts = Counter(words)
     histogram = [0.0] * SHAPES
     for word, times in counts.items():
-        histogram[shapes[word]] += times
-    some = n + 5.0
+        for piece in _pieces(word):
+            histogram[shapes[piece]] += times
+    some, all_pieces = n + 5.0, sum(histogram) + 5.0
     pairs = len(set(zip(words, words[1:], words[2:])))
     most = max(counts.values(), default=0)
     return [
-        *[math.sqrt(h / some) for h in histogram],
+        *[math.sqrt(h / all_pieces) for h in histogram],
         math.log(len(counts) + 1.0) / math.log(n + 2.0),
         (pairs + 3.0) / (max(n - 2, 0) + 3.0),
         most / some,
