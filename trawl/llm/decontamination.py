@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from trawl.llm.common import require, table, with_columns
+from trawl.llm.common import free_names, require, table, with_columns
 
 WINDOW = 10
 # Benchmark text that goes in one automaton; a larger benchmark is matched in several rounds.
@@ -245,35 +245,36 @@ def decontaminate(
     for automaton in _automata(
         benchmark, item_id_col, item_text_col, window, chars_per_automaton
     ):
-        name = f"_found_{len(rounds)}"
+        name = free_names(docs, f"found_{len(rounds)}")[0]
         found = found.withColumn(name, _finder(spark, automaton)(text))
         rounds.append(name)
+    words_, spans_, items_, cut_ = free_names(docs, "n_words", "spans", "items", "cut")
     merged = _merge([F.col(f"{name}.spans") for name in rounds])
     items = F.array_sort(F.array_distinct(F.flatten(F.array(*[f"{n}.items" for n in rounds]))))
     found = found.withColumns(
-        {"_n_words": F.col(f"{rounds[0]}.n_words"), "_spans": merged, "_items": items}
+        {words_: F.col(f"{rounds[0]}.n_words"), spans_: merged, items_: items}
     )
     length = lambda s: s["after"] - s["first"]
-    n_hit = F.aggregate("_spans", F.lit(0).cast("bigint"), lambda n, s: n + length(s))
+    n_hit = F.aggregate(spans_, F.lit(0).cast("bigint"), lambda n, s: n + length(s))
     to_cut = F.filter(
-        "_spans",
+        spans_,
         lambda s: (length(s) >= least_words)
-        | (length(s) >= F.lit(least_coverage) * F.col("_n_words")),
+        | (length(s) >= F.lit(least_coverage) * F.col(words_)),
     )
-    kept = found.withColumn("_cut", to_cut)
-    clean = F.when(F.size("_cut") > 0, _cut(text, F.col("_cut"))).otherwise(text)
+    kept = found.withColumn(cut_, to_cut)
+    clean = F.when(F.size(cut_) > 0, _cut(text, F.col(cut_))).otherwise(text)
     marked = with_columns(
         kept,
         {
-            "n_words": F.col("_n_words"),
+            "n_words": F.col(words_),
             "n_hit": n_hit,
-            "items": F.col("_items"),
-            "n_items": F.size("_items").cast("bigint"),
-            "contaminated": F.size("_spans") > 0,
+            "items": F.col(items_),
+            "n_items": F.size(items_).cast("bigint"),
+            "contaminated": F.size(spans_) > 0,
             "clean_text": clean,
         },
     )
-    return marked.drop(*rounds, "_n_words", "_spans", "_items", "_cut")
+    return marked.drop(*rounds, words_, spans_, items_, cut_)
 
 
 def _merge(spans: list[Column]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trawl.llm.common import SPACES, ascii_lower, require, with_columns
+from trawl.llm.common import SPACES, ascii_lower, free_names, require, with_columns
 
 MIN_DOCS = 10
 MIN_CHARS = 1
@@ -50,44 +50,47 @@ def drop_common_lines(
     shuffled once, placed by id and content: neither a hot id nor a hot text fills a task.
     """
     require(docs, [id_col, text_col])
+    place_, hex_, key_, docs_, drops_, lines_, kept_, text_, dropped_ = free_names(
+        docs, "place", "hex", "key", "docs", "drops", "lines", "kept", "text", "dropped"
+    )
     text = F.col(f"`{text_col}`")
     own_id = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
     place = F.xxhash64(own_id, text)
     keyed = docs.select(
-        place.alias("_place"), F.explode(line_keys(text, min_chars)).alias("_hex")
-    ).select("_place", F.unhex("_hex").alias("_key"))
+        place.alias(place_), F.explode(line_keys(text, min_chars)).alias(hex_)
+    ).select(place_, F.unhex(hex_).alias(key_))
     common = (
-        keyed.groupBy("_key")
-        .agg(F.count(F.lit(1)).alias("_docs"))
-        .where(F.col("_docs") >= min_docs)
-        .select("_key")
+        keyed.groupBy(key_)
+        .agg(F.count(F.lit(1)).alias(docs_))
+        .where(F.col(docs_) >= min_docs)
+        .select(key_)
     )
     drops = (
-        keyed.join(common, "_key", "left_semi")
-        .groupBy("_place")
-        .agg(F.collect_set(F.lower(F.hex("_key"))).alias("_drops"))
+        keyed.join(common, key_, "left_semi")
+        .groupBy(place_)
+        .agg(F.collect_set(F.lower(F.hex(key_))).alias(drops_))
     )
-    joined = docs.withColumn("_place", place).join(drops, "_place", "left")
+    joined = docs.withColumn(place_, place).join(drops, place_, "left")
     lines = _lines(text)
     kept = F.filter(
-        lines, lambda line: ~F.array_contains(F.col("_drops"), _key(ascii_lower(line)))
+        lines, lambda line: ~F.array_contains(F.col(drops_), _key(ascii_lower(line)))
     )
-    has_drops = F.col("_drops").isNotNull()
+    has_drops = F.col(drops_).isNotNull()
     marked = joined.withColumns(
         {
-            "_lines": F.size(lines).cast("bigint"),
-            "_kept": F.when(has_drops, kept),
+            lines_: F.size(lines).cast("bigint"),
+            kept_: F.when(has_drops, kept),
         }
     )
-    new_text = F.when(has_drops, F.array_join("_kept", "\n")).otherwise(
+    new_text = F.when(has_drops, F.array_join(kept_, "\n")).otherwise(
         F.coalesce(text, F.lit(""))
     )
-    dropped = F.when(has_drops, F.col("_lines") - F.size("_kept")).otherwise(F.lit(0))
-    result = marked.withColumns({"_text": new_text, "_dropped": dropped.cast("bigint")})
+    dropped = F.when(has_drops, F.col(lines_) - F.size(kept_)).otherwise(F.lit(0))
+    result = marked.withColumns({text_: new_text, dropped_: dropped.cast("bigint")})
     columns = {c: F.col(f"`{c}`") for c in docs.columns}
-    columns[text_col] = F.col("_text")
+    columns[text_col] = F.col(text_)
     out = with_columns(
-        result, {"n_lines": F.col("_lines"), "n_dropped": F.col("_dropped")}
+        result, {"n_lines": F.col(lines_), "n_dropped": F.col(dropped_)}
     )
     plain = [columns[c].alias(c) for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
     return out.select(*plain, "n_lines", "n_dropped")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trawl.llm.common import require, table, with_columns
+from trawl.llm.common import free_names, require, table, with_columns
 from trawl.llm.hashing import WordHashes, mix, runs, split_words
 
 WINDOW = 13
@@ -356,8 +356,9 @@ def drop_repeated_passages(
     spark = docs.sparkSession
     own_id = F.col(f"`{id_col}`").cast("bigint")
     text = F.col(f"`{text_col}`")
-    base = docs.withColumns({"_id": own_id, "_text": text, "_place": F.xxhash64(own_id, text)})
-    texts = base.select(F.col("_id").alias("id"), F.col("_place").alias("place"), F.col("_text").alias("text"))
+    place_, own_place_, cut_ = free_names(docs, "place", "own_place", "cut")
+    base = docs.withColumn(own_place_, F.xxhash64(own_id, text))
+    texts = base.select(own_id.alias("id"), F.col(own_place_).alias("place"), text.alias("text"))
     anchors = (
         texts.where("id IS NOT NULL")
         .select("id", "text")
@@ -383,17 +384,17 @@ def drop_repeated_passages(
         .agg(F.collect_list(F.struct("place", "start", "stop")).alias("spans"))
     )
     joined = texts.join(spans.hint("shuffle_hash"), "id", "left")
-    cut = joined.select("id", "place", _cut("place", "text", "spans").alias("cut"))
+    cut = joined.select("id", "place", _cut("place", "text", "spans").alias(cut_))
     new = {
-        "n_words": F.col("cut.n_words"),
-        "n_removed": F.col("cut.n_removed"),
-        "kept_text": F.col("cut.kept"),
+        "n_words": F.col(f"{cut_}.n_words"),
+        "n_removed": F.col(f"{cut_}.n_removed"),
+        "kept_text": F.col(f"{cut_}.kept"),
     }
     if {c.lower() for c in docs.columns} <= {id_col.lower(), text_col.lower()}:
         return with_columns(cut.withColumn(id_col, F.col("id")), new).select(id_col, *new)
-    once = cut.dropDuplicates(["place"]).select("place", "cut")
-    back = base.join(once, base["_place"] == once["place"])
-    return with_columns(back, new).drop("_id", "_text", "_place", "place", "cut")
+    once = cut.dropDuplicates(["place"]).select(F.col("place").alias(place_), cut_)
+    back = base.join(once, F.col(own_place_) == F.col(place_))
+    return with_columns(back, new).drop(own_place_, place_, cut_)
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
