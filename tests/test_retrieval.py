@@ -316,3 +316,13 @@ def test_scores_that_fall_with_the_frequency(spark, toy, toy_titles, folder):
             for i, p in ((stored, True), (stored, False))
         ]
         assert found[0] == found[1] and len(found[0][0]) == limit
+
+
+def test_a_term_of_many_queries_matches_a_posting_once(spark):
+    docs = spark.createDataFrame([(i, "tea cup") for i in range(5)], "id long, text string")
+    asked = retrieval.query_terms(ask(spark, "tea", "tea cup tea", "cup", "tea"))
+    terms = retrieval.each_term(asked)
+    assert terms.table.columns == asked.table.columns
+    found = retrieval.matching_postings(terms, indexing.build_index(docs, "text"))
+    rows = sorted(tuple(r) for r in found.select("term", "doc_id", "tf").collect())
+    assert rows == [(t, i, 1) for t in ("cup", "tea") for i in range(5)]

@@ -139,3 +139,22 @@ def test_few_buckets_for_short_texts(spark, folder):
     assert index_store.read_index(spark, folder).segments[0].bounds.agg(F.sum("n")).first()[0] == len(
         by_hand(texts(0, 5))
     )
+
+
+def plan_of(rows):
+    return rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_lone_segment_is_numbered_by_its_places_and_pieces(spark, folder):
+    docs = texts(0, 40)
+    stored(spark, docs, folder, rows_per_range=9)
+    index = index_store.read_index(spark, folder)
+    assert index.ranges > 2 and postings(index) == by_hand(docs)
+    assert "row_number" not in plan_of(index.postings)
+
+
+def test_ranges_are_found_for_documents_and_not_for_postings(spark):
+    index = indexing.build_index(table(spark, texts(0, 40)), "text", rows_per_range=9)
+    plan = plan_of(index.all_postings)
+    assert "aggregate(" in plan.split("Generate")[-1]
+    assert "aggregate(" not in plan.split("Generate")[0]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 from typing import Optional
 
@@ -90,6 +90,13 @@ def query_terms(queries: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> Que
     return QueryTerms(table, n_rows <= BROADCAST_ROWS, n_rows, n_queries, vocabulary)
 
 
+def each_term(terms: QueryTerms) -> QueryTerms:
+    """The terms with one row each, that of their least query: a posting is then matched once."""
+    least = [F.min(c).alias(c) for c in ("query_id", "uses", "qpos")]
+    table = terms.table.groupBy("term").agg(*least).select(*terms.table.columns)
+    return replace(terms, table=table)
+
+
 def matching_postings(
     terms: QueryTerms,
     index: FieldIndex,
