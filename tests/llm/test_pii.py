@@ -7,7 +7,15 @@ import numpy as np
 import pytest
 
 from tests.llm.cases import ODD, documents
-from trawl.llm.pii import KINDS, BoostedTrees, all_spans, base_spans, find_pii, fit_pii
+from trawl.llm.pii import (
+    KINDS,
+    BoostedTrees,
+    all_spans,
+    base_spans,
+    find_pii,
+    fit_pii,
+    labelled_candidates,
+)
 
 # The base patterns.
 PATTERNS = {
@@ -124,3 +132,35 @@ def test_odd_documents_and_empty_table(spark):
     assert all(r.redacted_text == r.text for r in found)
     assert find_pii(documents(spark, []), model).collect() == []
     assert fit_pii(documents(spark, [])).trees == []
+
+
+def test_trees_and_threshold_come_from_all_candidates(spark):
+    """Counts, edges, trees and threshold are those of all different candidates, sample or not."""
+    rng = random.Random(7)
+    rows = []
+    for i in range(1400):
+        card, phone = luhn_number(rng), f"+1 ({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
+        rows.append((i, f"call {phone} or {card} or u{rng.randrange(10**6)}@mail.example.com now"))
+    labelled = {}
+    for _, text in rows:
+        for value, features, wanted in labelled_candidates(text):
+            labelled[value, tuple(features)] = (value, features, wanted)
+    assert len(labelled) > 20_000
+    table = spark.createDataFrame(list(labelled.values()), "value string, f array<double>, wanted int")
+    table = table.selectExpr("f", "wanted", "pmod(xxhash64(value), 5) = 0 AS held").toPandas()
+    features, held = np.array(table["f"].tolist()), table["held"].to_numpy()
+    wanted = table["wanted"].to_numpy(float)
+    whole = BoostedTrees()
+    whole.fit(features[~held], wanted[~held])
+    whole.calibrate(whole.scores(features[held]), wanted[held])
+    model = fit_pii(documents(spark, rows))
+    assert model.start == whole.start and model.threshold == pytest.approx(whole.threshold, abs=1e-6)
+    assert all(np.array_equal(a, b) for a, b in zip(model.edges, whole.edges, strict=True))
+    assert np.allclose(model.scores(features), whole.scores(features), atol=1e-4)
+
+
+def luhn_number(rng):
+    while True:
+        digits = str(rng.randrange(10**15, 10**16))
+        if luhn(digits):
+            return digits

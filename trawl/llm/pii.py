@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,12 +16,12 @@ from trawl.llm.common import require, stored, table, with_columns
 
 KINDS = ("email", "ip", "card", "phone")
 
-# The trees are fitted on at most so many candidates, which a hash picks from all documents.
-SAMPLE_CANDIDATES = 20_000
 TREES = 60
 DEPTH = 3
 RATE = 0.2
 BINS = 32
+# Slopes are added up as whole multiples of a unit, which are exact in any order.
+UNIT = 2.0**24
 LEAST_PRECISION = 0.995
 LEAST_SCORE = 0.5
 
@@ -151,6 +151,28 @@ def span_features(text: str, span: Span) -> list[float]:
     ]
 
 
+def _best_split(slope: np.ndarray, curve: np.ndarray) -> tuple[int, int]:
+    """Feature and bin that split a node best, from its sums by feature and bin."""
+    g, h = slope[0].sum(), curve[0].sum()
+    best, found = 1e-6, (0, BINS)
+    for f in range(len(slope)):
+        left_g, left_h = np.cumsum(slope[f])[:-1], np.cumsum(curve[f])[:-1]
+        right_g, right_h = g - left_g, h - left_h
+        gain = left_g**2 / (left_h + 1) + right_g**2 / (right_h + 1) - g**2 / (h + 1)
+        if gain.max() > best:
+            best, found = float(gain.max()), (f, int(gain.argmax()))
+    return found
+
+
+def _halves(slope: np.ndarray, curve: np.ndarray, f: int, split: int) -> list[tuple[float, float]]:
+    """Slope and curve of the two sides of a split."""
+    cut = split + 1
+    return [
+        (slope[f, :cut].sum(), curve[f, :cut].sum()),
+        (slope[f, cut:].sum(), curve[f, cut:].sum()),
+    ]
+
+
 @dataclass
 class BoostedTrees:
     """Gradient boosting on the logistic loss, with trees of one depth over binned features."""
@@ -159,6 +181,7 @@ class BoostedTrees:
     trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
     start: float = 0.0
     threshold: float = 2.0
+    growing: tuple[int, np.ndarray, np.ndarray] | None = None
 
     def _binned(self, rows: np.ndarray) -> np.ndarray:
         return np.stack(
@@ -170,45 +193,52 @@ class BoostedTrees:
             np.unique(np.quantile(rows[:, f], np.linspace(0, 1, BINS + 1)[1:-1]))
             for f in range(rows.shape[1])
         ]
-        binned = self._binned(rows)
-        share = np.clip(wanted.mean(), 1e-6, 1 - 1e-6)
-        self.start = float(np.log(share / (1 - share)))
-        margin = np.full(len(rows), self.start)
-        for _ in range(TREES):
-            p = 1 / (1 + np.exp(-margin))
-            tree = self._grow(binned, wanted - p, p * (1 - p))
-            self.trees.append(tree)
-            margin += tree[2][self._leaves(binned, tree)]
+        binned, ones = self._binned(rows), np.ones(len(rows))
+        self.grow(len(rows), float(wanted.sum()), lambda: self.sums(binned, ones, wanted))
 
-    @staticmethod
-    def _grow(binned: np.ndarray, slope: np.ndarray, curve: np.ndarray):
-        """Feature and bin to split by of every inner node, and the value of every leaf."""
+    def grow(self, n: int, n_wanted: float, sums: Callable[[], np.ndarray]) -> None:
+        """Adds the trees, level by level; ``sums`` adds up all rows for the trees as they are."""
+        share = np.clip(n_wanted / n, 1e-6, 1 - 1e-6)
+        self.start = float(np.log(share / (1 - share)))
         inner = 2**DEPTH - 1
-        feature = np.zeros(inner, dtype=int)
-        split = np.full(inner, BINS)
+        for _ in range(TREES):
+            feature, split = np.zeros(inner, dtype=int), np.full(inner, BINS)
+            for level in range(DEPTH):
+                self.growing = (level, feature, split)
+                slope, curve = np.moveaxis(sums() / UNIT, -1, 0)
+                for i, at in enumerate(range(2**level - 1, 2 ** (level + 1) - 1)):
+                    feature[at], split[at] = _best_split(slope[i], curve[i])
+            last = range(2 ** (DEPTH - 1))
+            ends = [_halves(slope[i], curve[i], feature[i - len(last)], split[i - len(last)]) for i in last]
+            g, h = np.moveaxis(np.array(ends).reshape(-1, 2), -1, 0)
+            self.trees.append((feature, split, RATE * g / (h + 1)))
+        self.growing = None
+
+    def sums(self, binned: np.ndarray, n: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Slope and curve of the loss by node of the level that grows, feature and bin.
+
+        A row stands for ``n`` candidates, ``wanted`` of which are. Sums are of whole numbers, so
+        that neither order nor placing of rows can change a tree.
+        """
+        level, feature, split = self.growing
+        p = 1 / (1 + np.exp(-self._margin(binned)))
+        values = np.rint((wanted - n * p) * UNIT), np.rint(n * p * (1 - p) * UNIT)
         node = np.zeros(len(binned), dtype=int)
-        for level in range(DEPTH):
-            for at in range(2**level - 1, 2 ** (level + 1) - 1):
-                mine = node == at
-                if not mine.any():
-                    continue
-                g, h = slope[mine], curve[mine]
-                best = 1e-6
-                for f in range(binned.shape[1]):
-                    left_g = np.cumsum(np.bincount(binned[mine, f], g, BINS))[:-1]
-                    left_h = np.cumsum(np.bincount(binned[mine, f], h, BINS))[:-1]
-                    right_g, right_h = g.sum() - left_g, h.sum() - left_h
-                    gain = left_g**2 / (left_h + 1) + right_g**2 / (right_h + 1)
-                    gain -= g.sum() ** 2 / (h.sum() + 1)
-                    if gain.max() > best:
-                        best = float(gain.max())
-                        feature[at], split[at] = f, int(gain.argmax())
-            right = binned[np.arange(len(binned)), feature[node]] > split[node]
-            node = 2 * node + 1 + right
-        leaf = node - inner
-        g = np.bincount(leaf, slope, 2**DEPTH)
-        h = np.bincount(leaf, curve, 2**DEPTH)
-        return feature, split, RATE * g / (h + 1)
+        for _ in range(level):
+            node = 2 * node + 1 + (binned[np.arange(len(binned)), feature[node]] > split[node])
+        node -= 2**level - 1
+        out = np.zeros((2**level, binned.shape[1], BINS, 2), dtype=np.int64)
+        for f in range(binned.shape[1]):
+            cell = node * BINS + binned[:, f]
+            for i, value in enumerate(values):
+                out[:, f, :, i] = np.bincount(cell, value, 2**level * BINS).reshape(-1, BINS)
+        return out
+
+    def _margin(self, binned: np.ndarray) -> np.ndarray:
+        margin = np.full(len(binned), self.start)
+        for tree in self.trees:
+            margin += tree[2][self._leaves(binned, tree)]
+        return margin
 
     @staticmethod
     def _leaves(binned: np.ndarray, tree) -> np.ndarray:
@@ -219,11 +249,7 @@ class BoostedTrees:
         return node - (2**DEPTH - 1)
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
-        binned = self._binned(rows)
-        margin = np.full(len(rows), self.start)
-        for tree in self.trees:
-            margin += tree[2][self._leaves(binned, tree)]
-        return 1 / (1 + np.exp(-margin))
+        return 1 / (1 + np.exp(-self._margin(self._binned(rows))))
 
     def calibrate(self, scores: np.ndarray, wanted: np.ndarray) -> None:
         """The least score from which on enough of the held-out candidates are wanted ones."""
@@ -358,14 +384,101 @@ def labelled_candidates(text: str | None) -> list[tuple[str, list[float], int]]:
     return rows
 
 
-def fit_pii(
-    docs: DataFrame, text_col: str = "text", sample_candidates: int = SAMPLE_CANDIDATES
-) -> BoostedTrees:
-    """Fits the trees on candidates of which ``labelled_candidates`` knows what they are.
+def _running(rows: DataFrame, group: str, piece: Column, order: Column, *counts: str) -> DataFrame:
+    """``rows`` with ``upto_<count>``: counts added up within the group, in order.
+
+    ``piece`` cuts a group into a bounded number of pieces, in the same order, so that a task sorts
+    a piece and not a group.
+    """
+    rows = rows.withColumn("piece", piece)
+    earlier = Window.partitionBy(group).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy(group, "piece").agg(*[F.sum(c).alias(c) for c in counts])
+    before = before.select(
+        group, "piece", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_{c}") for c in counts]
+    )
+    inside = Window.partitionBy(group, "piece").orderBy(order)
+    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = {f"upto_{c}": F.sum(c).over(inside) + F.col(f"_{c}") for c in counts}
+    # At most so many rows as there are pieces, whatever the input.
+    return rows.join(F.broadcast(before), [group, "piece"]).withColumns(upto)
+
+
+def _edges(features: DataFrame, n: int) -> list[np.ndarray]:
+    """Quantiles of every feature over all ``n`` rows, as ``numpy.quantile`` gives them."""
+    places = np.linspace(0, 1, BINS + 1)[1:-1] * (n - 1)
+    low = np.floor(places).astype(int)
+    high = np.minimum(low + 1, n - 1)
+    values = features.select(F.posexplode("features").alias("f", "value"))
+    values = values.groupBy("f", "value").agg(F.count(F.lit(1)).alias("n"))
+    piece = F.floor(F.log2(F.col("value") + 1) * 8)  # no feature is less than 0
+    ranked = _running(values, "f", piece, F.asc("value"), "n")
+    wanted = F.lit(sorted({*low.tolist(), *high.tolist()})).cast("array<bigint>")
+    upto = F.col("upto_n")
+    ranked = ranked.where(F.exists(wanted, lambda r: (r >= upto - F.col("n")) & (r < upto)))
+    found: dict[int, list[tuple[int, float]]] = {}
+    for row in ranked.select("f", "upto_n", "value").collect():
+        found.setdefault(row["f"], []).append((row["upto_n"], row["value"]))
+    share = places - low
+    edges = []
+    for f in sorted(found):
+        ends, at = (np.array(c) for c in zip(*sorted(found[f])))
+        a, b = (at[np.searchsorted(ends, r, "right")] for r in (low, high))
+        between = np.where(share >= 0.5, b - (b - a) * (1 - share), a + (b - a) * share)
+        edges.append(np.unique(between))
+    return edges
+
+
+def _unpacked(frame: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(frame["bins"]), np.uint8).reshape(-1, N_FEATURES).astype(int)
+
+
+def _grow_on(model: BoostedTrees, rows: DataFrame, n: int, n_wanted: int) -> None:
+    """Grows the trees on all ``rows`` (``bins, n, wanted``), whose tasks add up their own ones."""
+
+    def sums() -> np.ndarray:
+        def partial(batches):
+            total = 0
+            for frame in batches:
+                counts = frame["n"].to_numpy(float), frame["wanted"].to_numpy(float)
+                total = total + model.sums(_unpacked(frame), *counts)
+            if not isinstance(total, int):
+                flat = total.reshape(-1, 2)
+                cell = np.flatnonzero(flat.any(axis=1))
+                yield pd.DataFrame({"cell": cell, "g": flat[cell, 0], "h": flat[cell, 1]})
+
+        cells = rows.mapInPandas(partial, "cell int, g bigint, h bigint")
+        cells = cells.groupBy("cell").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).toPandas()
+        out = np.zeros((2 ** model.growing[0] * N_FEATURES * BINS, 2))
+        out[cells["cell"]] = cells[["g", "h"]]
+        return out.reshape(-1, N_FEATURES, BINS, 2)
+
+    model.grow(n, n_wanted, sums)
+
+
+def _calibrate_on(model: BoostedTrees, rows: DataFrame) -> None:
+    """``calibrate`` on all held-out ``rows`` (``bins, n, wanted``)."""
+
+    def score(batches):
+        for frame in batches:
+            scores = 1 / (1 + np.exp(-model._margin(_unpacked(frame))))
+            yield pd.DataFrame({"score": scores, "n": frame["n"], "wanted": frame["wanted"]})
+
+    scored = rows.mapInPandas(score, "score double, n bigint, wanted bigint").groupBy("score")
+    scored = scored.agg(F.sum("n").alias("n"), F.sum("wanted").alias("wanted"))
+    piece = -F.floor(F.col("score") * 1000)
+    ranked = _running(scored.withColumn("all", F.lit(0)), "all", piece, F.desc("score"), "n", "wanted")
+    good = ranked.where(F.col("upto_wanted") / F.col("upto_n") >= LEAST_PRECISION)
+    least = good.agg(F.min("score")).first()[0]
+    model.threshold = 2.0 if least is None else max(LEAST_SCORE, least)
+
+
+def fit_pii(docs: DataFrame, text_col: str = "text") -> BoostedTrees:
+    """Fits the trees on the candidates of which ``labelled_candidates`` knows what they are.
 
-    All of them lie outside base spans, as do those the trees are asked about. ``sample_candidates``
-    bounds them; a hash picks them from all different ones of all documents, and only about so many
-    come to the driver. A fifth of the values they come from calibrates the threshold. Without both labels the trees select nothing.
+    All of them lie outside base spans, as do those the trees are asked about, and all different
+    ones of all documents count once. They stay with the tasks, which send sums by node, feature and
+    bin to the driver. A fifth of the values they come from calibrates the threshold. Without both
+    labels the trees select nothing.
     """
 
     def label(batches):
@@ -376,24 +489,33 @@ def fit_pii(
     texts = docs.select(F.col(f"`{text_col}`").alias("text"))
     labelled = texts.mapInPandas(label, "value string, features array<double>, wanted int")
     hashed = labelled.withColumn("h", F.xxhash64("value", "features"))
-    once = stored(hashed.groupBy("h").agg(*[F.first(c).alias(c) for c in labelled.columns]))
-    at = F.shiftright("h", 48)
-    counts = sorted(tuple(r) for r in once.groupBy(at.alias("at")).count().collect())
-    ends = np.cumsum([n for _, n in counts])
-    last = min(int(np.searchsorted(ends, sample_candidates)), len(counts) - 1)
-    rows = []
-    if counts:
-        picked = once.where(at <= counts[last][0])
-        rows = picked.withColumn("fold", F.pmod(F.xxhash64("value"), F.lit(5))).collect()
-        rows = sorted(rows, key=lambda r: r["h"])[:sample_candidates]
+    once = hashed.groupBy("h").agg(*[F.first(c).alias(c) for c in labelled.columns])
+    held = F.pmod(F.xxhash64("value"), F.lit(5)) == 0
+    once = stored(once.select("features", "wanted", held.alias("held")))
+    counts = {
+        (r["held"], r["wanted"]): r["count"] for r in once.groupBy("held", "wanted").count().collect()
+    }
     model = BoostedTrees()
-    wanted = np.array([r["wanted"] for r in rows], dtype=float)
-    held = np.array([r["fold"] == 0 for r in rows], dtype=bool)
-    if len(rows) and len(set(wanted[~held])) == 2:
-        features = np.array([r["features"] for r in rows])
-        model.fit(features[~held], wanted[~held])
-        if held.any():
-            model.calibrate(model.scores(features[held]), wanted[held])
+    n = [counts.get((False, label), 0) for label in (0, 1)]
+    if not all(n):
+        return model
+    model.edges = _edges(once.where(~F.col("held")), sum(n))
+
+    def pack(batches):
+        for frame in batches:
+            bins = model._binned(np.array(frame["features"].tolist())).astype(np.uint8)
+            packed = [row.tobytes() for row in bins]
+            yield pd.DataFrame({"bins": packed, "wanted": frame["wanted"], "held": frame["held"]})
+
+    binned = once.mapInPandas(pack, "bins binary, wanted int, held boolean")
+    # The trees cannot tell candidates of the same bins apart: one row with their counts.
+    counted = binned.groupBy("bins", "held").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("wanted").alias("wanted")
+    )
+    rows = stored(counted)
+    _grow_on(model, rows.where(~F.col("held")).select("bins", "n", "wanted"), sum(n), n[1])
+    if any(is_held for is_held, _ in counts):
+        _calibrate_on(model, rows.where("held").select("bins", "n", "wanted"))
     return model
 
 
