@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SAMPLE
 from tests.test_text import python_tokens
 from trawl.operators import indexing
-from trawl.operators.numbering import IdRanges, measure_id_ranges
+from trawl.operators.numbering import DOCS_PER_TASK, IdRanges, deal, measure_id_ranges
 from trawl.plans.sample import SampleViews
 from trawl.sources import index_store
 
@@ -204,3 +204,41 @@ def test_postings_are_shuffled_once(spark):
     rows.collect()
     plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+
+
+def test_postings_are_dealt_out_by_their_documents(spark):
+    """More documents make more tasks: left to 64 MB a task, postings outgrow its memory."""
+    rows = spark.createDataFrame([(i, f"w{i}") for i in range(8)], "doc_id long, term string")
+    many = deal(rows, IdRanges(n_rows=100 * DOCS_PER_TASK), "term")
+    assert many.rdd.getNumPartitions() == 100
+    ranges = measure_id_ranges(rows, "doc_id")
+    assert ranges.n_rows == 8 and len(ranges) == 1
+    assert deal(many, ranges, "doc_id").rdd.getNumPartitions() == 8  # one a core at least
+
+
+def test_ranges_do_not_tokenise_twice(spark):
+    """The tally of ranges and the rows share one shuffle, also where totals are not asked for."""
+    docs = [(i, f"word{i % 5} common") for i in range(40)]
+    rows = spark.createDataFrame(docs, "id long, text string")
+    index = indexing.build_index(rows, "text", rows_per_range=10)
+    assert index.ranges > 1
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        plan = index.postings.select("term", "doc_id", "tf", "posting_no")
+        text = plan._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert text.count("Generate inline") == 1
+
+
+def test_equal_links_are_tokenised_once(spark):
+    links = [(i, 1, "alpha beta alpha") for i in range(50)] + [(9, 2, "beta"), (9, 1, None)]
+    rows = spark.createDataFrame(links, "src long, dst long, text string")
+    counted = indexing.anchor_frequencies(rows)
+    assert sorted(tuple(r) for r in counted.collect()) == [
+        ("alpha", 1, 100),
+        ("beta", 1, 50),
+        ("beta", 2, 1),
+    ]
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [dst" in plan.split("Generate", 1)[1]  # below it: done before
