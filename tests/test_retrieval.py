@@ -326,3 +326,23 @@ def test_a_term_of_many_queries_matches_a_posting_once(spark):
     found = retrieval.matching_postings(terms, indexing.build_index(docs, "text"))
     rows = sorted(tuple(r) for r in found.select("term", "doc_id", "tf").collect())
     assert rows == [(t, i, 1) for t in ("cup", "tea") for i in range(5)]
+
+
+def test_a_batch_is_placed_by_document_once(spark):
+    """Sums over documents and over a query's terms use one placing, and no list is sorted."""
+    rows = [(i, f"word{i % 5} common") for i in range(40)] + [(7, "common"), (None, "common")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    queries = spark.createDataFrame([(1, "common word3"), (2, "word7 of")], "query_id int, query string")
+    index = indexing.build_index(docs, "text")
+    fields = [retrieval.FieldScore(index, 0, lambda uses, tf, df: uses * tf * df)]
+    spark.conf.set("spark.sql.adaptive.enabled", False)
+    try:
+        scores = retrieval._sum_fields(retrieval.query_terms(queries), fields, None, None)
+        scores = scores.select("query_id", "doc_id", "score")
+        plan = scores._jdf.queryExecution().executedPlan().toString()
+        got = {(r["query_id"], r["doc_id"]): r["score"] for r in scores.collect()}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert plan.count("Generate inline") == 1 and "Window" not in plan
+    expected = {(1, i): 40.0 + (8 if i % 5 == 3 else 0) for i in range(40)} | {(1, 7): 80.0}
+    assert got == expected

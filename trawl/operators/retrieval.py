@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
+from operator import or_
 from typing import Optional
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,7 +23,7 @@ from trawl.functions.scoring import (
 )
 from trawl.functions.text import STOPWORDS, tokenize
 from trawl.operators.indexing import FieldIndex, SearchIndex
-from trawl.operators.numbering import number_rows
+from trawl.operators.numbering import deal, number_rows
 from trawl.operators.pruning import ChosenBlocks, FieldScore, block_tops, choose_blocks, reads
 from trawl.operators.segments import TermFilter, common_ranges, overlapping
 from trawl.session import BROADCAST_ROWS
@@ -267,6 +268,8 @@ def _sum_fields(
     max_postings: Optional[int],
     chosen: Optional[ChosenBlocks],
 ) -> DataFrame:
+    if terms.small and max_postings is None and all(f.index.derived for f in fields):
+        return _sum_derived(terms, fields)
     points = [
         _points(
             matching_postings(terms, field.index, max_postings, chosen),
@@ -278,6 +281,47 @@ def _sum_fields(
     return accumulate(reduce(DataFrame.unionByName, points), terms)
 
 
+def _sum_derived(terms: QueryTerms, fields: Sequence[FieldScore]) -> DataFrame:
+    """As ``accumulate``, for a small batch over all postings of indexes not stored.
+
+    Nothing here asks for positions in a list, so no list is sorted. Frequencies of all fields are
+    placed by document once, which serves the sum over repeated documents, that over a query's
+    terms, and joins on the document that follow.
+    """
+    wanted = F.broadcast(terms.table.select("term").distinct())
+    rows = [
+        field.index.frequencies_of(wanted).withColumn("stage", F.lit(field.stage))
+        for field in fields
+    ]
+    # Most rows are of the field with most documents; a document meets each query at most once.
+    ranges = max((f.index.derived.ranges for f in fields), key=lambda r: r.n_rows or 0)
+    counts = (
+        deal(reduce(DataFrame.unionByName, rows), ranges, "doc_id")
+        .groupBy("doc_id", "stage", "term")
+        .agg(F.sum("tf").alias("tf"))
+        # Always so; asking for it makes the count need what the rows do: one shuffle for both.
+        .where(F.col("tf").isNotNull())
+    )
+    known = counts.groupBy("stage", "term").agg(F.count(F.lit(1)).alias("df"))
+    frequent = [(F.col("stage") == f.stage) & (F.col("df") > f.index.min_df) for f in fields]
+    asked = known.where(reduce(or_, frequent)).join(F.broadcast(terms.table), "term")
+    points = F.coalesce(
+        *[
+            F.when(
+                F.col("stage") == f.stage, f.points(F.col("uses"), F.col("tf"), F.col("df"))
+            )
+            for f in fields
+        ]
+    )
+    first = F.col("stage").cast("bigint") * _STAGE + F.col("qpos")
+    scores = (
+        counts.join(F.broadcast(asked), ["stage", "term"])
+        .groupBy("query_id", "doc_id")
+        .agg(F.sum(points).alias("score"), F.min(first).alias("first"))
+    )
+    return scores.withColumn("doc_range", fields[0].index.derived.ranges.of(F.col("doc_id")))
+
+
 def _may_prune(terms: QueryTerms, fields: Sequence[FieldScore], max_postings: Optional[int]) -> bool:
     """Whether blocks can be left out: a small batch over stored fields with blocks alike."""
     if max_postings is not None:
@@ -409,8 +453,8 @@ def search_matches(
 ) -> DataFrame:
     """Every document ranked by how many query tokens the field holds, each use counted."""
     terms = query_terms(queries, stopwords)
-    matches = matching_postings(terms, index, max_postings)
-    scores = accumulate(_points(matches, 0, F.col("uses")), terms)
+    fields = [FieldScore(index, 0, lambda uses, tf, df: uses)]
+    scores = _sum_fields(terms, fields, max_postings, None)
     at_most = None if max_postings is None else terms.n_rows * max_postings
     return attach_titles(rank_all(scores, index.ranges), titles, at_most)
 
