@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.test_indexing import by_hand, postings
 from trawl.operators import indexing
+from trawl.operators import segments as parts
 from trawl.operators.segments import overlapping
 from trawl.sources import index_store
 
@@ -158,3 +159,34 @@ def test_ranges_are_found_for_documents_and_not_for_postings(spark):
     plan = plan_of(index.all_postings)
     assert "aggregate(" in plan.split("Generate")[-1]
     assert "aggregate(" not in plan.split("Generate")[0]
+
+
+def test_first_postings_of_a_segment_are_found_by_its_pieces(spark, folder):
+    """So many rows of a term leave a segment, not so many of every range of documents."""
+    docs, more = texts(0, 40), texts(20, 60, 3)
+    stored(spark, docs, folder, rows_per_range=5)
+    index_store.append_documents(table(spark, more), folder, "text", rows_per_range=5)
+    index = index_store.read_index(spark, folder)
+    assert all(len(segment.ranges) > 2 for segment in index.segments)
+    for segment in index.segments:
+        read = parts.counts([segment], None, 3).groupBy("term").count().agg(F.max("count")).first()[0]
+        assert read == 3
+    for wanted in (None, index_store.Vocabulary(hashes(spark, WORDS))):
+        cut = index.first_postings(wanted, 3).select("term", "doc_id", "tf", "posting_no")
+        rows = [r[:4] for r in by_hand(docs + more) if r[3] <= 3 and (wanted is None or r[0] in WORDS)]
+        assert sorted(tuple(r) for r in cut.collect()) == sorted(rows)
+
+
+def hashes(spark, terms):
+    rows = spark.createDataFrame([(t,) for t in terms], "term string")
+    return {r[0]: r[1] for r in rows.select("term", F.xxhash64("term")).collect()}
+
+
+def test_folders_of_a_small_batch_give_its_terms_only(spark, folder):
+    stored(spark, texts(0, 40), folder)
+    index = index_store.read_index(spark, folder)
+    asked = spark.createDataFrame([(1, "tea"), (2, "tea"), (2, "oak")], "query_id int, term string")
+    found = index.counts(index_store.Folders(asked, small=True)).select("term").distinct()
+    assert sorted(r[0] for r in found.collect()) == ["oak", "tea"]
+    whole = index.counts(index_store.Folders(asked)).select("term").distinct()
+    assert whole.count() > 2

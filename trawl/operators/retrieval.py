@@ -65,7 +65,7 @@ class QueryTerms:
     @property
     def wanted(self) -> TermFilter:
         """What selects the terms, or the folders they are in, in stored tables."""
-        return self.vocabulary or Folders(self.table)
+        return self.vocabulary or Folders(self.table, self.small)
 
 
 def query_terms(queries: DataFrame, stopwords: Iterable[str] = STOPWORDS) -> QueryTerms:
