@@ -14,7 +14,9 @@ from trawl.llm.ngram_join import (
     keep_one_of_each,
     linked_pairs,
     ngram_groups,
+    odd_sketch,
     part_keys,
+    possible_pairs,
     subset_keys,
 )
 
@@ -162,6 +164,75 @@ def test_large_clusters_are_compared_in_blocks(spark, monkeypatch):
     assert got(documents(spark, rows).repartition(3)) == plain(rows)
 
 
+def test_sketches_differ_in_no_more_bits_than_sets():
+    rng = np.random.default_rng(9)
+    for n in (1, 2, 31, 32, 33, 300, 1025):
+        for share in (0.0, 0.5, 0.8, 0.95, 1.0):
+            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            more = rng.integers(0, 2**63, int(rng.integers(0, n + 1))).astype(np.uint64)
+            b = np.unique(np.append(a[: max(1, int(n * share))], more))
+            width = min(len(odd_sketch(a)), len(odd_sketch(b)))
+            folded = [ngram_join._folded(odd_sketch(x)[None, :], width) for x in (a, b)]
+            differ = int(np.bitwise_count(folded[0] ^ folded[1]).sum())
+            assert differ <= len(np.setxor1d(a, b)) and len(odd_sketch(a)) * 64 >= 2 * len(a)
+
+
+@pytest.mark.parametrize("rule", [RULE, Rule(5, 80), Rule(2, 50)])
+def test_possible_pairs_connect_all_similar_sets(rule):
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 10**9, 700).astype(np.uint64)
+    sets = []
+    for _ in range(120):
+        own = base[: int(rng.integers(20, 700))].copy()
+        own[rng.integers(0, len(own), rng.integers(0, 9))] = rng.integers(0, 10**9)
+        sets.append(np.unique(own))
+    sizes = np.array([len(s) for s in sets])
+    sketches = [odd_sketch(s).tobytes() for s in sets]
+    links = {
+        (i, j)
+        for i in range(120)
+        for j in range(i)
+        if rule.similar(len(np.intersect1d(sets[i], sets[j])), sizes[i], sizes[j])
+    }
+    for own in (np.ones(120, bool), np.arange(120) % 3 == 0):
+        label = list(range(120))
+        for i, j in possible_pairs(sizes, sketches, own, rule):
+            assert own[i] or own[j]
+            label = [label[i] if x == label[j] else x for x in label]
+        assert links and all(label[i] == label[j] for i, j in links if own[i] or own[j])
+
+
+def test_documents_that_share_passages_only_are_parted_before_texts_are_compared(
+    spark, monkeypatch
+):
+    rng = random.Random(8)
+    passages = [" ".join(f"p{k}w{i}" for i in range(60)) for k in range(20)]
+    rows = []
+    for i in range(60):
+        own = " ".join(f"own{i}n{k}" for k in range(500))
+        rows.append((i, " ".join([own, *rng.sample(passages, 12)])))
+    rows += [(100 + i, text + " end") for i, text in rows[:2]]
+    compared = []
+    plain_sets = ngram_join._member_sets
+
+    def counted(docs, place, text, chosen, rule):
+        compared.append(chosen.count())
+        return plain_sets(docs, place, text, chosen, rule)
+
+    monkeypatch.setattr(ngram_join, "_member_sets", counted)
+    rule = Rule(words=5, percent=80)
+    assert got(documents(spark, rows).repartition(3), rule) == plain(rows, 5, 80)
+    assert compared[-1] == 4
+
+
+@pytest.mark.parametrize("least,most", [(8, 26), (60, 160)])
+def test_sketches_of_large_clusters_meet_by_size_in_blocks(spark, monkeypatch, least, most):
+    monkeypatch.setattr(ngram_join, "BLOCK_SKETCHES", 1_000)
+    rows = near_copies(least + 2, 120, least, most) + ODD
+    for rule, words, percent in ((RULE, 3, 90), (Rule(5, 80), 5, 80)):
+        assert got(documents(spark, rows).repartition(3), rule) == plain(rows, words, percent)
+
+
 def test_components_of_long_paths_and_stars(spark):
     path = [(i, i + 1) for i in range(60)]
     star = [(1000, i) for i in range(1001, 3000)]

@@ -14,7 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from trawl.llm.common import free_names, require, stored, table, with_columns
+from trawl.llm.common import (
+    free_names,
+    remove_folder,
+    require,
+    shared_folder,
+    stored,
+    table,
+    with_columns,
+)
 from trawl.llm.components import components
 from trawl.llm.hashing import WordHashes, mix, runs, split_lower
 from trawl.session import BROADCAST_ROWS
@@ -23,6 +31,9 @@ from trawl.session import BROADCAST_ROWS
 BLOCK_ELEMENTS = 400_000
 # A set counts as at least so many elements, which bounds the number of sets in a block.
 LEAST_WEIGHT = 400
+# Bytes of the sketches that one task compares with each other, and the least that a set counts as.
+BLOCK_SKETCHES = 4_000_000
+LEAST_SKETCH = 256
 _FEW = 24
 
 _SKETCH = T.StructType(
@@ -32,6 +43,8 @@ _SKETCH = T.StructType(
         T.StructField("low", T.LongType()),
         T.StructField("subsets", T.ArrayType(T.LongType())),
         T.StructField("parts", T.ArrayType(T.LongType())),
+        T.StructField("size_range", T.IntegerType()),
+        T.StructField("odd", T.BinaryType()),
     ]
 )
 
@@ -77,6 +90,10 @@ class Rule:
             more = math.ceil(empty + 4 * math.sqrt(empty))
         return differ + 1 + spare, spare
 
+    def range_of(self, n: int) -> int:
+        """The size range of sets of n elements."""
+        return int(np.searchsorted(self.ranges, n, "right")) - 1
+
     def similar(self, common, n, m):
         return 100 * common >= self.percent * (n + m - common)
 
@@ -109,7 +126,7 @@ def part_keys(elements: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     The number of parts belongs to a range of sizes; a set is listed for its own range and for the
     next one, where larger partners are.
     """
-    group = int(np.searchsorted(rule.ranges, len(elements), "right")) - 1
+    group = rule.range_of(len(elements))
     mixed = mix(elements)
     keys = []
     for instance in (group, group + 1):
@@ -127,6 +144,66 @@ def part_keys(elements: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     return np.concatenate(keys)
 
 
+def odd_sketch(elements: np.ndarray) -> np.ndarray:
+    """For each bucket a bit, whether an odd number of elements falls into it; as words of 64 bits.
+
+    An element that only one of two sets has changes one bit, so sketches differ in no more bits
+    than the sets differ in elements. There are two buckets an element or more, a power of two;
+    folding a sketch, half upon half, gives that of half the buckets.
+    """
+    bits = max(64, 1 << (2 * len(elements) - 1).bit_length())
+    bucket = mix(elements ^ np.uint64(0x0DD)) & np.uint64(bits - 1)
+    odd = np.bincount(bucket.astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<u8")
+
+
+def _folded(sketches: np.ndarray, width: int) -> np.ndarray:
+    while sketches.shape[1] > width:
+        half = sketches.shape[1] // 2
+        sketches = sketches[:, :half] ^ sketches[:, half:]
+    return sketches
+
+
+def possible_pairs(
+    sizes: np.ndarray, sketches: list[bytes], own: np.ndarray, rule: Rule = RULE
+) -> Iterator[tuple[int, int]]:
+    """Pairs that connect all sets whose sketches let them be similar; one of a pair is an own one.
+
+    Sketches of equal width stand together once ordered by size. A set meets those of its size and
+    above, up to the largest that it can be similar to, as far as nothing connects them yet.
+    """
+    order = np.argsort(sizes, kind="stable")
+    n, own = sizes[order], own[order]
+    words = [np.frombuffer(sketches[k], "<u8") for k in order.tolist()]
+    widths = np.array([len(w) for w in words])
+    starts = np.flatnonzero(np.append(True, widths[1:] != widths[:-1]))
+    ends = np.append(starts[1:], len(words))
+    stacks = [np.stack(words[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
+    folded = [{s.shape[1]: s} for s in stacks]
+    last = np.searchsorted(n, 100 * n // rule.percent, "right")
+    label = np.arange(len(n))
+    for i, row in enumerate(words):
+        for a, b, stack in zip(starts.tolist(), ends.tolist(), folded):
+            low, high = max(a, i + 1), min(b, int(last[i]))
+            if low >= high:
+                continue
+            if len(row) not in stack:
+                stack[len(row)] = _folded(stack[max(stack)], len(row))
+            meets = label[low:high] != label[i]
+            if not own[i]:
+                meets &= own[low:high]
+            at = low + np.flatnonzero(meets)
+            if not len(at):
+                continue
+            differ = np.bitwise_count(stack[len(row)][at - a] ^ row).sum(axis=1, dtype=np.int64)
+            both = n[i] + n[at]
+            near = at[rule.similar(both - differ, 2 * n[i], 2 * n[at])]
+            for j in near.tolist():
+                if label[j] != label[i]:
+                    label[label == label[j]] = label[i]
+                    yield int(order[i]), int(order[j])
+
+
 def _sketch_udf(rule: Rule):
     @F.arrow_udf(_SKETCH)
     def sketch(texts: pa.Array) -> pa.Array:
@@ -147,11 +224,14 @@ def _sketch_udf(rule: Rule):
                     if 0 < n < rule.largest_boundary
                     else None,
                     "parts": part_keys(elements, rule).view(np.int64) if n else None,
+                    "size_range": rule.range_of(n) if n else None,
+                    "odd": odd_sketch(elements).tobytes() if n else None,
                 }
             )
         return pa.array(rows, pa.struct([
             ("n", pa.int64()), ("high", pa.int64()), ("low", pa.int64()),
             ("subsets", pa.list_(pa.int64())), ("parts", pa.list_(pa.int64())),
+            ("size_range", pa.int32()), ("odd", pa.binary()),
         ]))
 
     return sketch.asNondeterministic()
@@ -277,6 +357,72 @@ def _similar_in_matrix(
     return i[i < j], j[i < j]
 
 
+def _possible(candidates: DataFrame, rule: Rule) -> DataFrame:
+    """``a, b``: pairs that connect the sets of a cluster whose sketches let them be similar.
+
+    ``candidates``: ``set, cluster, n, size_range, odd``. Small clusters share packs. In a large one
+    the sets of a size range meet those of their own and of the next range, block by block.
+    """
+    weight = F.greatest(F.length("odd"), F.lit(LEAST_SKETCH)).cast("bigint")
+    rows = candidates.withColumn("weight", weight)
+    totals = rows.groupBy("cluster").agg(F.sum("weight").alias("total"))
+    rows = rows.join(totals, "cluster")
+    is_small = F.col("total") <= BLOCK_SKETCHES
+    summed = totals.agg(
+        F.sum(F.when(is_small, F.col("total"))).alias("small"),
+        F.count(F.when(~is_small, F.lit(1))).alias("n_large"),
+    ).first()
+    packs = max(1, math.ceil(2 * (summed["small"] or 0) / BLOCK_SKETCHES))
+    columns = ["pack", "cluster", "set", "n", "odd", "own"]
+    met = (
+        rows.where(is_small)
+        .withColumn("pack", F.pmod(F.xxhash64("cluster"), F.lit(packs)))
+        .withColumn("own", F.lit(True))
+        .select(columns)
+    )
+    if summed["n_large"]:
+        met = met.unionByName(_by_size(rows.where(~is_small)).select(columns))
+
+    def meet(group: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        ordered = group.sort_values("own", ascending=False)
+        for _, cluster in ordered.groupby("cluster", sort=True):
+            cluster = cluster.drop_duplicates("set")
+            names, own = cluster["set"].to_numpy(), cluster["own"].to_numpy(bool)
+            pairs = possible_pairs(cluster["n"].to_numpy(), list(cluster["odd"]), own, rule)
+            found += [(names[i], names[j]) for i, j in pairs]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return met.groupBy("pack").applyInPandas(meet, "a bigint, b bigint")
+
+
+def _by_size(rows: DataFrame) -> DataFrame:
+    """The packs of large clusters: blocks of a size range's own sets and of all that these meet."""
+    own = F.col("size_range") == F.col("at")
+    placed = rows.withColumn(
+        "at", F.explode(F.array(F.col("size_range"), F.col("size_range") - 1))
+    )
+    blocks = placed.groupBy("cluster", "at").agg(
+        F.ceil(F.sum(F.when(own, F.col("weight"))) / BLOCK_SKETCHES).alias("own_blocks"),
+        F.ceil(F.sum("weight") / BLOCK_SKETCHES).alias("blocks"),
+    )
+    placed = placed.join(blocks.where("own_blocks > 0"), ["cluster", "at"])
+    every = lambda n: F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)
+    as_own = (
+        placed.where(own)
+        .withColumn("own_block", F.pmod(F.xxhash64("set"), F.col("own_blocks")))
+        .withColumn("block", F.explode(every("blocks")))
+        .withColumn("own", F.lit(True))
+    )
+    as_met = (
+        placed.withColumn("block", F.pmod(F.xxhash64("set", F.lit(1)), F.col("blocks")))
+        .withColumn("own_block", F.explode(every("own_blocks")))
+        .withColumn("own", F.lit(False))
+    )
+    pack = _pack(F.col("cluster"), F.col("at"), F.col("own_block"), F.col("block"))
+    return as_own.unionByName(as_met).withColumn("pack", pack).withColumn("cluster", pack)
+
+
 def _verified(packs: DataFrame, rule: Rule) -> DataFrame:
     """``a, b``: links between the sets of each pack that connect its similar sets.
 
@@ -382,7 +528,9 @@ def ngram_groups(
     Documents are reduced to classes of equal sets. Below a boundary chosen by cost, a class is
     found by the subsets that lack at most one element; above it, by inverted lists over parts of
     the sets, of which similar sets must share one. Every class on a list is tied to the list's
-    first; clusters of such ties hold all similar classes. Their sets are then compared in blocks
+    first; clusters of such ties hold all similar classes. Odd sketches, a few bits an element, part
+    what cannot be similar: classes of a cluster are compared by them, large clusters size range by
+    size range. The sets of what stays together are then compared in blocks
     of bounded size and only links that join components are kept. Shingles are compared by 64-bit
     hashes, classes by 128 bits.
     """
@@ -433,13 +581,14 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, rule: Rule) -> DataFra
     require(docs, [id_col, text_col])
     text = F.col(f"`{text_col}`")
     place = _place(id_col, text_col)
-    sets = stored(
-        docs.select(
-            F.col(f"`{id_col}`").alias("id"),
-            place.alias("place"),
-            _sketch_udf(rule)(text).alias("s"),
-        ).select("id", "place", "s.*")
-    )
+    spark = docs.sparkSession
+    path = shared_folder(spark)
+    docs.select(
+        F.col(f"`{id_col}`").alias("id"),
+        place.alias("place"),
+        _sketch_udf(rule)(text).alias("s"),
+    ).select("id", "place", "s.*").write.parquet(path)
+    sets = spark.read.parquet(path)
     boundary = _boundary(sets, rule)
     light = F.col("n") < boundary
     no_keys = F.array().cast("array<bigint>")
@@ -453,11 +602,22 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, rule: Rule) -> DataFra
     clustered = components(ties).select(
         F.col("node").alias("high"), F.col("component").alias("cluster")
     )
-    chosen = stored(
+    candidates = stored(
         sets.groupBy("high", "low")
-        .agg(F.min("place").alias("place"), F.first("n").alias("n"))
+        .agg(
+            F.min("place").alias("place"),
+            *[F.first(c).alias(c) for c in ("n", "size_range", "odd")],
+        )
         .join(clustered, "high")
+        .withColumn("set", F.xxhash64("high", "low"))
     )
+    # The keys take most of the room and are of no more use.
+    sets = stored(sets.select("id", "place", "n", "high", "low"))
+    remove_folder(spark, path)
+    near = components(_possible(candidates, rule)).select(
+        F.col("node").alias("set"), F.col("component").alias("cluster")
+    )
+    chosen = stored(candidates.drop("cluster", "size_range", "odd").join(near, "set"))
     clusters = chosen.groupBy("cluster").agg(
         F.sum(F.greatest("n", F.lit(LEAST_WEIGHT))).alias("total")
     )
@@ -482,9 +642,7 @@ def _member_sets(
     docs: DataFrame, place: Column, text: Column, chosen: DataFrame, rule: Rule
 ) -> DataFrame:
     """``set, cluster, elements`` of one document of every class in a cluster."""
-    picked = chosen.select(
-        F.col("place").alias("_place"), "cluster", F.xxhash64("high", "low").alias("set")
-    )
+    picked = chosen.select(F.col("place").alias("_place"), "cluster", "set")
     if picked.count() <= BROADCAST_ROWS:
         picked = F.broadcast(picked)
     rows = docs.select(place.alias("_place"), text.alias("text")).join(picked, "_place")
