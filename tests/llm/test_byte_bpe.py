@@ -74,6 +74,38 @@ def test_words_forgotten_and_learned_again_have_the_same_ids(reference, monkeypa
     assert len(encoder._known) + len(encoder._older) <= 2 * 30
 
 
+def test_a_recursion_takes_words_up_to_a_number_of_bytes(reference, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "BYTES_PER_RECURSION", 3_000)
+    encoder, plain = PairEncoder(), PairEncoder._short
+    together = []
+
+    def counted(self, new):
+        together.append(sum(len(raw) for _, raw in new))
+        return plain(self, new)
+
+    monkeypatch.setattr(PairEncoder, "_short", counted)
+    text = " ".join(f"y{'x' * (i % 190)}" for i in range(400)) + " z" * 9 + "".join(f" a{i}" for i in range(300))
+    ids = np.frombuffer(next(encoder.encode_many([text])), "<u4").tolist()
+    assert ids == reference.encode_ordinary(text)
+    assert max(together) < 3_200 and len(together) <= sum(together) / 3_000 + 1
+
+
+def test_decoding_takes_neighbouring_tokens_as_one_row(reference, monkeypatch):
+    decoder, rng = byte_bpe.PairDecoder(), random.Random(6)
+    rows = [[rng.randrange(50_000) for _ in range(n)] for n in (*range(20), 0, 64, 1000)]
+    wanted = [b"".join(reference.decode_single_token_bytes(t) for t in ids) for ids in rows]
+    ordered, plain = [], byte_bpe.np.repeat
+    monkeypatch.setattr(byte_bpe.np, "repeat", lambda *a: ordered.append(len(plain(*a))) or plain(*a))
+    assert decoder.decode_many(byte_bpe.pa.array(rows, byte_bpe.pa.list_(byte_bpe.pa.int32()))) == wanted
+    assert min(ordered) == sum(-(-len(ids) // 8) for ids in rows)
+
+
+def test_null_and_unknown_ids_have_no_bytes():
+    decoder = byte_bpe.PairDecoder()
+    given = byte_bpe.pa.array([[15496, None, 995], None, [60_000] * 9 + [0]], byte_bpe.pa.list_(byte_bpe.pa.int32()))
+    assert decoder.decode_many(given) == [b"Hello world", b"", b"!"]
+
+
 def test_decoding_odd_ids(spark):
     rows = [(1, [15496, 995]), (2, []), (3, None), (4, [60_000, 0])]
     table = spark.createDataFrame(rows, "k int, ids array<int>")

@@ -24,7 +24,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 BLOCK_WORDS = 100_000
 BLOCK_TOKENS = 250_000
 KNOWN_WORDS = 150_000
-WORDS_PER_RECURSION = 5_000
+BYTES_PER_RECURSION = 250_000
 SHORT_BYTES = 200
 ROWS_PER_RECURSION = 500_000
 
@@ -48,9 +48,9 @@ WITH RECURSIVE run(w, pos, after, tok, succ, live) AS (
     FROM (
         SELECT run.*, best >> 40 AS merged, (best >> 20) & 1048575 AS first,
                best & 1048575 AS second
-        FROM run JOIN (
+        FROM run LEFT JOIN (
             SELECT w, min((merged::BIGINT << 40) + (pos << 20) + after) AS best
-            FROM run LEFT JOIN merges ON merges.pair = tok * 65536 + succ
+            FROM run JOIN merges ON merges.pair = tok * 65536 + succ
             WHERE live GROUP BY w
         ) USING (w) WHERE live
     ) WHERE merged IS NULL OR pos <> first
@@ -89,9 +89,14 @@ WITH RECURSIVE run(w, pos, tok, depth, live) AS (
 SELECT w, pos, tok, live FROM run WHERE NOT live OR depth = $depth
 """
 
-_DECODE = """
-SELECT doc, string_agg(chars, '' ORDER BY place) AS chars
-FROM tokens JOIN vocabulary USING (tok) GROUP BY doc
+# A row has so many neighbouring tokens of a document: ordering rows costs more than reading them.
+TOKENS_PER_ROW = 8
+
+# The vocabulary is one list; an id that it lacks stands for nothing.
+_DECODE = f"""
+SELECT doc, string_agg(concat({", ".join(f"chars[t{i} + 1]" for i in range(TOKENS_PER_ROW))}), ''
+                       ORDER BY place) AS chars
+FROM tokens, vocabulary GROUP BY doc
 """
 
 
@@ -159,7 +164,7 @@ class PairEncoder:
         if len(new) + len(self._known) > KNOWN_WORDS:
             self._older, self._known = self._known, {}
             new = used
-        again = new.intersection(self._older)
+        again = {word for word in new if word in self._older}
         self._known.update((word, self._older[word]) for word in again)
         self._learn(new.difference(again))
 
@@ -196,8 +201,11 @@ class PairEncoder:
         for word in new:
             raw = word.encode("utf-8", "replace")
             (short if len(raw) <= SHORT_BYTES else long).append((word, raw))
-        for i in range(0, len(short), WORDS_PER_RECURSION):
-            part = short[i : i + WORDS_PER_RECURSION]
+        # Every recursion first reads all merges, so it takes as many words as it can hold.
+        ends = np.cumsum([len(raw) for _, raw in short])
+        parts = np.unique(ends // BYTES_PER_RECURSION, return_index=True)[1].tolist()
+        for start, end in zip(parts, [*parts[1:], len(short)]):
+            part = short[start:end]
             self._remember(part, self._short(part))
         for word, raw in long:
             self._known[word] = self._long(raw).astype("<u4").tobytes()
@@ -241,9 +249,11 @@ class PairDecoder:
 
     def __init__(self, path: str = VOCABULARY) -> None:
         ranks = read_ranks(path)
-        chars = pa.array([token.decode("latin-1") for token in ranks])
-        ids = pa.array(ranks.values(), pa.int32())
-        self._db = _database("vocabulary", {"tok": ids, "chars": chars})
+        chars: list[str | None] = [None] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            chars[rank] = token.decode("latin-1")
+        listed = pa.array([chars], pa.list_(pa.string()))
+        self._db = _database("vocabulary", {"chars": listed})
 
     def decode_many(self, ids: pa.ListArray) -> list[bytes]:
         """The bytes of each row of ids; unknown ids have none."""
@@ -260,11 +270,18 @@ class PairDecoder:
         return out
 
     def _decode_rows(self, sizes: np.ndarray, flat: pa.Array) -> list[bytes]:
+        rows = -(-sizes // TOKENS_PER_ROW)
+        # Where a document's first token stands, counting the places left free at the ends of rows.
+        shift = (np.cumsum(rows) - rows) * TOKENS_PER_ROW - (np.cumsum(sizes) - sizes)
+        laid = np.full(int(rows.sum()) * TOKENS_PER_ROW, -1, np.int32)
+        known = np.maximum(flat.fill_null(-1).to_numpy(zero_copy_only=False), -1)
+        laid[np.arange(len(flat)) + np.repeat(shift, sizes)] = known
+        laid = laid.reshape(-1, TOKENS_PER_ROW)
         tokens = pa.table(  # noqa: F841
             {
-                "doc": np.repeat(np.arange(len(sizes), dtype=np.int32), sizes),
-                "place": np.arange(len(flat), dtype=np.int32),
-                "tok": flat,
+                "doc": np.repeat(np.arange(len(sizes), dtype=np.int32), rows),
+                "place": np.arange(len(laid), dtype=np.int32),
+                **{f"t{i}": np.ascontiguousarray(laid[:, i]) for i in range(TOKENS_PER_ROW)},
             }
         )
         found = self._db.sql(_DECODE).to_arrow_table()
