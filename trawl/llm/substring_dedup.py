@@ -3,18 +3,27 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate, repeat
+from itertools import repeat
+from typing import NamedTuple
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trawl.llm.common import free_names, require, table, with_columns
-from trawl.llm.hashing import WordHashes, mix, runs, split_words
+from trawl.llm.hashing import (
+    Words,
+    find_words,
+    least_of_runs,
+    mix,
+    runs,
+    text_slices,
+    word_hashes,
+)
 
 WINDOW = 13
 # Words of an anchor: every window is looked up by one of the runs of so many words within it.
@@ -44,45 +53,62 @@ _ARROW_PHRASES = pa.schema(
         ("phrase", pa.binary()),
     ]
 )
+_ARROW_CUT = pa.struct([("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept", pa.string())])
+
+
+class Windows(NamedTuple):
+    """The windows of several texts: text, first word and anchor of each."""
+
+    text: np.ndarray
+    start: np.ndarray
+    anchor: np.ndarray
 
 
-def window_anchors(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """The anchor of every window, and where it stands.
+def window_starts(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The text and the first word of every window; none goes from one text into the next."""
+    n = np.maximum(np.diff(words.first) - window + 1, 0)
+    text = np.repeat(np.arange(len(n)), n)
+    return text, np.arange(len(text)) + (words.first[:-1] - (np.cumsum(n) - n))[text]
 
-    It is the run of words with the least hash within the window (the first of equal ones), so
-    equal windows have equal anchors wherever they are, and neighbouring windows mostly share one.
+
+def find_windows(words: Words, hashes: np.ndarray, window: int) -> Windows:
+    """All windows with their anchors.
+
+    The anchor is the least hash of a run of words within the window, so equal windows have equal
+    anchors wherever they are, and neighbouring windows mostly share one.
     """
     size = min(ANCHOR_WORDS, window)
-    grams = mix(runs(hashes, size, seed=1))
-    n = len(hashes) - window + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    best = grams[:n].copy()
-    at = np.arange(n)
-    for offset in range(1, window - size + 1):
-        other = grams[offset : offset + n]
-        lower = other < best
-        best = np.where(lower, other, best)
-        at = np.where(lower, np.arange(offset, offset + n), at)
-    return best, at
+    best = least_of_runs(mix(runs(hashes, size, seed=1)), window - size + 1)
+    text, start = window_starts(words, window)
+    return Windows(text, start, best[start])
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before it in a column."""
+    new = np.ones(len(columns[0]), bool)
+    if len(new):
+        new[1:] = columns[0][1:] != columns[0][:-1]
+        for column in columns[1:]:
+            new[1:] |= column[1:] != column[:-1]
+    return new
 
 
 def _anchor_rows(window: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            ids, anchors = [], []
-            for doc, text in zip(batch.column("id").to_pylist(), batch.column("text")):
-                words = split_words(text.as_py())
-                if len(words) >= window:
-                    found = np.unique(window_anchors(hashes.of(words), window)[0])
-                    anchors.append(found)
-                    ids.append(np.full(len(found), doc, np.int64))
-            if ids:
+            ids, texts = batch.column("id").to_numpy(), batch.column("text")
+            for begin, end in text_slices(texts):
+                words = find_words(texts.slice(begin, end - begin))
+                found = find_windows(words, word_hashes(words), window)
+                new = _changes(found.text, found.anchor)
+                text, anchor = found.text[new], found.anchor[new]
+                order = np.lexsort((anchor, text))
+                text, anchor = text[order], anchor[order]
+                new = _changes(text, anchor)
                 yield pa.record_batch(
                     {
-                        "anchor": pa.array(np.concatenate(anchors).view(np.int64)),
-                        "id": pa.array(np.concatenate(ids)),
+                        "anchor": pa.array(anchor[new].view(np.int64)),
+                        "id": pa.array(ids[begin:end][text[new]]),
                     }
                 )
 
@@ -145,70 +171,109 @@ def _phrase_rows(window: int):
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for batch in batches:
-            documents, parts = [], []
-            columns = (batch.column(c) for c in ("id", "place", "text", "anchors", "hot"))
-            present = (row for row in zip(*columns) if row[3].is_valid)
-            for i, (doc, place, text, anchors, hot) in enumerate(present):
-                words = split_words(text.as_py())
-                word_hashes = hashes.of(words)
-                anchor, at = window_anchors(word_hashes, window)
-                wanted = np.isin(anchor, anchors.values.to_numpy().view(np.uint64))
-                start = np.flatnonzero(wanted)
-                documents.append((doc.as_py(), place.as_py(), words))
-                hot_ones = hot.values.to_numpy().view(np.uint64)
-                parts.append(
-                    (
-                        np.full(len(start), i),
-                        start,
-                        runs(word_hashes, window, seed=2)[start],
-                        anchor[start],
-                        at[start],
-                        np.isin(anchor[start], hot_ones),
-                    )
-                )
-            if documents:
-                yield from _to_phrases(documents, [np.concatenate(p) for p in zip(*parts)], window)
+            batch = batch.filter(batch.column("anchors").is_valid())
+            texts = batch.column("text")
+            parts = [
+                _candidates(batch.slice(begin, end - begin), begin, window)
+                for begin, end in text_slices(texts)
+            ]
+            if parts:
+                yield from _to_phrases(batch, parts, window)
 
     return rows
 
 
-def _to_phrases(documents: list, columns: list[np.ndarray], window: int) -> list[pa.RecordBatch]:
-    of, start, content, anchor, at, hot = columns
-    ids = np.array([d[0] for d in documents], np.int64)
-    places = np.array([d[1] for d in documents], np.int64)
-    order = np.lexsort((ids[of], content))
-    same = np.append(False, content[order][1:] == content[order][:-1])
-    group = np.cumsum(~same)
-    least = ids[of][order][np.flatnonzero(~same)][group - 1] if len(of) else ids[:0]
-    settled = np.zeros(len(of), bool)
-    settled[order] = ids[of][order] > least
+def _candidates(batch: pa.RecordBatch, row: int, window: int) -> tuple[Words, list[np.ndarray]]:
+    """The words of a slice of documents, and its windows with an anchor that recurs.
+
+    Of each window: row in the whole batch, first word, hash, anchor, and if the anchor is hot.
+    """
+    words = find_words(batch.column("text"))
+    hashes = word_hashes(words)
+    found = find_windows(words, hashes, window)
+    anchors, hot = batch.column("anchors"), batch.column("hot")
+    # One number for a document and an anchor; where two meet, a window is looked up in vain.
+    salt = mix(np.arange(1, len(batch) + 1, dtype=np.uint64))
+    lengths = anchors.value_lengths().to_numpy(zero_copy_only=False)
+    listed = anchors.flatten().to_numpy().view(np.uint64) + np.repeat(salt, lengths)
+    new = _changes(found.text, found.anchor)
+    stretch = np.cumsum(new) - 1
+    text, anchor = found.text[new], found.anchor[new]
+    wanted = np.isin(anchor + salt[text], listed)
+    is_hot = np.isin(anchor, hot.flatten().to_numpy().view(np.uint64))
+    at = np.flatnonzero(wanted[stretch])
+    start, stretch = found.start[at], stretch[at]
+    content = runs(hashes, window, seed=2)[start]
+    return words, [row + text[stretch], start, content, anchor[stretch], is_hot[stretch]]
+
+
+def _to_phrases(batch: pa.RecordBatch, parts: list, window: int) -> list[pa.RecordBatch]:
+    ids, places = (batch.column(c).to_numpy() for c in ("id", "place"))
+    joined = b"".join(words.joined for words, _ in parts)
+    letters = np.cumsum([0, *(len(words.joined) for words, _ in parts)]).tolist()
+    counts = np.cumsum([0, *(words.first[-1] for words, _ in parts)]).tolist()
+    bounds = np.concatenate([w.start[:-1] + n for (w, _), n in zip(parts, letters)])
+    bounds = np.append(bounds, letters[-1])
+    first = np.concatenate([w.first[:-1] + n for (w, _), n in zip(parts, counts)])
+    of, start, content, anchor, hot = (
+        np.concatenate(c) for c in zip(*(columns for _, columns in parts))
+    )
+    start = start + np.repeat(counts[:-1], [len(columns[0]) for _, columns in parts])
+    settled = _settled(joined, bounds, ids[of], start, content, window)
     batches = []
     for kind in (False, True):
         chosen = np.flatnonzero(settled == kind)
         if not len(chosen):
             continue
-        o, s, a, h = of[chosen], start[chosen], at[chosen], hot[chosen]
-        new = np.append(True, (o[1:] != o[:-1]) | (s[1:] != s[:-1] + 1))
+        o, s, a, h = of[chosen], start[chosen], anchor[chosen], hot[chosen]
+        new = _changes(o, s - np.arange(len(s)))
         if not kind:
-            new |= np.append(True, (a[1:] != a[:-1])) | h
+            new |= _changes(a) | h
         begins = np.flatnonzero(new)
-        doc, first = o[begins], s[begins]
+        doc, begin = o[begins], s[begins]
         stop = s[np.append(begins[1:], len(chosen)) - 1] + window
-        keys = np.where(h, content[chosen], anchor[chosen])[begins].view(np.int64)
-        phrases = [
-            b" ".join(documents[d][2][f:t])
-            for d, f, t in zip(doc.tolist(), first.tolist(), stop.tolist())
-            if not kind
-        ]
-        numbers = (places[doc] if kind else keys, ids[doc], places[doc], first, stop)
+        keys = np.where(h, content[chosen], a)[begins].view(np.int64)
+        phrases = pa.nulls(len(doc), pa.binary())
+        if not kind:
+            spans = zip(bounds[begin].tolist(), (bounds[stop] - 1).tolist())
+            phrases = pa.array([joined[b:e] for b, e in spans], pa.binary())
+        own = first[doc]
+        numbers = (places[doc] if kind else keys, ids[doc], places[doc], begin - own, stop - own)
         arrays = [pa.array(c, f.type) for c, f in zip(numbers, _ARROW_PHRASES)]
-        arrays.append(pa.nulls(len(doc), pa.binary()) if kind else pa.array(phrases, pa.binary()))
-        batches.append(pa.RecordBatch.from_arrays(arrays, schema=_ARROW_PHRASES))
+        batches.append(pa.RecordBatch.from_arrays([*arrays, phrases], schema=_ARROW_PHRASES))
     return batches
 
 
+def _settled(
+    joined: bytes,
+    bounds: np.ndarray,
+    ids: np.ndarray,
+    start: np.ndarray,
+    content: np.ndarray,
+    window: int,
+) -> np.ndarray:
+    """Which windows are, word for word, one of a lesser id in the same batch."""
+    order = np.lexsort((ids, content))
+    new = _changes(content[order])
+    least = np.zeros(len(order), np.int64)
+    least[order] = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    later = np.flatnonzero(ids > ids[least])
+    own, other = start[later], start[least[later]]
+    # Neighbouring windows with neighbouring counterparts are compared as one.
+    begins = np.flatnonzero(_changes(own - np.arange(len(own)), other - own))
+    ends = np.append(begins[1:], len(later))[: len(begins)] - 1
+    spans = (
+        edge.tolist()
+        for words in (own, other)
+        for edge in (bounds[words[begins]], bounds[words[ends] + window])
+    )
+    equal = [joined[a:b] == joined[c:d] for a, b, c, d in zip(*spans)]
+    settled = np.zeros(len(ids), bool)
+    settled[later] = np.repeat(np.array(equal, bool), ends - begins + 1)
+    return settled
+
+
 class PhraseShard:
     """Confirms the windows that recur among phrases and finds all their occurrences."""
 
@@ -223,40 +288,69 @@ class PhraseShard:
         Rows ``(route, id, place, start, phrase)`` come by route and id, and equal windows have
         equal routes. The windows of the last route are remembered, as it may go on.
         """
-        n = self._window
         route, seen = self._route, self._seen
         recurring: dict[bytes, int] = {}
-        repeating = []
-        for row in rows:
-            if row[0] != route:
-                route, seen = row[0], {}
-            doc, phrase = row[1], row[4]
-            words = phrase.split(b" ")
-            starts = [0, *accumulate(len(word) + 1 for word in words)]
-            repeats = False
-            for start, stop in zip(starts, starts[n:]):
-                window = phrase[start : stop - 1]
-                known = seen.setdefault(window, doc)
-                if known < doc:
-                    recurring[window] = known
-                    repeats = True
-            if repeats:
-                repeating.append((row, words))
+        repeating: dict[int, None] = {}
+        last = -1
+        for number, begin, end, phrase_begin in self._may_recur(rows):
+            row = rows[number]
+            if number != last:
+                last = number
+                if row[0] != route:
+                    route, seen = row[0], {}
+                doc, phrase = row[1], row[4]
+            window = phrase[begin - phrase_begin : end - phrase_begin]
+            known = seen.setdefault(window, doc)
+            if known < doc:
+                recurring[window] = known
+                repeating[number] = None
         self._route, self._seen = route, seen
-        return self._locate(repeating, recurring) if recurring else []
+        return self._locate([rows[i] for i in repeating], recurring) if recurring else []
+
+    def _may_recur(self, rows: list[tuple]) -> Iterator[tuple[int, int, int, int]]:
+        """Row, begin, end and begin of the row's phrase, for every window that may recur.
+
+        These are the ones whose hash two ids have. Of the first route, if it goes on, and of the
+        last one, which may go on, they are all.
+        """
+        n = self._window
+        words = find_words(pa.array([row[4] for row in rows], pa.binary()))
+        text, start = window_starts(words, n)
+        content = runs(word_hashes(words), n, seed=2)[start]
+        routes = np.array([row[0] for row in rows], np.int64)
+        ids = np.array([row[1] for row in rows], np.int64)[text]
+        order = np.argsort(content, kind="stable")
+        new = _changes(content[order])
+        begins = np.flatnonzero(new)
+        several = np.zeros(len(text), bool)
+        if len(text):
+            ordered = ids[order]
+            differ = np.minimum.reduceat(ordered, begins) < np.maximum.reduceat(ordered, begins)
+            several[order] = differ[np.cumsum(new) - 1]
+        open_rows = routes == routes[-1]
+        if self._route is not None:
+            open_rows |= routes == self._route
+        at = np.flatnonzero(several | open_rows[text])
+        text, start = text[at], start[at]
+        columns = (text, words.start[start], words.start[start + n] - 1, words.start[words.first[text]])
+        return zip(*(column.tolist() for column in columns))
 
     def _locate(self, rows: list, recurring: dict[bytes, int]) -> list[tuple[int, int, int, int]]:
         """Compiles the confirmed windows and finds them in the phrases that repeat some."""
-        codes: dict[bytes, int] = {}
+        codes = _Codes()
         automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for window, doc in recurring.items():
-            coded = tuple(codes.setdefault(w, len(codes) + 1) for w in window.split(b" "))
-            automaton.add_word(coded, doc)
+            automaton.add_word(tuple(map(codes.__getitem__, window.split(b" "))), doc)
         automaton.make_automaton()
+        hits: dict[bytes, list[tuple[int, int]]] = {}
         found = []
-        for (_, doc, place, start, _), words in rows:
+        for _, doc, place, start, phrase in rows:
+            inside = hits.get(phrase)
+            if inside is None:
+                coded = tuple(map(codes.get, phrase.split(b" "), repeat(0)))
+                inside = hits[phrase] = list(automaton.iter(coded))
             low = high = -1
-            for end, least in automaton.iter(tuple(map(codes.get, words, repeat(0)))):
+            for end, least in inside:
                 if least >= doc:
                     continue
                 begin = end - self._window + 1
@@ -270,29 +364,31 @@ class PhraseShard:
         return found
 
 
+class _Codes(dict):
+    """Numbers of words from 1, given as they are asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = code = len(self) + 1
+        return code
+
+
 def _located_rows(window: int, rows_per_automaton: int):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = PhraseShard(window)
         for batch in batches:
+            settled = batch.column("phrase").is_null()
+            open_rows = batch.filter(pc.invert(settled))
+            lists = (open_rows.column(c) for c in ("route", "id", "place", "start"))
+            lists = (column.to_numpy().tolist() for column in lists)
             found = []
-            open_rows = []
-            lists = [batch.column(c).to_pylist() for c in _ARROW_PHRASES.names]
-            for route, doc, place, start, stop, phrase in zip(*lists):
-                if phrase is None:
-                    found.append((doc, place, start, stop))
-                else:
-                    open_rows.append((route, doc, place, start, phrase))
-            for i in range(0, len(open_rows), rows_per_automaton):
-                found += shard.find(open_rows[i : i + rows_per_automaton])
+            todo = list(zip(*lists, open_rows.column("phrase").to_pylist()))
+            for i in range(0, len(todo), rows_per_automaton):
+                found += shard.find(todo[i : i + rows_per_automaton])
             columns = list(zip(*found)) if found else [[]] * 4
+            names = ["id", "place", "start", "stop"]
+            yield batch.filter(settled).select(names)
             yield pa.record_batch(
-                [
-                    pa.array(columns[0], pa.int64()),
-                    pa.array(columns[1], pa.int64()),
-                    pa.array(columns[2], pa.int32()),
-                    pa.array(columns[3], pa.int32()),
-                ],
-                names=["id", "place", "start", "stop"],
+                [pa.array(c, _ARROW_PHRASES.field(n).type) for c, n in zip(columns, names)], names=names
             )
 
     return rows
@@ -309,21 +405,37 @@ def _located_rows(window: int, rows_per_automaton: int):
 )
 def _cut(places: pa.Array, texts: pa.Array, spans: pa.Array) -> pa.Array:
     """Words outside the spans of a document's own text, joined by a space."""
-    n_words, n_removed, kept = [], [], []
-    for place, text, own in zip(places.to_pylist(), texts, spans.to_pylist()):
-        words = split_words(text.as_py())
-        gone = np.zeros(len(words), bool)
-        for span in own or ():
-            if span["place"] == place:
-                gone[span["start"] : span["stop"]] = True
-        n_words.append(len(words))
-        n_removed.append(int(gone.sum()))
-        left = [w for w, g in zip(words, gone.tolist()) if not g] if gone.any() else words
-        kept.append(b" ".join(left).decode("utf-8"))
-    return pa.StructArray.from_arrays(
-        [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
-        names=["n_words", "n_removed", "kept"],
+    parts = [
+        _cut_slice(*(column.slice(begin, end - begin) for column in (places, texts, spans)))
+        for begin, end in text_slices(texts)
+    ]
+    return pa.concat_arrays(parts) if parts else pa.array([], _ARROW_CUT)
+
+
+def _cut_slice(places: pa.Array, texts: pa.Array, spans: pa.Array) -> pa.Array:
+    words = find_words(texts)
+    of = np.repeat(np.arange(len(texts)), spans.value_lengths().fill_null(0).to_numpy())
+    place, start, stop = (column.to_numpy() for column in spans.flatten().flatten())
+    own = place == places.to_numpy()[of]
+    begin = words.first[of[own]]
+    n = words.first[-1]
+    depth = np.bincount(begin + start[own], minlength=n + 1)
+    depth -= np.bincount(begin + stop[own], minlength=n + 1)
+    keep = np.cumsum(depth[:n]) == 0
+    n_words = np.diff(words.first)
+    n_kept = np.diff(np.append(0, np.cumsum(keep))[words.first])
+    letters = np.repeat(keep, np.diff(words.start))
+    # No space after the last word that stays.
+    last = np.flatnonzero(keep)[np.cumsum(n_kept)[n_kept > 0] - 1]
+    letters[words.start[last + 1] - 1] = False
+    bounds = np.append(0, np.cumsum(letters))[words.start[words.first]]
+    kept = pa.Array.from_buffers(
+        pa.string(),
+        len(texts),
+        [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(words.joined[letters])],
     )
+    numbers = (n_words, n_words - n_kept)
+    return pa.StructArray.from_arrays([*(pa.array(c, pa.int64()) for c in numbers), kept], fields=list(_ARROW_CUT))
 
 
 def drop_repeated_passages(
