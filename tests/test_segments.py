@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -190,3 +192,38 @@ def test_folders_of_a_small_batch_give_its_terms_only(spark, folder):
     assert sorted(r[0] for r in found.collect()) == ["oak", "tea"]
     whole = index.counts(index_store.Folders(asked)).select("term").distinct()
     assert whole.count() > 2
+
+
+def exchanges(rows):
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan.count("Join")
+
+
+def test_blocks_and_pieces_are_those_of_the_postings(spark, folder):
+    docs = texts(0, 40) + texts(0, 40, 7) + [(None, "tea tea")]
+    stored(spark, docs, folder, rows_per_range=9)
+    (segment,) = index_store.read_index(spark, folder).segments
+    counted = [F.count(F.lit(1)).alias("n"), F.sum("tf").alias("tf_sum")]
+    ends = [F.min("tf").alias("least_tf"), F.max("tf").alias("most_tf")]
+    for table, key, values in (
+        (segment.bounds, ["term_bucket", "doc_range", "term", "doc_block"], counted + ends),
+        (segment.pieces, ["term_bucket", "doc_range", "term"], counted),
+    ):
+        wanted = segment.postings.groupBy(*key).agg(*values)
+        found = table.select(*wanted.columns)
+        assert found.count() > 9 and found.exceptAll(wanted).isEmpty()
+        assert wanted.exceptAll(found).isEmpty()
+
+
+def test_all_postings_of_a_lone_segment_are_shuffled_once(spark, folder, monkeypatch):
+    docs = texts(0, 40) + texts(0, 40, 7)
+    stored(spark, docs, folder, rows_per_range=9)
+    index = index_store.read_index(spark, folder)
+    assert index.ranges > 2 and postings(index) == by_hand(docs)
+    assert exchanges(index.postings) == (1, 0)
+    # Frequent terms are placed by range, and so is all of a segment whose postings tell no pieces.
+    monkeypatch.setattr(parts, "ROWS_PER_RANGE", 5)
+    index = index_store.read_index(spark, folder)
+    assert exchanges(index.postings)[1] > 0 and postings(index) == by_hand(docs)
+    older = [replace(s, marked=False) for s in index.segments]
+    assert postings(indexing.join_segments(older, 0, 4)) == by_hand(docs)

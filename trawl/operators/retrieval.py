@@ -144,7 +144,9 @@ def _stored_matches(
     found = []
     for segment in index.segments:
         pieces = segment.rows(segment.pieces, wanted).select("term", "doc_range")
-        rows = segment.rows(segment.postings, wanted).drop("term_bucket", "place")
+        rows = segment.rows(segment.postings, wanted).select(
+            "term", "doc_id", "tf", "doc_range", "doc_block"
+        )
         found.append(rows.join(asked.join(pieces, "term"), ["term", "doc_range"]))
     both = reduce(DataFrame.unionByName, found)
     if len(found) == 1:
