@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tests.conftest import SAMPLE
 from tests.test_text import python_tokens
 from trawl.functions import FALLBACK_CORPUS_SIZE, SearchWeights
-from trawl.operators import indexing, retrieval
+from trawl.operators import indexing, pruning, retrieval
 from trawl.plans.sample import SampleViews
 from trawl.sources import index_store
 
@@ -279,6 +279,39 @@ def test_a_pruned_body_search_equals_a_whole_one(spark, sample, narrow):
         assert ranked(tfidf) == {i: w for i, w in wanted.items() if w}
 
 
+def test_many_chosen_blocks_are_looked_up_as_bits(spark, monkeypatch):
+    """More blocks than fit a broadcast: matches are not shuffled to meet them."""
+    blocks = [-4097, -65, -1, 0, 1, 62, 63, 64, 4095, 4096, 300_000]
+    rows = [(q, b, 1) for q in (1, 2) for b in blocks if (q, b) != (2, 63)] + [(1, None, 1)]
+    table = spark.createDataFrame(rows, "query_id int, doc_block long, n_postings long")
+    asked = [(q, b + d) for q in (1, 2, 3) for b in blocks for d in (-1, 0, 1)] + [(1, None), (None, 1)]
+    matches = spark.createDataFrame(asked, "query_id int, doc_block long")
+    wanted = sorted((q, b) for q, b in asked if b is not None and (q, b, 1) in rows)
+    few = pruning._settled(table)
+    assert few.pages is None and sorted(map(tuple, few.of(matches).collect())) == wanted
+    monkeypatch.setattr(pruning, "BROADCAST_ROWS", 3)
+    many = pruning._settled(table)
+    found = many.of(matches)
+    assert many.pages.count() < len(rows) and found.columns == matches.columns
+    assert sorted(map(tuple, found.select("query_id", "doc_block").collect())) == wanted
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    monkeypatch.setattr(pruning, "MOST_PAGES", 2)
+    rest = pruning._settled(table)
+    assert rest.pages is None
+    assert sorted(map(tuple, rest.of(matches).select("query_id", "doc_block").collect())) == wanted
+
+
+def test_a_pruned_search_of_many_blocks_equals_a_whole_one(spark, sample, narrow, monkeypatch):
+    views, brute, queries, ranks = sample
+    monkeypatch.setattr(pruning, "BROADCAST_ROWS", 3)
+    table = spark.createDataFrame(list(ranks.items()), "id long, pagerank double")
+    args = views.queries(), narrow["whole"], table, views.titles()
+    wanted = {i: brute.fused(q, ranks, None, 5) for i, q in queries}
+    found = ranked(retrieval.search(*args, limit=5, prune=True))
+    assert found == {i: w for i, w in wanted.items() if w}
+
+
 def test_pruning_reads_less_and_says_so(spark, sample, narrow):
     views, _, queries, ranks = sample
     table = spark.createDataFrame(list(ranks.items()), "id long, pagerank double")

@@ -45,6 +45,21 @@ def test_one_exchange_over_postings(spark):
     assert plan.toString().count("Exchange") == 1
 
 
+def test_one_exchange_over_postings_of_one_range(spark):
+    index = indexing.build_index(table(spark, texts(0, 40)), "text")
+    assert index.ranges == 1
+    plan = index_store.placed_postings(index.derived, 3, 4)._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("Exchange") == 1
+
+
+def test_buckets_of_links_go_by_pages_and_not_by_all_their_texts(spark):
+    """Links with the same text to the same page are one posting a term, however many they are."""
+    links = spark.range(2000).selectExpr("id src", "id % 2 dst", "repeat('green tea ', 2000) text")
+    derived = indexing.build_anchor_index(links).derived
+    assert index_store._buckets_for(derived) == 1 and derived.n_postings < 250_000
+    assert index_store._buckets_for(derived._replace(n_postings=None)) > 1
+
+
 @pytest.mark.parametrize("min_df", [0, 2])
 def test_appended_documents(spark, folder, min_df):
     """Ids that lie beyond the older ones, and ids in between them."""

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from typing import Optional
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -27,6 +28,10 @@ SEED_FACTOR = 2
 # Stretches of blocks that are named in a plan, for storage to pass over what lies between.
 STRETCHES = 20
 
+# More blocks than fit a broadcast are kept as bits, so many words of 64 in a row, and the most rows.
+PAGE_WORDS = 64
+MOST_PAGES = 50_000
+
 # Scores are sums of floats in any order, so bounds are compared with a little to spare.
 _SLACK = 1e-6
 _RELATIVE_SLACK = 1e-9
@@ -46,16 +51,24 @@ class ChosenBlocks:
     """The blocks of documents that a batch of queries has to read.
 
     ``table``: ``query_id, doc_block, n_postings``; ``condition`` holds on ``doc_block`` for all of
-    them, in a form that storage can use. ``n_postings`` counts the postings they hold.
+    them, in a form that storage can use. ``n_postings`` counts the postings they hold. ``pages``
+    hold many blocks as bits: ``query_id, page, words``.
     """
 
     table: DataFrame
     condition: Column
     n_blocks: int
     n_postings: int
+    pages: Optional[DataFrame] = None
 
     def of(self, matches: DataFrame) -> DataFrame:
         """The matches (``query_id, doc_block``) that lie in the blocks of their query."""
+        if self.pages is not None:
+            page, word, bit = _place_of(F.col("doc_block"))
+            found = matches.withColumn("page", page).join(
+                F.broadcast(self.pages), ["query_id", "page"]
+            )
+            return found.where(F.getbit(F.get("words", word), bit) == 1).drop("page", "words")
         table = self.table.select("query_id", "doc_block")
         table = F.broadcast(table) if self.n_blocks <= BROADCAST_ROWS else table
         return matches.join(table, ["query_id", "doc_block"], "left_semi")
@@ -109,13 +122,39 @@ def _stretches(blocks: list[int]) -> Column:
     return reduce(lambda one, other: one | other, spans, F.lit(False))
 
 
+def _place_of(block: Column) -> tuple[Column, Column, Column]:
+    """Page, word in it and bit of that for a block of documents."""
+    word = F.shiftright(block, 6)
+    page = F.floor(word / PAGE_WORDS).cast("bigint")
+    return page, F.pmod(word, F.lit(PAGE_WORDS)).cast("int"), block.bitwiseAND(63).cast("int")
+
+
+def _pages(table: DataFrame) -> Optional[DataFrame]:
+    """``query_id, page, words``: blocks as bits, held by the driver; None if the pages are many."""
+    page, word, bit = _place_of(F.col("doc_block"))
+    bits = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("bits")
+    words = table.groupBy("query_id", page.alias("page"), word.alias("word")).agg(bits)
+    known = F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("known")
+    every = F.sequence(F.lit(0), F.lit(PAGE_WORDS - 1))
+    none = F.lit(0).cast("bigint")
+    rows = words.groupBy("query_id", "page").agg(known).select(
+        "query_id",
+        "page",
+        F.transform(every, lambda i: F.coalesce(F.col("known")[i], none)).alias("words"),
+    )
+    some = rows.limit(MOST_PAGES + 1).toArrow()
+    return table.sparkSession.createDataFrame(some) if some.num_rows <= MOST_PAGES else None
+
+
 def _settled(table: DataFrame) -> ChosenBlocks:
-    """The blocks in ``table``, held by the driver if they fit a broadcast anyway."""
-    table = table.select("query_id", "doc_block", "n_postings")
+    """The blocks in ``table``, held by the driver if they, or their bits, fit a broadcast anyway."""
+    # Postings of a null document are in no result.
+    known = F.col("doc_block").isNotNull()
+    table = table.select("query_id", "doc_block", "n_postings").where(known)
     some = table.limit(BROADCAST_ROWS + 1).toArrow()
     if some.num_rows > BROADCAST_ROWS:
         counts = table.agg(F.count(F.lit(1)), F.sum("n_postings"))
-        return ChosenBlocks(table, F.lit(True), *counts.first())
+        return ChosenBlocks(table, F.lit(True), *counts.first(), _pages(table))
     blocks = sorted(set(some.column("doc_block").to_pylist()))
     n_postings = sum(some.column("n_postings").to_pylist())
     local = table.sparkSession.createDataFrame(some)
