@@ -3,10 +3,11 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm.cases import ODD, documents, lower, random_texts, split
-from trawl.llm import ngram_join
+from trawl.llm import hashing, ngram_join
 from trawl.llm.components import components
 from trawl.llm.ngram_join import (
     RULE,
@@ -17,6 +18,7 @@ from trawl.llm.ngram_join import (
     odd_sketch,
     part_keys,
     possible_pairs,
+    shingle_sets,
     subset_keys,
 )
 
@@ -247,3 +249,49 @@ def test_components(spark):
     found = {r.node: r.component for r in components(table).collect()}
     assert found == {**dict.fromkeys(range(21), 0), **dict.fromkeys([40, 45, 50, 60], 40)}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+@pytest.mark.parametrize("size", [1, 60, 2_000_000])
+def test_sets_of_slices_are_those_of_each_text(monkeypatch, size):
+    monkeypatch.setattr(hashing, "TEXT_BYTES", size)
+    texts = [t for _, t in ODD] + ["One two THREE four five", "one two three four", "a", "A b", None]
+    for words in (1, 3, 5):
+        found = [s.tolist() for s in shingle_sets(pa.array(texts, pa.string()), words)]
+        assert [len(s) for s in found] == [len(shingles(t, words)) for t in texts]
+        assert all(s == sorted(set(s)) for s in found)
+        values = {}
+        for own, text in zip(found, texts):
+            assert values.setdefault(frozenset(shingles(text, words)), own) == own
+        assert len({tuple(v) for v in values.values()}) == len(values)
+
+
+def test_lists_are_read_in_the_order_of_keys_alone(spark):
+    """Lists longer than a batch hold together, and the same ties are told once."""
+    rows = [(key, key // 50 * 1000 + i) for key in range(100) for i in range(30)]
+    table = spark.createDataFrame(rows + [(1000 + i, i) for i in range(50)], "key bigint, set bigint")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        ties = ngram_join._list_edges(table)
+        plan = ties._jdf.queryExecution().executedPlan().toString()
+        found = sorted(tuple(r) for r in ties.collect())
+        reached = {r.node: r.component for r in components(ties).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "Sort [key#" in plan and "ASC NULLS FIRST, set#" not in plan
+    assert all(a < b for a, b in found) and len(found) == len(set(found)) < 60 * 8
+    assert reached == {g * 1000 + i: g * 1000 for g in (0, 1) for i in range(30)}
+
+
+def test_unlike_sets_are_parted_by_folded_sketches(monkeypatch):
+    rng = np.random.default_rng(4)
+    rule = Rule(5, 80)
+    assert (rule.folds, RULE.folds, Rule(2, 50).folds) == (4, 8, 1)
+    sets = [np.unique(rng.integers(0, 2**63, 1000).astype(np.uint64)) for _ in range(80)]
+    sets += [np.append(sets[0][:-20], sets[1][:20])]
+    looked_at = []
+    bits = np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: looked_at.append(x.size) or bits(x))
+    sizes, sketches = np.array([len(s) for s in sets]), [odd_sketch(s).tobytes() for s in sets]
+    pairs = list(possible_pairs(sizes, sketches, np.ones(81, bool), rule))
+    assert [set(p) for p in pairs] == [{0, 80}]
+    assert sum(looked_at) < 0.35 * 81 * 80 / 2 * len(sketches[0]) / 8

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 
-KNOWN_WORDS = 300_000
 # Texts whose words are found at once; what is kept at hand grows with it, results don't depend on it.
 TEXT_BYTES = 2_000_000
 # Longer words are hashed one by one.
 SHORT_WORD = 64
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+_LOWER_BYTES = np.frombuffer(_LOWER, np.uint8)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _MORE = np.uint64(0xC2B2AE3D27D4EB4F)
 _INK = np.array([c not in b"\x20\x09\x0a\x0b\x0c\x0d" for c in range(256)])
@@ -32,20 +32,6 @@ def split_lower(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").translate(_LOWER).split()
 
 
-class WordHashes(dict):
-    """Hashes of words, kept for as many words as memory allows."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        found = xxhash.xxh3_64_intdigest(word)
-        self[word] = found
-        return found
-
-    def of(self, words: Sequence[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     values = (values ^ (values >> np.uint64(31))) * _MIX
     return values ^ (values >> np.uint64(29))
@@ -96,9 +82,14 @@ def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def find_words(texts: pa.Array) -> Words:
-    """The words of ``texts`` (between ASCII white space, as they are), found for all at once."""
+def find_words(texts: pa.Array, lower: bool = False) -> Words:
+    """The words of ``texts`` (between ASCII white space), found for all at once.
+
+    They are as they are, or with A-Z lower-cased.
+    """
     data, bounds = _bytes_of(texts)
+    if lower:
+        data = _LOWER_BYTES[data]
     ink = _INK[data]
     inside = bounds[bounds < len(data)]
     starts = ink.copy()

@@ -24,7 +24,7 @@ from trawl.llm.common import (
     with_columns,
 )
 from trawl.llm.components import components
-from trawl.llm.hashing import WordHashes, mix, runs, split_lower
+from trawl.llm.hashing import find_words, mix, runs, text_slices, word_hashes
 from trawl.session import BROADCAST_ROWS
 
 # Elements of the sets that one task compares with each other.
@@ -35,6 +35,8 @@ LEAST_WEIGHT = 400
 BLOCK_SKETCHES = 4_000_000
 LEAST_SKETCH = 256
 _FEW = 24
+# Ties that a task keeps at hand to leave out those that it has seen.
+KEPT_TIES = 1_000_000
 
 _SKETCH = T.StructType(
     [
@@ -90,6 +92,16 @@ class Rule:
             more = math.ceil(empty + 4 * math.sqrt(empty))
         return differ + 1 + spare, spare
 
+    @property
+    def folds(self) -> int:
+        """How often a sketch can be folded so that unlike sets still show: a power of two.
+
+        Sets of n elements with nothing in common differ in about half of the buckets they fill,
+        however few these are; similar ones differ in less than that part of n.
+        """
+        differ = 2 * (100 - self.percent) / (100 + self.percent)
+        return 1 << max(0, math.floor(math.log2(1 / differ)))
+
     def range_of(self, n: int) -> int:
         """The size range of sets of n elements."""
         return int(np.searchsorted(self.ranges, n, "right")) - 1
@@ -101,11 +113,17 @@ class Rule:
 RULE = Rule()
 
 
-def shingle_set(words: list[bytes], hashes: WordHashes, size: int = RULE.words) -> np.ndarray:
-    """The distinct shingles of a text as sorted hashes; a shorter text is one shingle."""
-    if not words:
-        return np.zeros(0, np.uint64)
-    return np.unique(runs(hashes.of(words), min(size, len(words))))
+def shingle_sets(texts: pa.Array, size: int = RULE.words) -> Iterator[np.ndarray]:
+    """The distinct shingles of every text as sorted hashes; a shorter text is one shingle."""
+    for begin, end in text_slices(texts):
+        words = find_words(texts[begin:end], lower=True)
+        hashes = word_hashes(words)
+        found = runs(hashes, size)
+        for first, last in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
+            if last - first >= size:
+                yield np.unique(found[first : last - size + 1])
+            else:  # no run, or a single one of all words
+                yield runs(hashes[first:last], max(1, last - first))
 
 
 def subset_keys(elements: np.ndarray) -> np.ndarray:
@@ -128,18 +146,18 @@ def part_keys(elements: np.ndarray, rule: Rule = RULE) -> np.ndarray:
     """
     group = rule.range_of(len(elements))
     mixed = mix(elements)
+    halves = mixed & np.uint64(2**32 - 1), mixed >> np.uint64(32)
     keys = []
     for instance in (group, group + 1):
         parts, spare = rule.parts(instance)
         part = ((mixed >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed[order], dtype=np.uint64)])
-        ends = np.searchsorted(part[order], np.arange(parts), "right")
-        starts = np.append(0, ends[:-1])
-        content = sums[ends] - sums[starts]
+        count = np.bincount(part, minlength=parts)
+        # Sums of halves are exact as floats.
+        low, high = (np.bincount(part, half, parts).astype(np.uint64) for half in halves)
+        content = low + (high << np.uint64(32))
         place = np.arange(parts, dtype=np.uint64) + np.uint64(instance << 40)
         found = mix(mix(content) + mix(place + np.uint64(1)))
-        filled = ends > starts
+        filled = count > 0
         keys.append(found[filled] if parts - filled.sum() <= spare else found)
     return np.concatenate(keys)
 
@@ -170,7 +188,8 @@ def possible_pairs(
     """Pairs that connect all sets whose sketches let them be similar; one of a pair is an own one.
 
     Sketches of equal width stand together once ordered by size. A set meets those of its size and
-    above, up to the largest that it can be similar to, as far as nothing connects them yet.
+    above, up to the largest that it can be similar to, as far as nothing connects them yet. They
+    meet folded to a few words first, which parts most of those that have little in common.
     """
     order = np.argsort(sizes, kind="stable")
     n, own = sizes[order], own[order]
@@ -182,23 +201,33 @@ def possible_pairs(
     folded = [{s.shape[1]: s} for s in stacks]
     last = np.searchsorted(n, 100 * n // rule.percent, "right")
     label = np.arange(len(n))
+    columns: dict[int, dict[int, np.ndarray]] = {a: {} for a in starts.tolist()}
+
+    def near(others: np.ndarray, row: np.ndarray, width: int, i: int, at) -> np.ndarray:
+        differ = np.bitwise_count(others ^ _folded(row[None, :], width).T)
+        common = n[i] + n[at] - differ.sum(axis=0, dtype=np.uint32).astype(np.int64)
+        return rule.similar(common, 2 * n[i], 2 * n[at])
+
     for i, row in enumerate(words):
         for a, b, stack in zip(starts.tolist(), ends.tolist(), folded):
             low, high = max(a, i + 1), min(b, int(last[i]))
             if low >= high:
                 continue
-            if len(row) not in stack:
-                stack[len(row)] = _folded(stack[max(stack)], len(row))
             meets = label[low:high] != label[i]
             if not own[i]:
                 meets &= own[low:high]
+            # All in between at first, a column each, as long as sketches are short.
+            few = -(-len(row) // rule.folds)
+            if few not in columns[a]:
+                columns[a][few] = np.ascontiguousarray(_folded(stack[max(stack)], few).T)
+            meets &= near(columns[a][few][:, low - a : high - a], row, few, i, slice(low, high))
             at = low + np.flatnonzero(meets)
             if not len(at):
                 continue
-            differ = np.bitwise_count(stack[len(row)][at - a] ^ row).sum(axis=1, dtype=np.int64)
-            both = n[i] + n[at]
-            near = at[rule.similar(both - differ, 2 * n[i], 2 * n[at])]
-            for j in near.tolist():
+            if len(row) not in stack:
+                stack[len(row)] = _folded(stack[max(stack)], len(row))
+            at = at[near(stack[len(row)][at - a].T, row, len(row), i, at)]
+            for j in at.tolist():
                 if label[j] != label[i]:
                     label[label == label[j]] = label[i]
                     yield int(order[i]), int(order[j])
@@ -207,10 +236,8 @@ def possible_pairs(
 def _sketch_udf(rule: Rule):
     @F.arrow_udf(_SKETCH)
     def sketch(texts: pa.Array) -> pa.Array:
-        hashes = WordHashes()
         rows = []
-        for text in texts:
-            elements = shingle_set(split_lower(text.as_py()), hashes, rule.words)
+        for elements in shingle_sets(texts, rule.words):
             n = len(elements)
             mixed = mix(elements)
             high = int(mixed.sum(dtype=np.uint64)) + n & 2**64 - 1
@@ -267,31 +294,55 @@ def _boundary(sets: DataFrame, rule: Rule) -> int:
     return min(costs)[1]
 
 
+def _different(pairs: list[np.ndarray]) -> np.ndarray:
+    """The different ones of pairs in two rows."""
+    both = np.concatenate(pairs, axis=1)
+    both = both[:, np.lexsort(both)]
+    new = np.ones(both.shape[1], bool)
+    new[1:] = (both[:, 1:] != both[:, :-1]).any(axis=0)
+    return both[:, new]
+
+
 def _list_edges(rows: DataFrame) -> DataFrame:
     """Ties that connect all sets that share a list: about one for each set.
 
-    A task reads the lists in order, ties every set to the list's first and keeps that one at hand,
-    however long a list is. A set stands on several lists; it then is tied to the least of their
-    first sets, and these among themselves, where most ties are the same for many sets.
+    A task reads the lists in order, ties every set to the least one of its list, as far as a batch
+    of rows goes, and keeps that one at hand for the next batch, however long a list is. A set stands
+    on several lists; it then is tied to the least of these, and they among themselves, where most
+    ties are the same for many sets. Only keys are sorted: as single numbers, that takes no comparing.
     """
 
+    def tell(pairs: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch({"a": pa.array(pairs[0]), "b": pa.array(pairs[1])})
+
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_key = first = None
+        kept, n_kept = [], 0
         for batch in batches:
             key = batch.column("key").to_numpy()
             own = batch.column("set").to_numpy()
             if not len(key):
                 continue
-            begins = np.append(True, key[1:] != key[:-1])
-            begins[0] = last_key is None or key[0] != last_key
-            at = np.maximum.accumulate(np.where(begins, np.arange(len(key)), -1))
-            heads = np.where(at < 0, own[0] if first is None else first, own[np.maximum(at, 0)])
-            last_key, first = key[-1], heads[-1]
+            begins = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            least = np.minimum.reduceat(own, begins)
+            heads = np.repeat(least, np.diff(np.append(begins, len(key))))
+            if last_key is not None and key[0] == last_key:
+                heads, own = np.append(heads, least[0]), np.append(own, first)
+                least[0] = min(least[0], first)
+            last_key, first = key[-1], least[-1]
             different = heads != own
-            found = np.unique(np.stack([heads[different], own[different]]), axis=1)
-            yield pa.record_batch({"a": pa.array(found[0]), "b": pa.array(found[1])})
-
-    ordered = rows.repartition("key").sortWithinPartitions("key", "set")
+            kept.append(np.sort(np.stack([heads[different], own[different]]), axis=0))
+            n_kept += kept[-1].shape[1]
+            if n_kept > KEPT_TIES:
+                kept = [_different(kept)]
+                n_kept = kept[0].shape[1]
+                if n_kept > KEPT_TIES // 2:
+                    yield tell(kept[0])
+                    kept, n_kept = [], 0
+        if kept:
+            yield tell(_different(kept))
+
+    ordered = rows.repartition("key").sortWithinPartitions("key")
     ties = ordered.mapInArrow(edges, "a bigint, b bigint")
     # A set has no more first sets than keys, so a row is bounded by the length of a text.
     tied = ties.groupBy("b").agg(F.min("a").alias("a"), F.collect_set("a").alias("firsts"))
@@ -649,9 +700,7 @@ def _member_sets(
 
     @F.arrow_udf(T.ArrayType(T.LongType()))
     def elements(texts: pa.Array) -> pa.Array:
-        hashes = WordHashes()
-        sets = [shingle_set(split_lower(t.as_py()), hashes, rule.words) for t in texts]
-        found = [elements.view(np.int64) for elements in sets]
+        found = [elements.view(np.int64) for elements in shingle_sets(texts, rule.words)]
         return pa.array(found, pa.list_(pa.int64()))
 
     return rows.select("set", "cluster", elements.asNondeterministic()("text").alias("elements"))
